@@ -88,3 +88,102 @@ SQL["strip_columns"] = _PT + "SELECT PACIENTE_ID, " + ", ".join(
 SQL["coerce_date"] = O.with_(O.PATIENTS, _patients_stripped()) + f"""SELECT PACIENTE_ID, CREATED_AT,
   {O.coerce_timestamp('CREATED_AT')} AS created_ts, {O.coerce_timestamp('FECHA_NACIMIENTO')} AS birth_ts
   FROM patients_s"""
+
+
+# --- quarantine -------------------------------------------------------------
+
+_PCOLS = ["PACIENTE_ID", "NOMBRE", "FECHA_NACIMIENTO", "CREATED_AT", "SEGMENTO", "MUNICIPIO_ID"]
+_PC = ", ".join(_PCOLS)
+_REQ = ["PACIENTE_ID", "NOMBRE", "FECHA_NACIMIENTO"]
+_DATES = ["FECHA_NACIMIENTO", "CREATED_AT"]
+_REQ_TAG = "COALESCE(" + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN '{c}: valor requerido nulo' END" for c in _REQ) + ")"
+
+SQL["dedupe_rows"] = _PT + "SELECT DISTINCT * FROM patients"
+
+SQL["duplicate_rejects"] = _PT + f"""SELECT {_PC} FROM (
+  SELECT {_PC}, unnest(range(n - 1)) AS i FROM (SELECT {_PC}, count(*) AS n FROM patients GROUP BY ALL))"""
+
+_PS = O.with_(O.PATIENTS, _patients_stripped())
+
+SQL["required_clean"] = _PS + f"SELECT {_PC} FROM patients_s WHERE {_REQ_TAG} IS NULL"
+SQL["required_rejects"] = _PS + f"SELECT {_PC}, {_REQ_TAG} AS _problema FROM patients_s WHERE {_REQ_TAG} IS NOT NULL"
+
+SQL["date_problems"] = _PS + " UNION ALL ".join(
+    f"SELECT {_PC}, '{c}: fecha inválida' AS _problema FROM patients_s "
+    f"WHERE {c} IS NOT NULL AND {O.coerce_timestamp(c)} IS NULL" for c in _DATES)
+
+_CLEAN_BASE = O.with_(
+    O.PATIENTS, _patients_stripped(),
+    f"g AS (SELECT {_PC}, count(*) AS n FROM patients_s GROUP BY ALL)",
+    f"req AS (SELECT {_PC}, n, {_REQ_TAG} AS tag FROM g)",
+    f"""problems AS (
+  SELECT {_PC}, 'fila duplicada' AS _problema FROM (SELECT {_PC}, unnest(range(n - 1)) AS i FROM g)
+  UNION ALL SELECT {_PC}, tag AS _problema FROM req WHERE tag IS NOT NULL
+  UNION ALL """ + " UNION ALL ".join(
+        f"SELECT {_PC}, '{c}: fecha inválida' AS _problema FROM req "
+        f"WHERE tag IS NULL AND {c} IS NOT NULL AND {O.coerce_timestamp(c)} IS NULL" for c in _DATES) + ")")
+
+SQL["clean_table"] = _CLEAN_BASE + (
+    "SELECT PACIENTE_ID, NOMBRE, " + ", ".join(f"{O.coerce_timestamp(c)} AS {c}" for c in _DATES)
+    + ", SEGMENTO, MUNICIPIO_ID FROM req WHERE tag IS NULL")
+SQL["clean_table_problems"] = _CLEAN_BASE + f"SELECT {_PC}, _problema FROM problems"
+SQL["problem_counts"] = _CLEAN_BASE + "SELECT _problema, count(*) AS filas FROM problems GROUP BY _problema"
+
+# --- profiling --------------------------------------------------------------
+
+_CH_TYPES = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+             ("c_mktsegment", "string")]
+_PT_TYPES = [("PACIENTE_ID", "bigint"), ("NOMBRE", "string"), ("FECHA_NACIMIENTO", "string"),
+             ("CREATED_AT", "string"), ("SEGMENTO", "string"), ("MUNICIPIO_ID", "int")]
+
+
+def _profile_sql(view: str, name: str, cols) -> str:
+    arms = []
+    for i, (c, t) in enumerate(cols):
+        nulos = f"(count(*) - count({c}))"
+        arms.append(
+            f"SELECT '{name}' AS tabla, '{c}' AS columna, {i} AS posicion, '{t}' AS tipo, "
+            f"count(*) AS total_filas, CAST({len(cols)} AS BIGINT) AS total_cols, {nulos} AS nulos, "
+            f"count(*) - count(DISTINCT {c}) - CASE WHEN {nulos} > 0 THEN 1 ELSE 0 END AS duplicados, "
+            f"count(DISTINCT {c}) AS unicos, {O.percent(nulos, 'count(*)')} AS pct_nulos FROM {view}")
+    return " UNION ALL ".join(arms)
+
+
+_PROFILES = O.with_(O.CUSTOMER_HOLES, O.PATIENTS, f"""profiles AS (
+  {_profile_sql('customer_holes', 'CUSTOMER', _CH_TYPES)}
+  UNION ALL {_profile_sql('patients', 'PACIENTES', _PT_TYPES)})""")
+
+SQL["profile_table"] = _PROFILES + "SELECT * FROM profiles"
+SQL["quality_summary"] = _PROFILES + """SELECT tabla, max(total_filas) AS total_filas,
+  count(CASE WHEN nulos > 0 THEN 1 END) AS columnas_con_nulos, COALESCE(max(pct_nulos), 0.0) AS max_pct_nulos
+  FROM profiles GROUP BY tabla"""
+
+
+def _inspect_sql() -> str:
+    arms = []
+    for i, c in enumerate(_CT_COLS):
+        v = O.null_token(c)
+        rank = (f"max(CASE WHEN {v} IS NULL THEN NULL WHEN {O.value_kind(v)} = 'int' THEN 1 "
+                f"WHEN {O.value_kind(v)} = 'float' THEN 2 ELSE 3 END)")
+        nulos = f"sum(CASE WHEN {v} IS NULL THEN 1 ELSE 0 END)"
+        arms.append(
+            f"SELECT '{c}' AS columna, {i} AS posicion, CASE {rank} WHEN 1 THEN 'int' WHEN 2 THEN 'float' "
+            f"ELSE 'str' END AS tipo_inferido, {O.percent(nulos, 'count(*)')} AS porcentaje_nulos, "
+            f"count(*) AS filas_analizadas FROM sample")
+    return " UNION ALL ".join(arms)
+
+
+_INSPECT = O.with_(O.CUSTOMER_TEXT, "sample AS (SELECT * FROM customer_text ORDER BY row_no LIMIT 100000)",
+                   f"inspection AS ({_inspect_sql()})")
+SQL["inspect_columns"] = _INSPECT + "SELECT * FROM inspection"
+SQL["critical_columns"] = _INSPECT + "SELECT * FROM inspection WHERE porcentaje_nulos > 30 ORDER BY porcentaje_nulos DESC"
+
+_HT_COLS = ", ".join([f"{O.null_token(c)} AS {c}" for c in _CT_COLS] + [
+    f"(CASE WHEN {O.null_token(c)} IS NOT NULL THEN {O.value_kind(O.null_token(c))} END) AS {c}_kind"
+    for c in _CT_COLS])
+SQL["head_tail"] = _INSPECT + f"""(SELECT row_no, {_HT_COLS}, 'head' AS lado FROM sample ORDER BY row_no LIMIT 5)
+  UNION ALL (SELECT row_no, {_HT_COLS}, 'tail' AS lado FROM sample ORDER BY row_no DESC LIMIT 5)"""
+
+SQL["sample_first_n"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 50000"
+SQL["row_cap"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 15000000"

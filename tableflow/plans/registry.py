@@ -135,3 +135,100 @@ def q_coerce_date(spark, sf):
     return p.select("PACIENTE_ID", "CREATED_AT",
                     R.coerce_timestamp(F.col("CREATED_AT")).alias("created_ts"),
                     R.coerce_timestamp(F.col("FECHA_NACIMIENTO")).alias("birth_ts"))
+
+
+# --- quarantine (period table shaped like PACIENTES) ---------------------------
+
+from tableflow.operators import profiling as PRF  # noqa: E402
+from tableflow.operators import quarantine as Q  # noqa: E402
+
+PATIENTS_SPEC = S.PERIOD_SPECS["PACIENTES"]
+INSPECT_SAMPLE_ROWS = 100_000
+BENCH_SAMPLE_ROWS = 50_000
+ROW_CAP = 15_000_000
+
+
+@query("dedupe_rows")
+def q_dedupe_rows(spark, sf):
+    return Q.dedupe_rows(DV.patients(spark, sf))
+
+
+@query("duplicate_rejects")
+def q_duplicate_rejects(spark, sf):
+    return Q.split_duplicates(DV.patients(spark, sf))[1]
+
+
+@query("required_clean")
+def q_required_clean(spark, sf):
+    return Q.split_required(REC.strip_columns(DV.patients(spark, sf)), PATIENTS_SPEC.required)[0]
+
+
+@query("required_rejects")
+def q_required_rejects(spark, sf):
+    return Q.split_required(REC.strip_columns(DV.patients(spark, sf)), PATIENTS_SPEC.required)[1]
+
+
+@query("date_problems")
+def q_date_problems(spark, sf):
+    return Q.date_problems(REC.strip_columns(DV.patients(spark, sf)), PATIENTS_SPEC.date_columns)
+
+
+@query("clean_table")
+def q_clean_table(spark, sf):
+    return Q.clean_table(DV.patients(spark, sf), PATIENTS_SPEC).clean
+
+
+@query("clean_table_problems")
+def q_clean_table_problems(spark, sf):
+    return Q.clean_table(DV.patients(spark, sf), PATIENTS_SPEC).problems
+
+
+@query("problem_counts")
+def q_problem_counts(spark, sf):
+    return Q.problem_counts(Q.clean_table(DV.patients(spark, sf), PATIENTS_SPEC).problems)
+
+
+# --- profiling and inspection -------------------------------------------------
+
+def _profiles(spark, sf):
+    return (PRF.profile_table(DV.customer_holes(spark, sf), "CUSTOMER")
+            .unionByName(PRF.profile_table(DV.patients(spark, sf), "PACIENTES")))
+
+
+@query("profile_table")
+def q_profile_table(spark, sf):
+    return _profiles(spark, sf)
+
+
+@query("quality_summary")
+def q_quality_summary(spark, sf):
+    return PRF.quality_summary(_profiles(spark, sf))
+
+
+def _inspection_sample(spark, sf):
+    return PRF.first_n(DV.customer_text(spark, sf), INSPECT_SAMPLE_ROWS, "row_no")
+
+
+@query("inspect_columns")
+def q_inspect_columns(spark, sf):
+    return PRF.inspect_columns(_inspection_sample(spark, sf), ordinal="row_no")
+
+
+@query("critical_columns")
+def q_critical_columns(spark, sf):
+    return PRF.critical_columns(PRF.inspect_columns(_inspection_sample(spark, sf), ordinal="row_no"))
+
+
+@query("head_tail")
+def q_head_tail(spark, sf):
+    return PRF.head_tail(_inspection_sample(spark, sf), "row_no")
+
+
+@query("sample_first_n")
+def q_sample_first_n(spark, sf):
+    return PRF.first_n(DV.dirty_orders(spark, sf), BENCH_SAMPLE_ROWS, "row_no")
+
+
+@query("row_cap")
+def q_row_cap(spark, sf):
+    return PRF.first_n(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")
