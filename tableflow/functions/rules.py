@@ -39,13 +39,14 @@ _DIGITS = r"\d+(_\d+)*"
 _KIND_FLOAT_RE = (r"(?i)^[+-]?((" + _DIGITS + r"\.?(" + _DIGITS + r")?|\." + _DIGITS + r")(e[+-]?"
                   + _DIGITS + r")?|inf(inity)?|nan)$")
 
-# One regex per layout of DATE_LAYOUTS: (pattern, group of year, month, day).
+# One regex per layout of DATE_LAYOUTS and the order of its three fields in the text
+# (index of year, month, day after splitting on the separators).
 _LAYOUT_PARTS = {
-    "%d/%m/%Y": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 3, 2, 1),
-    "%Y-%m-%d": (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 1, 2, 3),
-    "%d-%m-%Y": (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", 3, 2, 1),
-    "%y-%m-%d": (r"^(\d{2})-(\d{1,2})-(\d{1,2})$", 1, 2, 3),
-    "%d-%m-%y": (r"^(\d{1,2})-(\d{1,2})-(\d{2})$", 3, 2, 1),
+    "%d/%m/%Y": (r"^\d{1,2}/\d{1,2}/\d{4}$", 2, 1, 0),
+    "%Y-%m-%d": (r"^\d{4}-\d{1,2}-\d{1,2}$", 0, 1, 2),
+    "%d-%m-%Y": (r"^\d{1,2}-\d{1,2}-\d{4}$", 2, 1, 0),
+    "%y-%m-%d": (r"^\d{2}-\d{1,2}-\d{1,2}$", 0, 1, 2),
+    "%d-%m-%y": (r"^\d{1,2}-\d{1,2}-\d{2}$", 2, 1, 0),
 }
 
 
@@ -64,45 +65,45 @@ def clean_text(c) -> Column:
     return F.nullif(F.lower(F.trim(collapsed)), F.lit(""))
 
 
-def clean_int(c, dtype: str = "decimal(38,0)") -> Column:
+def clean_int(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Column:
     """Integer from text: optional sign, digit groups joined by '_', outer white space.
 
     Anything else (``12.0``, ``1e3``, ``--5``) is null. The value is exact up to 38
     digits; range checks against the target column are done by the target check.
     """
-    s = strip(c)
+    s = _col(c) if stripped else strip(c)
     return F.when(s.rlike(_INT_TEXT_RE), F.regexp_replace(s, "_", "")).try_cast(dtype)
 
 
-def clean_code(c, dtype: str = "decimal(38,0)") -> Column:
+def clean_code(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Column:
     """Like :func:`clean_int`, and code 0 (``0``, ``00``, ``-0``) means "unknown" -> null."""
-    n = clean_int(c, dtype)
+    n = clean_int(c, dtype, stripped)
     return F.when(n != 0, n)
 
 
-def _layout_arm(s: Column, layout: str) -> Column:
-    pattern, gy, gm, gd = _LAYOUT_PARTS[layout]
-    y = F.regexp_extract(s, pattern, gy)
-    m = F.regexp_extract(s, pattern, gm)
-    d = F.regexp_extract(s, pattern, gd)
-    if layout.count("%y"):
-        y = F.when(y <= F.lit(f"{TWO_DIGIT_YEAR_PIVOT:02d}"), F.concat(F.lit("20"), y)) \
-             .otherwise(F.concat(F.lit("19"), y))
-    ts = F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d"))
-    day = ts.cast("date")
+def _layout_arm(s: Column, parts: Column, layout: str) -> Column:
+    pattern, iy, im, id_ = _LAYOUT_PARTS[layout]
+    y, m, d = parts.getItem(iy), parts.getItem(im), parts.getItem(id_)
+    if "%y" in layout:
+        y = F.concat(F.when(y <= F.lit(f"{TWO_DIGIT_YEAR_PIVOT:02d}"), F.lit("20")).otherwise(F.lit("19")), y)
+    day = F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d")).cast("date")
     return F.when(s.rlike(pattern) & F.year(day).between(YEAR_MIN, YEAR_MAX), day)
 
 
-def clean_date(c) -> Column:
-    """Date from text in the accepted layouts (first that fits wins); sentinel and junk give null."""
-    s = strip(c)
-    parsed = F.coalesce(*[_layout_arm(s, layout) for layout in DATE_LAYOUTS])
+def clean_date(c, stripped: bool = False) -> Column:
+    """Date from text in the accepted layouts (first that fits wins); sentinel and junk give null.
+
+    ``stripped=True`` when the input is already stripped (saves one regex per value).
+    """
+    s = _col(c) if stripped else strip(c)
+    parts = F.split(s, "[/-]")
+    parsed = F.coalesce(*[_layout_arm(s, parts, layout) for layout in DATE_LAYOUTS])
     return F.when((s != F.lit("")) & (s != F.lit(DATE_SENTINEL)), parsed)
 
 
-def clean_date_text(c) -> Column:
+def clean_date_text(c, stripped: bool = False) -> Column:
     """:func:`clean_date` rendered as ISO text, for targets that store dates as text."""
-    return F.date_format(clean_date(c), "yyyy-MM-dd")
+    return F.date_format(clean_date(c, stripped), "yyyy-MM-dd")
 
 
 def null_token(c) -> Column:

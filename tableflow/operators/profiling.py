@@ -67,6 +67,27 @@ def profile_table(df: DataFrame, name: str, approximate: bool = False) -> DataFr
     return out.withColumn("pct_nulos", R.percent(F.col("nulos"), F.col("total_filas")))
 
 
+def profile_tables(df: DataFrame, table_col: str) -> DataFrame:
+    """:func:`profile_table` for many tables in one job: ``table_col`` names each row's table."""
+    data = df.drop(table_col)
+    spark = df.sparkSession
+    cat = _column_catalogue(spark, data)
+    cells = [F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in data.columns]
+    long = df.select(F.col(table_col).alias("tabla"), F.explode(F.array(*cells)).alias("_c")).select("tabla", "_c.*")
+    per_value = long.groupBy("tabla", "columna", "valor").agg(F.count(F.lit(1)).alias("n"))
+    per_col = per_value.groupBy("tabla", "columna").agg(
+        F.sum("n").alias("total_filas"),
+        F.coalesce(F.sum(F.when(F.col("valor").isNull(), F.col("n"))), F.lit(0)).alias("nulos"),
+        F.count("valor").alias("unicos"),
+        (F.sum("n") - F.count(F.lit(1))).alias("duplicados"))
+    out = per_col.join(F.broadcast(cat), "columna")
+    return out.select(
+        "tabla", "columna", "posicion", "tipo", F.col("total_filas").cast("long").alias("total_filas"),
+        F.lit(len(data.columns)).cast("long").alias("total_cols"), F.col("nulos").cast("long").alias("nulos"),
+        F.col("duplicados").cast("long").alias("duplicados"), F.col("unicos").cast("long").alias("unicos"),
+        R.percent(F.col("nulos"), F.col("total_filas")).alias("pct_nulos"))
+
+
 def quality_summary(profile: DataFrame) -> DataFrame:
     """Per table: rows, columns with any null, largest percent of nulls (0 when none)."""
     return profile.groupBy("tabla").agg(

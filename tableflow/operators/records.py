@@ -31,16 +31,19 @@ def _source(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def rule_expr(rule: S.ColumnRule, c: Column) -> Column:
-    """The cleaning expression for one column of a spec."""
+_STRIPPED_KINDS = (S.DATE, S.DATE_TEXT, S.CODE, S.INT)
+
+
+def rule_expr(rule: S.ColumnRule, c: Column, stripped: bool = False) -> Column:
+    """The cleaning expression for one column of a spec (``stripped``: input already stripped)."""
     if rule.kind == S.DATE:
-        return R.clean_date(c)
+        return R.clean_date(c, stripped)
     if rule.kind == S.DATE_TEXT:
-        return R.clean_date_text(c)
+        return R.clean_date_text(c, stripped)
     if rule.kind == S.CODE:
-        return R.clean_code(c)
+        return R.clean_code(c, stripped=stripped)
     if rule.kind == S.INT:
-        return R.clean_int(c)
+        return R.clean_int(c, stripped=stripped)
     if rule.kind == S.TEXT:
         return R.clean_text(c)
     return c
@@ -52,9 +55,23 @@ def project_spec(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
 
 
 def clean_record(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
-    """Apply each column's rule (date / integer / code / text) in one projection."""
-    return df.select(*[F.col(k) for k in keep],
-                     *[rule_expr(r, _source(df, r.name)).alias(r.name) for r in spec.columns])
+    """Apply each column's rule (date / integer / code / text).
+
+    Two narrow projections in the same stage: the first strips the fields whose rules
+    look at them several times, the second applies the rules. Keeping the stripped
+    value as its own column lets the optimizer evaluate it once per row and keeps the
+    generated code of each projection small enough to be compiled.
+    """
+    present = [r for r in spec.columns if r.name in df.columns]
+    staged = df.select(*[F.col(k) for k in keep], *[
+        (R.strip(r.name) if r.kind in _STRIPPED_KINDS else F.col(r.name)).alias(f"_tf_{r.name}") for r in present])
+    out = []
+    for r in spec.columns:
+        if r.name in df.columns:
+            out.append(rule_expr(r, F.col(f"_tf_{r.name}"), stripped=r.kind in _STRIPPED_KINDS).alias(r.name))
+        else:
+            out.append(rule_expr(r, F.lit(None).cast("string")).alias(r.name))
+    return staged.select(*[F.col(k) for k in keep], *out)
 
 
 def clean_record_by_name(df: DataFrame, columns, keep=(),

@@ -151,3 +151,65 @@ def customer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(_s(F.col("c_acctbal")), F.lit("Null")).alias("c_acctbal"),
         F.when(ck % 3 == 0, F.concat(F.lit(" "), F.lit("-"), _s(ck % 7))).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
     )
+
+
+LINEITEM_KEY = ("l_orderkey", "l_linenumber", "ship_day")
+LINEITEM_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag",
+                  "l_linestatus")
+LOADED_BEFORE = "1998-01-01"
+
+
+def lineitem_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as rows to load, keyed by (order, line, ship day); returned lines have no ship day."""
+    li = table(spark, sf_dir, "lineitem")
+    ship_day = F.when(F.col("l_returnflag") == "N", F.lit(None).cast("date")).otherwise(F.col("l_shipdate").cast("date"))
+    return li.select("l_orderkey", "l_linenumber", ship_day.alias("ship_day"), "l_partkey", "l_suppkey",
+                     "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run ledger made from ``events``: one run per event, table = type + user."""
+    e = table(spark, sf_dir, "events")
+    tabla = F.concat(F.upper("event_type"), F.lit("_"), _s(F.col("user_id")))
+    day = F.date_format(F.col("ts"), "yyyy-MM-dd")
+    bad = F.col("value") < 5
+    source = F.col("user_id") * 100 + 7
+    extracted = source - bad.cast("long")
+    return e.select(
+        F.col("event_id").alias("id"), tabla.alias("tabla"), day.alias("fecha_inicio"), day.alias("fecha_fin"),
+        source.alias("filas_oracle"), extracted.alias("filas_extraidas"),
+        F.when(bad, F.lit("ERROR")).otherwise(F.lit("OK")).alias("estado"),
+        F.when(bad, F.concat(F.lit("DISCREPANCIA: Oracle="), _s(source), F.lit(" | CSV="), _s(extracted)))
+         .otherwise(F.lit("")).alias("mensaje"),
+        F.col("ts").alias("ejecutado_en"))
+
+
+def event_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table catalogue of the event ledger: every (type, user) seen in ``events``."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.concat(F.upper("event_type"), F.lit("_"), _s(F.col("user_id"))).alias("tabla")).distinct()
+
+
+def run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark-style results made from ``events``: method, batch, time, memory, speed."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_type").alias("metodo"), F.col("user_id").alias("lote"),
+                    F.col("value").alias("tiempo_s"), (F.col("value") * 0.5 + F.col("user_id")).alias("ram_mb"),
+                    (F.lit(50000.0) / F.col("value")).alias("filas_s"))
+
+
+def key_catalogue(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tables, constraints, constraint columns) made from customer, orders and lineitem."""
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    tables = c.select(F.concat(F.lit("t"), _s(F.col("c_custkey"))).alias("table_name"))
+    ctype = (F.when(F.col("o_orderstatus") == "F", F.lit("P")).when(F.col("o_orderstatus") == "O", F.lit("U"))
+              .otherwise(F.lit("R")))
+    constraints = o.select(F.concat(F.lit("C"), _s(F.col("o_orderkey"))).alias("constraint_name"),
+                           F.lit("HOSP").alias("owner"), ctype.alias("constraint_type"),
+                           F.concat(F.lit("T"), _s(F.col("o_custkey"))).alias("table_name"))
+    columns = li.select(F.concat(F.lit("C"), _s(F.col("l_orderkey"))).alias("constraint_name"),
+                        F.lit("HOSP").alias("owner"), F.concat(F.lit("COL_"), _s(F.col("l_partkey"))).alias("column_name"),
+                        F.col("l_linenumber").alias("position"))
+    return tables, constraints, columns

@@ -187,3 +187,133 @@ SQL["head_tail"] = _INSPECT + f"""(SELECT row_no, {_HT_COLS}, 'head' AS lado FRO
 
 SQL["sample_first_n"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 50000"
 SQL["row_cap"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 15000000"
+
+
+# --- sources ----------------------------------------------------------------
+
+_WIN = "ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15' + INTERVAL 1 DAY"
+SQL["extract_window"] = f"SELECT * FROM events WHERE {_WIN}"
+SQL["count_window"] = f"SELECT upper(event_type) AS tabla, count(*) AS filas FROM events WHERE {_WIN} GROUP BY 1"
+SQL["extract_catalogue_table"] = "SELECT * FROM nation"
+SQL["page_slice"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10000 OFFSET 10000"
+SQL["union_pages"] = SQL["extract_window"]
+SQL["period_files"] = f"SELECT *, upper(event_type) AS tabla FROM events WHERE {_WIN}"
+SQL["reconcile_counts"] = f"""SELECT upper(event_type) AS tabla, count(*) AS filas_oracle, count(*) AS filas_extraidas,
+  'OK' AS estado, '' AS mensaje FROM events WHERE {_WIN} GROUP BY 1"""
+SQL["scan_delimited"] = _DO + "SELECT * FROM dirty_orders"
+SQL["csv_infer"] = "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+SQL["csv_roundtrip"] = SQL["clean_table"]
+
+# --- ingestion --------------------------------------------------------------
+
+_LI_KEY = ["l_orderkey", "l_linenumber", "ship_day"]
+_LI_ORDER = "l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_returnflag, l_linestatus"
+_LI_COLS = ("l_orderkey, l_linenumber, ship_day, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
+            "l_returnflag, l_linestatus, l_shipdate")
+_LI = O.with_(
+    f"""inc AS (SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(l_shipdate AS DATE) END AS ship_day,
+  l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus, l_shipdate FROM lineitem)""",
+    f"""t AS (SELECT {_LI_COLS} FROM inc WHERE l_shipdate < TIMESTAMP '1998-01-01'
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, ship_day ORDER BY {_LI_ORDER}) = 1)""",
+    f"""firsts AS (SELECT {_LI_COLS} FROM inc
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, ship_day ORDER BY {_LI_ORDER}) = 1)""",
+    """new AS (SELECT * FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.l_orderkey = f.l_orderkey
+  AND t.l_linenumber = f.l_linenumber AND t.ship_day IS NOT DISTINCT FROM f.ship_day))""")
+SQL["insert_ignore"] = _LI + "SELECT * FROM t UNION ALL SELECT * FROM new"
+SQL["load_default"] = _LI + "SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS cargado_en FROM new"
+
+
+def _target_tag() -> str:
+    arms = []
+    for r in S.BULK_SPEC.columns:
+        if r.name not in ORDERS_BULK_COLUMNS:
+            continue
+        v = _bulk_clean_raw(r.name)
+        if r.target in ("int", "smallint"):
+            duck = "INTEGER" if r.target == "int" else "SMALLINT"
+            arms.append(f"CASE WHEN {v} IS NOT NULL AND TRY_CAST({v} AS {duck}) IS NULL "
+                        f"THEN '{r.name}: fuera de rango para {r.target}' END")
+        if r.max_length is not None:
+            arms.append(f"CASE WHEN length({v}) > {r.max_length} THEN '{r.name}: texto mayor a {r.max_length}' END")
+    return "COALESCE(" + ", ".join(arms) + ")"
+
+
+def _bulk_clean_raw(c: str) -> str:
+    r = S.BULK_SPEC.rule(c)
+    if r.kind == S.CODE:
+        return O.clean_code(c)
+    if r.kind == S.INT:
+        return O.clean_int(c)
+    return _bulk_clean(c)
+
+
+_DUCK_TYPE = {"int": "INTEGER", "smallint": "SMALLINT", "date": "DATE", "string": "VARCHAR"}
+_CLEANED = O.with_(O.DIRTY_ORDERS, "cleaned AS (SELECT row_no, " + ", ".join(
+    f"{_bulk_clean_raw(c)} AS {c}" for c in ORDERS_BULK_COLUMNS) + f", {_target_tag()} AS _problema FROM dirty_orders)")
+
+SQL["target_accepts"] = _CLEANED + "SELECT row_no, " + ", ".join(
+    f"CAST({c} AS {_DUCK_TYPE[S.BULK_SPEC.rule(c).target]}) AS {c}" for c in ORDERS_BULK_COLUMNS
+) + " FROM cleaned WHERE _problema IS NULL"
+SQL["target_rejects"] = _CLEANED + "SELECT row_no, " + ", ".join(
+    (f"CAST({c} AS BIGINT) AS {c}" if S.BULK_SPEC.rule(c).kind in (S.INT, S.CODE) else c) for c in ORDERS_BULK_COLUMNS
+) + ", _problema FROM cleaned WHERE _problema IS NOT NULL"
+
+_BULK_FIRSTS = _CLEANED + ", " + """firsts AS (SELECT * FROM cleaned WHERE _problema IS NULL
+  QUALIFY row_number() OVER (PARTITION BY idpersona, codigohecho, fechaocurrencia ORDER BY row_no) = 1)
+"""
+SQL["bulk_load"] = _BULK_FIRSTS + "SELECT " + ", ".join(
+    (f"CAST({c} AS {_DUCK_TYPE[S.BULK_SPEC.rule(c).target]}) AS {c}" if c in ORDERS_BULK_COLUMNS
+     else f"CAST(NULL AS {_DUCK_TYPE[S.BULK_SPEC.rule(c).target]}) AS {c}") for c in S.BULK_COLUMNS
+) + ", TIMESTAMP '2024-02-01 00:00:00' AS cargado_en FROM firsts"
+SQL["load_summary"] = _BULK_FIRSTS + """SELECT (SELECT count(*) FROM cleaned) AS filas_procesadas,
+  (SELECT count(*) FROM cleaned WHERE _problema IS NULL) AS enviadas,
+  (SELECT count(*) FROM firsts) AS insertadas,
+  (SELECT count(*) FROM cleaned WHERE _problema IS NULL) - (SELECT count(*) FROM firsts) AS conflictos,
+  (SELECT count(*) FROM cleaned WHERE _problema IS NOT NULL) AS rechazadas,
+  (SELECT count(*) FROM firsts) AS total_en_destino"""
+
+# --- ledger -----------------------------------------------------------------
+
+_LEDGER = """ledger AS (SELECT event_id AS id, upper(event_type) || '_' || user_id AS tabla,
+  strftime(ts, '%Y-%m-%d') AS fecha_inicio, strftime(ts, '%Y-%m-%d') AS fecha_fin,
+  user_id * 100 + 7 AS filas_oracle, user_id * 100 + 7 - CASE WHEN value < 5 THEN 1 ELSE 0 END AS filas_extraidas,
+  CASE WHEN value < 5 THEN 'ERROR' ELSE 'OK' END AS estado,
+  CASE WHEN value < 5 THEN 'DISCREPANCIA: Oracle=' || (user_id * 100 + 7) || ' | CSV=' || (user_id * 100 + 6)
+       ELSE '' END AS mensaje, ts AS ejecutado_en FROM events)"""
+_LATEST = O.with_(_LEDGER, """latest AS (SELECT * FROM ledger WHERE estado = 'OK'
+  QUALIFY row_number() OVER (PARTITION BY tabla ORDER BY ejecutado_en DESC, id DESC) = 1)""")
+SQL["ledger_latest_ok"] = _LATEST + "SELECT * FROM latest"
+SQL["pending_extractions"] = _LATEST + """SELECT DISTINCT upper(event_type) || '_' || user_id AS tabla FROM events
+  WHERE upper(event_type) || '_' || user_id NOT IN (SELECT tabla FROM latest WHERE fecha_inicio = '2024-01-30')"""
+SQL["detect_keys"] = """WITH cons AS (SELECT 'C' || o_orderkey AS constraint_name, 'HOSP' AS owner,
+    CASE o_orderstatus WHEN 'F' THEN 'P' WHEN 'O' THEN 'U' ELSE 'R' END AS constraint_type,
+    'T' || o_custkey AS table_name FROM orders),
+  cols AS (SELECT 'C' || l_orderkey AS constraint_name, 'HOSP' AS owner, 'COL_' || l_partkey AS column_name,
+    l_linenumber AS position FROM lineitem),
+  tabs AS (SELECT upper('t' || c_custkey) AS table_name FROM customer),
+  firsts AS (SELECT c.table_name, k.column_name FROM cons c JOIN cols k
+    ON c.constraint_name = k.constraint_name AND c.owner = k.owner
+    WHERE c.constraint_type = 'P' AND c.table_name IN (SELECT table_name FROM tabs)
+    QUALIFY row_number() OVER (PARTITION BY c.table_name ORDER BY k.position, k.column_name) = 1)
+SELECT t.table_name, COALESCE(f.column_name, 'ROWID') AS pk FROM tabs t LEFT JOIN firsts f USING (table_name)"""
+SQL["best_run"] = """WITH r AS (SELECT event_type AS metodo, user_id AS lote, value AS tiempo_s,
+    value * 0.5 + user_id AS ram_mb, 50000.0 / value AS filas_s FROM events)
+(SELECT 'menor_ram' AS criterio, metodo, lote, tiempo_s, ram_mb FROM r
+  ORDER BY ram_mb, -filas_s, metodo, lote, tiempo_s LIMIT 1)
+UNION ALL (SELECT 'mayor_velocidad' AS criterio, metodo, lote, tiempo_s, ram_mb FROM r
+  ORDER BY -filas_s, ram_mb, metodo, lote, tiempo_s LIMIT 1)"""
+
+# --- delivery ---------------------------------------------------------------
+
+SQL["delivery_name"] = "SELECT n_nationkey, upper(n_name) || '_2024_01-01.csv' AS archivo FROM nation"
+_ROW = ("concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '\\N')"
+                                       for c in ["event_id", "ts", "user_id", "event_type", "value", "props"]) + ")")
+_DIGEST = f"""digest AS (SELECT upper(event_type) AS tabla, count(*) AS filas,
+  CAST(sum(CAST(('0x' || substr(md5({_ROW}), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest
+  FROM events WHERE {_WIN} GROUP BY 1)"""
+SQL["content_digest"] = O.with_(_DIGEST) + "SELECT * FROM digest"
+SQL["manifest"] = O.with_(_DIGEST) + """SELECT tabla, '2024-01-10' AS periodo_inicio, '2024-01-15' AS periodo_fin,
+  tabla || '_2024_01-01.csv' AS archivo, filas AS filas_oracle, filas AS filas_csv, digest AS md5,
+  filas AS calidad_total_filas, CAST(0 AS BIGINT) AS calidad_columnas_con_nulos, 0.0 AS calidad_max_pct_nulos,
+  'etl_oracle_csv v1.0' AS generado_por FROM digest"""

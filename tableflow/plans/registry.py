@@ -232,3 +232,208 @@ def q_sample_first_n(spark, sf):
 @query("row_cap")
 def q_row_cap(spark, sf):
     return PRF.first_n(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")
+
+
+# --- sources ------------------------------------------------------------------
+
+from tableflow.operators import delivery as DLV  # noqa: E402
+from tableflow.operators import ingest as ING  # noqa: E402
+from tableflow.operators import ledger as LED  # noqa: E402
+from tableflow.session import scratch_path  # noqa: E402
+from tableflow.sources import database as DB  # noqa: E402
+from tableflow.sources import delimited as DL  # noqa: E402
+from tableflow.sources import period as PER  # noqa: E402
+
+WINDOW_START, WINDOW_END = "2024-01-10", "2024-01-15"
+LOAD_TIME = "2024-02-01 00:00:00"
+PENDING_START = "2024-01-30"
+
+
+def _events_window(spark, sf):
+    e = DV.table(spark, sf, "events")
+    return DB.extract_window(e, "ts", WINDOW_START, WINDOW_END).withColumn("tabla", F.upper("event_type"))
+
+
+@query("extract_window")
+def q_extract_window(spark, sf):
+    return DB.extract_window(DV.table(spark, sf, "events"), "ts", WINDOW_START, WINDOW_END)
+
+
+@query("count_window")
+def q_count_window(spark, sf):
+    e = DV.table(spark, sf, "events").withColumn("tabla", F.upper("event_type"))
+    return DB.count_window(e, "ts", WINDOW_START, WINDOW_END, by=["tabla"])
+
+
+@query("extract_catalogue_table")
+def q_extract_catalogue_table(spark, sf):
+    return DB.extract_window(DV.table(spark, sf, "nation"), None, WINDOW_START, WINDOW_END)
+
+
+@query("page_slice")
+def q_page_slice(spark, sf):
+    return DB.page_slice(DV.table(spark, sf, "orders"), ["o_orderkey"], 1, S.EXTRACT_PAGE_ROWS)
+
+
+@query("union_pages")
+def q_union_pages(spark, sf):
+    w = DB.extract_window(DV.table(spark, sf, "events"), "ts", WINDOW_START, WINDOW_END)
+    b = w.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    lo, hi = (b["lo"] or 0), (b["hi"] or 0)
+    return DB.union_pages(w, DB.range_predicates("event_id", lo, hi + 1, 8))
+
+
+def _written_extracts(spark, sf):
+    """The window of every event table written as a period CSV, then found again by name."""
+    root = scratch_path(spark, "datos")
+    w = _events_window(spark, sf)
+    cols = [c for c in w.columns if c != "tabla"]
+    types = [r["tabla"] for r in w.select("tabla").distinct().collect()]  # table names only
+    for t in sorted(types):
+        PER.write_period_table(w.filter(F.col("tabla") == t).select(*cols), root, t, WINDOW_START, WINDOW_END)
+    schema = DV.table(spark, sf, "events").schema
+    return PER.read_period_files(spark, root, WINDOW_START, WINDOW_END, schema=schema)
+
+
+@query("period_files")
+def q_period_files(spark, sf):
+    return _written_extracts(spark, sf)
+
+
+@query("reconcile_counts")
+def q_reconcile_counts(spark, sf):
+    e = DV.table(spark, sf, "events").withColumn("tabla", F.upper("event_type"))
+    source = DB.count_window(e, "ts", WINDOW_START, WINDOW_END, by=["tabla"])
+    extracted = _written_extracts(spark, sf).groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
+    return LED.reconcile_counts(source, extracted)
+
+
+@query("scan_delimited")
+def q_scan_delimited(spark, sf):
+    path = scratch_path(spark, "bulk")
+    DL.write_delimited(DV.dirty_orders(spark, sf), path)
+    return DL.read_delimited(spark, path, multi_line=True).withColumn("row_no", F.col("row_no").cast("bigint"))
+
+
+@query("csv_infer")
+def q_csv_infer(spark, sf):
+    path = scratch_path(spark, "csv")
+    DL.write_csv(DV.table(spark, sf, "customer"), path)
+    return DL.read_csv_inferred(spark, path)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    clean = Q.clean_table(DV.patients(spark, sf), PATIENTS_SPEC).clean
+    path = scratch_path(spark, "clean")
+    DL.write_csv(clean, path)
+    return DL.read_csv(spark, path, clean.schema)
+
+
+# --- ingestion ------------------------------------------------------------------
+
+def _lineitem_load(spark, sf):
+    inc = DV.lineitem_incoming(spark, sf)
+    target = ING.first_per_key(inc.filter(F.col("l_shipdate") < F.lit(DV.LOADED_BEFORE).cast("timestamp_ntz")),
+                               DV.LINEITEM_KEY, DV.LINEITEM_ORDER)
+    return target, ING.insert_ignore(target, inc, DV.LINEITEM_KEY, DV.LINEITEM_ORDER)
+
+
+@query("insert_ignore")
+def q_insert_ignore(spark, sf):
+    target, new = _lineitem_load(spark, sf)
+    return target.unionByName(new)
+
+
+@query("load_default")
+def q_load_default(spark, sf):
+    return ING.with_load_time(_lineitem_load(spark, sf)[1], "cargado_en", LOAD_TIME)
+
+
+@query("target_accepts")
+def q_target_accepts(spark, sf):
+    return ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no")[0].select(
+        "row_no", *ORDERS_BULK_COLUMNS)
+
+
+@query("target_rejects")
+def q_target_rejects(spark, sf):
+    bad = ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no")[1]
+    return _as_output(bad.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))
+
+
+def _bulk_load(spark, sf):
+    src = scratch_path(spark, "bulk_src")
+    DL.write_delimited(DV.dirty_orders(spark, sf), src)
+    raw = DL.read_delimited(spark, src, multi_line=True).withColumn("row_no", F.col("row_no").cast("bigint"))
+    target = scratch_path(spark, "target")
+    report = ING.bulk_load(spark, raw, S.BULK_SPEC, target, "row_no", rejects_path=scratch_path(spark, "rejects"),
+                           load_time=LOAD_TIME)
+    return target, report
+
+
+@query("bulk_load")
+def q_bulk_load(spark, sf):
+    target, _ = _bulk_load(spark, sf)
+    return spark.read.parquet(target)
+
+
+@query("load_summary")
+def q_load_summary(spark, sf):
+    _, report = _bulk_load(spark, sf)
+    return spark.createDataFrame([report.as_row()],
+                                 "filas_procesadas long, enviadas long, insertadas long, conflictos long, "
+                                 "rechazadas long, total_en_destino long")
+
+
+# --- ledger -------------------------------------------------------------------------
+
+@query("ledger_latest_ok")
+def q_ledger_latest_ok(spark, sf):
+    return LED.latest_ok(DV.event_ledger(spark, sf))
+
+
+@query("pending_extractions")
+def q_pending_extractions(spark, sf):
+    return LED.pending_extractions(DV.event_tables(spark, sf), DV.event_ledger(spark, sf), PENDING_START,
+                                   match="start")
+
+
+@query("detect_keys")
+def q_detect_keys(spark, sf):
+    return LED.detect_keys(*DV.key_catalogue(spark, sf))
+
+
+@query("best_run")
+def q_best_run(spark, sf):
+    return LED.best_runs(DV.run_results(spark, sf))
+
+
+# --- delivery -----------------------------------------------------------------------
+
+@query("delivery_name")
+def q_delivery_name(spark, sf):
+    n = DV.table(spark, sf, "nation")
+    return n.select("n_nationkey", DLV.delivery_name(F.col("n_name"), WINDOW_START, WINDOW_END).alias("archivo"))
+
+
+@query("content_digest")
+def q_content_digest(spark, sf):
+    w = _events_window(spark, sf)
+    return DLV.content_digest(w, by=["tabla"], columns=[c for c in w.columns if c != "tabla"])
+
+
+@query("manifest")
+def q_manifest(spark, sf):
+    w = _events_window(spark, sf)
+    cols = [c for c in w.columns if c != "tabla"]
+    e = DV.table(spark, sf, "events").withColumn("tabla", F.upper("event_type"))
+    source = DB.count_window(e, "ts", WINDOW_START, WINDOW_END, by=["tabla"]).withColumnRenamed("filas", "filas_oracle")
+    digest = DLV.content_digest(w, by=["tabla"], columns=cols)
+    counts = source.join(digest.select("tabla", F.col("filas").alias("filas_csv")), "tabla", "left")
+    summary = PRF.quality_summary(PRF.profile_tables(w, "tabla"))
+    m = DLV.manifest(counts, digest, summary, WINDOW_START, WINDOW_END)
+    return m.select("tabla", "periodo_inicio", "periodo_fin", "archivo", "filas_oracle", "filas_csv", "md5",
+                    F.col("problemas_calidad.total_filas").alias("calidad_total_filas"),
+                    F.col("problemas_calidad.columnas_con_nulos").alias("calidad_columnas_con_nulos"),
+                    F.col("problemas_calidad.max_pct_nulos").alias("calidad_max_pct_nulos"), "generado_por")
