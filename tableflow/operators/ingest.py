@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tableflow import spec as S
 from tableflow.operators import quarantine as Q
 from tableflow.operators import records as REC
+from tableflow.session import path_exists
 
 _FIRST = "_tf_first"
 
@@ -69,11 +70,7 @@ def target_exists(spark: SparkSession, path_or_table: str) -> bool:
             return spark.catalog.tableExists(path_or_table)
         except Exception:  # noqa: BLE001
             return False
-    try:
-        spark.read.parquet(path_or_table).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    return path_exists(spark, path_or_table)
 
 
 def read_target(spark: SparkSession, path: str, spec: S.TableSpec) -> DataFrame:

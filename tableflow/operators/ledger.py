@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow import spec as S
+from tableflow.session import path_exists
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -34,10 +35,9 @@ def append_run(spark: SparkSession, ledger_path: str, tabla: str, fecha_inicio:
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    try:
+    if path_exists(spark, ledger_path):
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception:  # noqa: BLE001  (no run yet)
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def latest_ok(ledger: DataFrame) -> DataFrame:

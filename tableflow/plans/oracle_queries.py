@@ -317,3 +317,13 @@ SQL["manifest"] = O.with_(_DIGEST) + """SELECT tabla, '2024-01-10' AS periodo_in
   tabla || '_2024_01-01.csv' AS archivo, filas AS filas_oracle, filas AS filas_csv, digest AS md5,
   filas AS calidad_total_filas, CAST(0 AS BIGINT) AS calidad_columnas_con_nulos, 0.0 AS calidad_max_pct_nulos,
   'etl_oracle_csv v1.0' AS generado_por FROM digest"""
+
+
+# --- streaming --------------------------------------------------------------
+
+SQL["stream_insert_ignore"] = "SELECT * FROM events"
+SQL["stream_batches"] = """SELECT CAST(4 AS BIGINT) AS lotes, 2 * count(*) AS filas_leidas, count(*) AS insertadas,
+  count(*) AS conflictos FROM events"""
+SQL["stream_resume"] = """SELECT 1 AS run, count(*) AS filas_leidas, count(*) AS insertadas FROM events
+  UNION ALL SELECT 2 AS run, count(*) AS filas_leidas, CAST(0 AS BIGINT) AS insertadas FROM events"""
+SQL["stream_rejects"] = SQL["target_rejects"]

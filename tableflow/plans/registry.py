@@ -437,3 +437,82 @@ def q_manifest(spark, sf):
                     F.col("problemas_calidad.total_filas").alias("calidad_total_filas"),
                     F.col("problemas_calidad.columnas_con_nulos").alias("calidad_columnas_con_nulos"),
                     F.col("problemas_calidad.max_pct_nulos").alias("calidad_max_pct_nulos"), "generado_por")
+
+
+# --- streaming ----------------------------------------------------------------------
+
+from tableflow.streaming import resumable as ST  # noqa: E402
+
+STREAM_FILES_PER_COPY = 4
+STREAM_FILES_PER_TRIGGER = 2
+
+
+def _land_events(spark, sf, src, copies=1):
+    """Land ``events`` as files in the stream's source folder (each copy as separate files)."""
+    e = DV.table(spark, sf, "events")
+    for _ in range(copies):
+        e.repartition(STREAM_FILES_PER_COPY).write.mode("append").parquet(src)
+    return e.schema
+
+
+def _event_stream(spark, sf, copies=2):
+    src = scratch_path(spark, "stream_src")
+    schema = _land_events(spark, sf, src, copies)
+    cfg = ST.StreamIngest(source=src, schema=schema, target=scratch_path(spark, "stream_target"),
+                          checkpoint=scratch_path(spark, "stream_ckpt"), key=("event_id",), order=("ts",),
+                          max_files_per_trigger=STREAM_FILES_PER_TRIGGER, metrics=scratch_path(spark, "stream_metrics"))
+    ST.run_until_caught_up(spark, cfg)
+    return cfg
+
+
+@query("stream_insert_ignore")
+def q_stream_insert_ignore(spark, sf):
+    return ST.read_target(spark, _event_stream(spark, sf))
+
+
+def _metric_totals(metrics):
+    return metrics.agg(F.count(F.lit(1)).alias("lotes"), F.sum("filas_leidas").alias("filas_leidas"),
+                       F.sum("insertadas").alias("insertadas"), F.sum("conflictos").alias("conflictos"))
+
+
+@query("stream_batches")
+def q_stream_batches(spark, sf):
+    cfg = _event_stream(spark, sf)
+    return _metric_totals(spark.read.parquet(cfg.metrics))
+
+
+@query("batch_progress")
+def q_batch_progress(spark, sf):
+    cfg = _event_stream(spark, sf)
+    return ST.batch_progress(spark.read.parquet(cfg.metrics))
+
+
+@query("stream_resume")
+def q_stream_resume(spark, sf):
+    src = scratch_path(spark, "stream_src")
+    schema = _land_events(spark, sf, src, 1)
+    cfg = ST.StreamIngest(source=src, schema=schema, target=scratch_path(spark, "stream_target"),
+                          checkpoint=scratch_path(spark, "stream_ckpt"), key=("event_id",), order=("ts",),
+                          max_files_per_trigger=STREAM_FILES_PER_TRIGGER, metrics=scratch_path(spark, "stream_metrics"))
+    ST.run_until_caught_up(spark, cfg)
+    first_run_last = spark.read.parquet(cfg.metrics).agg(F.max(ST.BATCH)).first()[0]
+    _land_events(spark, sf, src, 1)          # new files arrive; the restart reads only those
+    ST.run_until_caught_up(spark, cfg)
+    m = spark.read.parquet(cfg.metrics)
+    runs = F.when(F.col(ST.BATCH) <= first_run_last, F.lit(1)).otherwise(F.lit(2))
+    return (m.withColumn("run", runs).groupBy("run")
+             .agg(F.sum("filas_leidas").alias("filas_leidas"), F.sum("insertadas").alias("insertadas")))
+
+
+@query("stream_rejects")
+def q_stream_rejects(spark, sf):
+    src = scratch_path(spark, "stream_orders")
+    d = DV.dirty_orders(spark, sf)
+    d.repartition(STREAM_FILES_PER_COPY).write.parquet(src)
+    cfg = ST.StreamIngest(source=src, schema=d.schema, target=scratch_path(spark, "stream_target"),
+                          checkpoint=scratch_path(spark, "stream_ckpt"), key=S.BULK_SPEC.key, order=("row_no",),
+                          max_files_per_trigger=STREAM_FILES_PER_TRIGGER, rejects=scratch_path(spark, "stream_rej"),
+                          prepare=lambda b: ING.prepare_load(b, S.BULK_SPEC, "row_no"))
+    ST.run_until_caught_up(spark, cfg)
+    rej = spark.read.parquet(cfg.rejects)
+    return _as_output(rej.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))

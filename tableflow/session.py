@@ -67,3 +67,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return "/".join([root, "tableflow", *parts, uuid.uuid4().hex])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does the path exist on its file system (local, HDFS, object store)?"""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
