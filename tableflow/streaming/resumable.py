@@ -103,7 +103,10 @@ def start(spark: SparkSession, cfg: StreamIngest, available_now: bool = True):
 
 def run_until_caught_up(spark: SparkSession, cfg: StreamIngest) -> None:
     q = start(spark, cfg, available_now=True)
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    except Exception as e:  # noqa: BLE001  (the batch error, surfaced as one type)
+        raise RuntimeError(f"ingestion stopped: {e}") from e
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
