@@ -81,24 +81,48 @@ def clean_code(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Colum
     return F.when(n != 0, n)
 
 
-def _layout_arm(s: Column, parts: Column, layout: str) -> Column:
+def date_fields(s: Column) -> list[Column]:
+    """The three numeric fields of a date text split on its separators (null when absent)."""
+    parts = F.split(s, "[/-]")
+    return [F.get(parts, F.lit(i)).try_cast("int") for i in range(3)]
+
+
+def _layout_arm(s: Column, fields, layout: str) -> Column:
+    """The date of one layout, built from integers: no parse is attempted, nothing can throw.
+
+    The base is the first of the month, clamped to a valid date so that ``make_date``
+    never fails; the value is only used when year, month and day are all in range.
+    """
     pattern, iy, im, id_ = _LAYOUT_PARTS[layout]
-    y, m, d = parts.getItem(iy), parts.getItem(im), parts.getItem(id_)
+    y, m, d = fields[iy], fields[im], fields[id_]
     if "%y" in layout:
-        y = F.concat(F.when(y <= F.lit(f"{TWO_DIGIT_YEAR_PIVOT:02d}"), F.lit("20")).otherwise(F.lit("19")), y)
-    day = F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d")).cast("date")
-    return F.when(s.rlike(pattern) & F.year(day).between(YEAR_MIN, YEAR_MAX), day)
+        y = F.when(y <= TWO_DIGIT_YEAR_PIVOT, y + 2000).otherwise(y + 1900)
+    month_ok = m.between(1, 12)
+    base = F.make_date(F.when(y.between(YEAR_MIN, YEAR_MAX), y).otherwise(F.lit(2000)),
+                       F.when(month_ok, m).otherwise(F.lit(1)), F.lit(1))
+    ok = (s.rlike(pattern) & y.between(YEAR_MIN, YEAR_MAX) & month_ok
+          & d.between(F.lit(1), F.dayofmonth(F.last_day(base))))
+    return F.when(ok, F.date_add(base, d - 1))
+
+
+def date_from_fields(s: Column, fields) -> Column:
+    """:func:`clean_date` from a stripped text and its :func:`date_fields`.
+
+    Used by the record cleaner with the fields held in their own columns, so each
+    field is computed once per row instead of once per reference.
+    """
+    parsed = F.coalesce(*[_layout_arm(s, fields, layout) for layout in DATE_LAYOUTS])
+    return F.when((s != F.lit("")) & (s != F.lit(DATE_SENTINEL)), parsed)
 
 
 def clean_date(c, stripped: bool = False) -> Column:
     """Date from text in the accepted layouts (first that fits wins); sentinel and junk give null.
 
-    ``stripped=True`` when the input is already stripped (saves one regex per value).
+    A single expression, convenient in SQL and ad-hoc selects. For whole tables use
+    :func:`tableflow.operators.records.clean_record` (same rule, staged projections).
     """
     s = _col(c) if stripped else strip(c)
-    parts = F.split(s, "[/-]")
-    parsed = F.coalesce(*[_layout_arm(s, parts, layout) for layout in DATE_LAYOUTS])
-    return F.when((s != F.lit("")) & (s != F.lit(DATE_SENTINEL)), parsed)
+    return date_from_fields(s, date_fields(s))
 
 
 def clean_date_text(c, stripped: bool = False) -> Column:
@@ -135,12 +159,23 @@ def typed_value(c) -> Column:
 
 
 DEFAULT_TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyy-MM-dd")
+# Shape of the text each default format can parse. A parse is only attempted on text
+# of the right shape: failed parses are costly (exception per value on the JVM).
+_FORMAT_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$",
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+}
 
 
 def coerce_timestamp(c, formats=DEFAULT_TIMESTAMP_FORMATS) -> Column:
     """Timestamp (without time zone) from text in one of the declared formats; bad text gives null."""
     v = _col(c)
-    parsed = [F.try_to_timestamp(v, F.lit(f)) for f in formats]
+    parsed = []
+    for f in formats:
+        p = F.try_to_timestamp(v, F.lit(f))
+        shape = _FORMAT_SHAPES.get(f)
+        parsed.append(F.when(v.rlike(shape), p) if shape else p)
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 

@@ -54,24 +54,51 @@ def project_spec(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], *[_source(df, c).alias(c) for c in spec.column_names])
 
 
+def _fields(name: str) -> list[str]:
+    return [f"_tf_{name}_{i}" for i in range(3)]
+
+
 def clean_record(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     """Apply each column's rule (date / integer / code / text).
 
-    Two narrow projections in the same stage: the first strips the fields whose rules
-    look at them several times, the second applies the rules. Keeping the stripped
-    value as its own column lets the optimizer evaluate it once per row and keeps the
-    generated code of each projection small enough to be compiled.
+    Three narrow projections in the same stage: strip the fields whose rules look at
+    them several times; split date texts into their three numbers; apply the rules.
+    Each intermediate value sits in its own column, so it is computed once per row
+    (the optimizer does not inline a costly expression that is used many times), and
+    the generated code of each projection stays small enough to compile.
     """
     present = [r for r in spec.columns if r.name in df.columns]
-    staged = df.select(*[F.col(k) for k in keep], *[
+    dates = [r.name for r in present if r.kind in (S.DATE, S.DATE_TEXT)]
+    keep_cols = [F.col(k) for k in keep]
+    stage1 = df.select(*keep_cols, *[
         (R.strip(r.name) if r.kind in _STRIPPED_KINDS else F.col(r.name)).alias(f"_tf_{r.name}") for r in present])
+    stage2 = stage1.select(*keep_cols, *[F.col(f"_tf_{r.name}") for r in present], *[
+        e.alias(n) for c in dates for e, n in zip(R.date_fields(F.col(f"_tf_{c}")), _fields(c))])
     out = []
     for r in spec.columns:
-        if r.name in df.columns:
-            out.append(rule_expr(r, F.col(f"_tf_{r.name}"), stripped=r.kind in _STRIPPED_KINDS).alias(r.name))
-        else:
+        if r.name not in df.columns:
             out.append(rule_expr(r, F.lit(None).cast("string")).alias(r.name))
-    return staged.select(*[F.col(k) for k in keep], *out)
+            continue
+        s = F.col(f"_tf_{r.name}")
+        if r.kind in (S.DATE, S.DATE_TEXT):
+            d = R.date_from_fields(s, [F.col(n) for n in _fields(r.name)])
+            out.append((d if r.kind == S.DATE else F.date_format(d, "yyyy-MM-dd")).alias(r.name))
+        else:
+            out.append(rule_expr(r, s, stripped=r.kind in _STRIPPED_KINDS).alias(r.name))
+    return stage2.select(*keep_cols, *out)
+
+
+def clean_dates(df: DataFrame, columns: dict, as_text: bool = False) -> DataFrame:
+    """Add cleaned dates: ``columns`` maps output name -> input text column (staged like clean_record)."""
+    base = df.select("*", *[R.strip(src).alias(f"_tf_{out}") for out, src in columns.items()])
+    staged = base.select("*", *[e.alias(n) for out in columns
+                                for e, n in zip(R.date_fields(F.col(f"_tf_{out}")), _fields(out))])
+    adds = []
+    for out in columns:
+        d = R.date_from_fields(F.col(f"_tf_{out}"), [F.col(n) for n in _fields(out)])
+        adds.append((F.date_format(d, "yyyy-MM-dd") if as_text else d).alias(out))
+    helper = [f"_tf_{o}" for o in columns] + [n for o in columns for n in _fields(o)]
+    return staged.select(*[c for c in df.columns if c not in columns], *adds).drop(*helper)
 
 
 def clean_record_by_name(df: DataFrame, columns, keep=(),
@@ -82,15 +109,17 @@ def clean_record_by_name(df: DataFrame, columns, keep=(),
     for name in columns:
         c = _source(df, name)
         if "fecha" in name:
-            e = R.clean_date_text(c)
+            e = F.lit(None).cast("string") if name not in df.columns else None
         elif "coddane" in name:
             e = F.when(R.strip(c) == "0", F.lit(None).cast("string")).otherwise(R.clean_text(c))
         elif name in blank_null_ids:
             e = F.when(R.strip(c) == "", F.lit(None).cast("string")).otherwise(R.clean_text(c))
         else:
             e = R.clean_text(c)
-        out.append(e.alias(name))
-    return df.select(*[F.col(k) for k in keep], *out)
+        out.append(e.alias(name) if e is not None else F.col(name))
+    dated = [n for n in columns if "fecha" in n and n in df.columns]
+    base = clean_dates(df, {n: n for n in dated}, as_text=True) if dated else df
+    return base.select(*[F.col(k) for k in keep], *out)
 
 
 def strip_columns(df: DataFrame) -> DataFrame:

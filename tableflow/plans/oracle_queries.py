@@ -327,3 +327,8 @@ SQL["stream_batches"] = """SELECT CAST(4 AS BIGINT) AS lotes, 2 * count(*) AS fi
 SQL["stream_resume"] = """SELECT 1 AS run, count(*) AS filas_leidas, count(*) AS insertadas FROM events
   UNION ALL SELECT 2 AS run, count(*) AS filas_leidas, CAST(0 AS BIGINT) AS insertadas FROM events"""
 SQL["stream_rejects"] = SQL["target_rejects"]
+
+SQL["sql_functions"] = _DO + f"""SELECT row_no, {O.clean_date('fechaocurrencia')} AS fecha,
+  CAST({O.clean_int('idpersona')} AS BIGINT) AS entero,
+  CAST({O.clean_code('coddanemunicipioocurrencia')} AS BIGINT) AS codigo, {O.clean_text('hecho')} AS hecho,
+  {O.value_kind('lower(' + O.strip('primernombre') + ')')} AS kind FROM dirty_orders"""

@@ -47,10 +47,10 @@ def _as_output(df: DataFrame) -> DataFrame:
 
 @query("clean_date")
 def q_clean_date(spark, sf):
-    d = DV.dirty_orders(spark, sf)
-    return d.select("row_no", F.col("fechaocurrencia").alias("raw"),
-                    R.clean_date("fechaocurrencia").alias("fecha"),
-                    R.clean_date("fechareporte").alias("fecha_reporte"))
+    d = DV.dirty_orders(spark, sf).select("row_no", F.col("fechaocurrencia").alias("raw"), "fechaocurrencia",
+                                          "fechareporte")
+    return REC.clean_dates(d, {"fecha": "fechaocurrencia", "fecha_reporte": "fechareporte"}).select(
+        "row_no", "raw", "fecha", "fecha_reporte")
 
 
 @query("clean_int")
@@ -516,3 +516,17 @@ def q_stream_rejects(spark, sf):
     ST.run_until_caught_up(spark, cfg)
     rej = spark.read.parquet(cfg.rejects)
     return _as_output(rej.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))
+
+
+# --- SQL surface ----------------------------------------------------------------------
+
+from tableflow.functions import sql as FSQL  # noqa: E402
+
+
+@query("sql_functions")
+def q_sql_functions(spark, sf):
+    FSQL.register(spark)
+    DV.dirty_orders(spark, sf).createOrReplaceTempView("tf_dirty_orders")
+    return spark.sql("""SELECT row_no, clean_date(fechaocurrencia) AS fecha,
+        CAST(clean_int(idpersona) AS BIGINT) AS entero, CAST(clean_code(coddanemunicipioocurrencia) AS BIGINT) AS codigo,
+        clean_text(hecho) AS hecho, value_kind(lower(strip_text(primernombre))) AS kind FROM tf_dirty_orders""")
