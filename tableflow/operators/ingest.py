@@ -134,3 +134,20 @@ def bulk_load(spark: SparkSession, raw: DataFrame, spec: S.TableSpec, target_pat
     total = spark.read.parquet(target_path).count()
     return LoadReport(filas_procesadas=submitted + rejected_n, enviadas=submitted, insertadas=inserted,
                       conflictos=submitted - inserted, rechazadas=rejected_n, total_en_destino=total)
+
+
+def create_target(spark: SparkSession, spec: S.TableSpec, path: str | None = None, table: str | None = None,
+                  bucket_by_key: int | None = None) -> None:
+    """Create the empty target from its declaration (types, load-time column).
+
+    Uniqueness is enforced by :func:`insert_ignore`, text lengths and integer ranges by
+    :func:`tableflow.operators.quarantine.conform_to_target`.
+    """
+    empty = empty_target(spark, spec)
+    if table:
+        w = empty.write.mode("ignore")
+        if bucket_by_key and spec.key:
+            w = w.bucketBy(bucket_by_key, *spec.key).sortBy(*spec.key)
+        w.format("parquet").saveAsTable(table)
+    elif path and not path_exists(spark, path):
+        empty.write.parquet(path)
