@@ -72,7 +72,7 @@ def clean_int(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Column
     digits; range checks against the target column are done by the target check.
     """
     s = _col(c) if stripped else strip(c)
-    return F.when(s.rlike(_INT_TEXT_RE), F.regexp_replace(s, "_", "")).try_cast(dtype)
+    return F.when(s.rlike(_INT_TEXT_RE), F.replace(s, F.lit("_"), F.lit(""))).try_cast(dtype)
 
 
 def clean_code(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Column:
@@ -81,38 +81,70 @@ def clean_code(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Colum
     return F.when(n != 0, n)
 
 
+_AMBIGUOUS_RE = r"^\d{2}-\d{1,2}-\d{2}$"   # fits both two-digit-year layouts
+
+
 def date_fields(s: Column) -> list[Column]:
-    """The three numeric fields of a date text split on its separators (null when absent)."""
+    """Per date text: its three numbers (split on the separators) and the first layout
+    whose pattern it fits (1-based, null when none)."""
     parts = F.split(s, "[/-]")
-    return [F.get(parts, F.lit(i)).try_cast("int") for i in range(3)]
+    nums = [F.get(parts, F.lit(i)).try_cast("int") for i in range(3)]
+    layout = None
+    for i, name in enumerate(DATE_LAYOUTS, start=1):
+        hit = s.rlike(_LAYOUT_PARTS[name][0])
+        layout = F.when(hit, F.lit(i)) if layout is None else layout.when(hit, F.lit(i))
+    return [*nums, layout]
+
+
+def _pivot(y: Column) -> Column:
+    return F.when(y <= TWO_DIGIT_YEAR_PIVOT, y + 2000).otherwise(y + 1900)
 
 
-def _layout_arm(s: Column, fields, layout: str) -> Column:
-    """The date of one layout, built from integers: no parse is attempted, nothing can throw.
+def _valid_date(y: Column, m: Column, d: Column) -> Column:
+    """make the date when year, month and day are in range, else null; never throws.
 
-    The base is the first of the month, clamped to a valid date so that ``make_date``
-    never fails; the value is only used when year, month and day are all in range.
+    The base is the first of the month, clamped to a valid date so ``make_date`` cannot
+    fail; the day is added as an offset once it is known to fit the month.
     """
-    pattern, iy, im, id_ = _LAYOUT_PARTS[layout]
-    y, m, d = fields[iy], fields[im], fields[id_]
-    if "%y" in layout:
-        y = F.when(y <= TWO_DIGIT_YEAR_PIVOT, y + 2000).otherwise(y + 1900)
     month_ok = m.between(1, 12)
     base = F.make_date(F.when(y.between(YEAR_MIN, YEAR_MAX), y).otherwise(F.lit(2000)),
                        F.when(month_ok, m).otherwise(F.lit(1)), F.lit(1))
-    ok = (s.rlike(pattern) & y.between(YEAR_MIN, YEAR_MAX) & month_ok
-          & d.between(F.lit(1), F.dayofmonth(F.last_day(base))))
+    ok = y.between(YEAR_MIN, YEAR_MAX) & month_ok & d.between(F.lit(1), F.dayofmonth(F.last_day(base)))
     return F.when(ok, F.date_add(base, d - 1))
 
 
-def date_from_fields(s: Column, fields) -> Column:
-    """:func:`clean_date` from a stripped text and its :func:`date_fields`.
-
-    Used by the record cleaner with the fields held in their own columns, so each
-    field is computed once per row instead of once per reference.
+def date_parts(fields) -> list[Column]:
+    """Year, month and day of a date text, from its :func:`date_fields`, by layout."""
+    a, b, c, layout = fields
+    nums = (a, b, c)
+    out = []
+    for slot in range(3):
+        expr = None
+        for i, name in enumerate(DATE_LAYOUTS, start=1):
+            v = nums[_LAYOUT_PARTS[name][1 + slot]]
+            if slot == 0 and "%y" in name:
+                v = _pivot(v)
+            expr = F.when(layout == i, v) if expr is None else expr.when(layout == i, v)
+        out.append(expr)
+    return out
+
+
+def date_from_parts(s: Column, fields, parts) -> Column:
+    """:func:`clean_date` from the stripped text, its fields and its (year, month, day).
+
+    A value that fits the first two-digit-year layout but is no valid date there falls
+    back to the second one. The record cleaner keeps fields and parts in their own
+    columns (one projection each), so each is computed once per row.
     """
-    parsed = F.coalesce(*[_layout_arm(s, fields, layout) for layout in DATE_LAYOUTS])
-    return F.when((s != F.lit("")) & (s != F.lit(DATE_SENTINEL)), parsed)
+    a, b, c, layout = fields
+    y, m, d = parts
+    first = _valid_date(y, m, d)
+    fallback = F.when((layout == 4) & s.rlike(_AMBIGUOUS_RE), _valid_date(_pivot(c), b, a))
+    return F.when((s != F.lit("")) & (s != F.lit(DATE_SENTINEL)), F.coalesce(first, fallback))
+
+
+def date_from_fields(s: Column, fields) -> Column:
+    return date_from_parts(s, fields, date_parts(fields))
 
 
 def clean_date(c, stripped: bool = False) -> Column:
@@ -179,6 +211,17 @@ def coerce_timestamp(c, formats=DEFAULT_TIMESTAMP_FORMATS) -> Column:
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
+def fence(c) -> Column:
+    """The same value, computed where it stands.
+
+    A filter on a computed column is normally pushed below the projection that
+    computes it, with the whole expression copied into the filter: the rules would run
+    twice and lose their staging. Wrapping the value in an always-true guard on the
+    partition id marks the projection as non-pushable, so the filter reads the column.
+    """
+    return F.when(F.spark_partition_id() >= 0, _col(c))
+
+
 def is_invalid(raw, parsed) -> Column:
     """A value that was present but did not parse."""
     return _col(parsed).isNull() & _col(raw).isNotNull()

@@ -61,7 +61,7 @@ def required_tag(df: DataFrame, required) -> Column:
 
 
 def split_required(df: DataFrame, required) -> tuple[DataFrame, DataFrame]:
-    tagged = df.withColumn(PROBLEM, required_tag(df, required))
+    tagged = df.withColumn(PROBLEM, R.fence(required_tag(df, required)))
     return (tagged.filter(F.col(PROBLEM).isNull()).drop(PROBLEM),
             tagged.filter(F.col(PROBLEM).isNotNull()))
 
@@ -147,7 +147,7 @@ def target_tag(df: DataFrame, spec: S.TableSpec) -> Column:
 
 def conform_to_target(df: DataFrame, spec: S.TableSpec, keep=()) -> tuple[DataFrame, DataFrame]:
     """(rows cast to the target types, rows the target would refuse with the reason)."""
-    tagged = df.withColumn(PROBLEM, target_tag(df, spec))
+    tagged = df.withColumn(PROBLEM, R.fence(target_tag(df, spec)))
     ok = tagged.filter(F.col(PROBLEM).isNull()).select(
         *[F.col(k) for k in keep],
         *[F.col(r.name).cast(r.target).alias(r.name) for r in spec.columns if r.name in df.columns])

@@ -32,6 +32,9 @@ def _source(df: DataFrame, name: str) -> Column:
 
 
 _STRIPPED_KINDS = (S.DATE, S.DATE_TEXT, S.CODE, S.INT)
+# type each rule produces (an absent column becomes a null of that type)
+_RULE_OUTPUT_TYPE = {S.DATE: "date", S.DATE_TEXT: "string", S.CODE: "decimal(38,0)", S.INT: "decimal(38,0)",
+                     S.TEXT: "string", S.RAW: "string"}
 
 
 def rule_expr(rule: S.ColumnRule, c: Column, stripped: bool = False) -> Column:
@@ -54,51 +57,86 @@ def project_spec(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], *[_source(df, c).alias(c) for c in spec.column_names])
 
 
+def spread_narrow_input(df: DataFrame) -> DataFrame:
+    """Spread a narrow input over the cluster before CPU-heavy row rules.
+
+    A small source (one file, one row group, a non-splittable text file) arrives as a
+    single partition, and the rules would then run on one core. When the input has
+    fewer partitions than the default parallelism it is redistributed round-robin;
+    a large input already has many splits and is left alone (no shuffle at scale).
+    """
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(want) if have < want else df
+
+
 def _fields(name: str) -> list[str]:
-    return [f"_tf_{name}_{i}" for i in range(3)]
+    return [f"_tf_{name}_{i}" for i in range(4)]
+
+
+def _parts(name: str) -> list[str]:
+    return [f"_tf_{name}_{p}" for p in ("y", "m", "d")]
+
+
+def _with_date_stages(df: DataFrame, texts: dict) -> DataFrame:
+    """Add the date fields, then the date parts, each in its own projection.
+
+    ``texts`` maps a name to a stripped text column already in ``df``. Nesting these
+    expressions in one projection makes the generated code re-evaluate them many
+    times per row; one projection per stage keeps each value computed once.
+    """
+    with_fields = df.select("*", *[e.alias(n) for name, col in texts.items()
+                                   for e, n in zip(R.date_fields(F.col(col)), _fields(name))])
+    return with_fields.select("*", *[e.alias(n) for name in texts
+                                     for e, n in zip(R.date_parts([F.col(x) for x in _fields(name)]), _parts(name))])
+
+
+def _date_value(name: str, text_col: str) -> Column:
+    return R.date_from_parts(F.col(text_col), [F.col(x) for x in _fields(name)], [F.col(x) for x in _parts(name)])
 
 
 def clean_record(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     """Apply each column's rule (date / integer / code / text).
 
-    Three narrow projections in the same stage: strip the fields whose rules look at
-    them several times; split date texts into their three numbers; apply the rules.
-    Each intermediate value sits in its own column, so it is computed once per row
-    (the optimizer does not inline a costly expression that is used many times), and
-    the generated code of each projection stays small enough to compile.
+    Narrow projections in one stage: strip the fields whose rules look at them several
+    times; split date texts into numbers and a layout; pick year, month and day; apply
+    the rules. Each intermediate value sits in its own column, so it is computed once
+    per row (the optimizer does not inline a costly expression used many times), and
+    the generated code of each projection stays small.
     """
     present = [r for r in spec.columns if r.name in df.columns]
     dates = [r.name for r in present if r.kind in (S.DATE, S.DATE_TEXT)]
     keep_cols = [F.col(k) for k in keep]
+    df = spread_narrow_input(df)
     stage1 = df.select(*keep_cols, *[
         (R.strip(r.name) if r.kind in _STRIPPED_KINDS else F.col(r.name)).alias(f"_tf_{r.name}") for r in present])
-    stage2 = stage1.select(*keep_cols, *[F.col(f"_tf_{r.name}") for r in present], *[
-        e.alias(n) for c in dates for e, n in zip(R.date_fields(F.col(f"_tf_{c}")), _fields(c))])
+    staged = _with_date_stages(stage1, {c: f"_tf_{c}" for c in dates})
     out = []
     for r in spec.columns:
         if r.name not in df.columns:
-            out.append(rule_expr(r, F.lit(None).cast("string")).alias(r.name))
+            out.append(F.lit(None).cast(_RULE_OUTPUT_TYPE.get(r.kind, "string")).alias(r.name))
             continue
         s = F.col(f"_tf_{r.name}")
         if r.kind in (S.DATE, S.DATE_TEXT):
-            d = R.date_from_fields(s, [F.col(n) for n in _fields(r.name)])
+            d = _date_value(r.name, f"_tf_{r.name}")
             out.append((d if r.kind == S.DATE else F.date_format(d, "yyyy-MM-dd")).alias(r.name))
         else:
             out.append(rule_expr(r, s, stripped=r.kind in _STRIPPED_KINDS).alias(r.name))
-    return stage2.select(*keep_cols, *out)
+    return staged.select(*keep_cols, *out)
 
 
 def clean_dates(df: DataFrame, columns: dict, as_text: bool = False) -> DataFrame:
     """Add cleaned dates: ``columns`` maps output name -> input text column (staged like clean_record)."""
-    base = df.select("*", *[R.strip(src).alias(f"_tf_{out}") for out, src in columns.items()])
-    staged = base.select("*", *[e.alias(n) for out in columns
-                                for e, n in zip(R.date_fields(F.col(f"_tf_{out}")), _fields(out))])
+    base = spread_narrow_input(df).select("*", *[R.strip(src).alias(f"_tf_{out}") for out, src in columns.items()])
+    staged = _with_date_stages(base, {out: f"_tf_{out}" for out in columns})
     adds = []
     for out in columns:
-        d = R.date_from_fields(F.col(f"_tf_{out}"), [F.col(n) for n in _fields(out)])
+        d = _date_value(out, f"_tf_{out}")
         adds.append((F.date_format(d, "yyyy-MM-dd") if as_text else d).alias(out))
-    helper = [f"_tf_{o}" for o in columns] + [n for o in columns for n in _fields(o)]
-    return staged.select(*[c for c in df.columns if c not in columns], *adds).drop(*helper)
+    return staged.select(*[c for c in df.columns if c not in columns], *adds)
 
 
 def clean_record_by_name(df: DataFrame, columns, keep=(),
