@@ -15,6 +15,11 @@ def delivery_name(table: Column, start: str, end: str) -> Column:
     return F.concat(F.upper(table), F.lit(f"_{start[:4]}_{start[5:7]}-{end[5:7]}.csv"))
 
 
+def delivery_file_name(table: str, start: str, end: str) -> str:
+    """The same name for one table given on the driver (for the output path)."""
+    return f"{table.upper()}_{start[:4]}_{start[5:7]}-{end[5:7]}.csv"
+
+
 def row_text(df: DataFrame, columns=None) -> Column:
     """Canonical text of a row: fields as text, ``\\N`` for null, ``|`` between them."""
     cols = columns or df.columns

@@ -14,6 +14,7 @@ skew. For a very large target, keep it bucketed by the key (``write_target`` wit
 from __future__ import annotations
 
 import functools
+import time as _time
 import operator
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tableflow import spec as S
+from tableflow.functions import rules as R
 from tableflow.operators import quarantine as Q
 from tableflow.operators import records as REC
 from tableflow.session import path_exists
@@ -107,35 +109,49 @@ def prepare_load(raw: DataFrame, spec: S.TableSpec, ordinal: str) -> tuple[DataF
     return Q.conform_to_target(cleaned, spec, keep=[ordinal])
 
 
+STATUS = "_estado"
+ACCEPTED, REJECTED = "aceptada", "rechazada"
+
+
 def bulk_load(spark: SparkSession, raw: DataFrame, spec: S.TableSpec, target_path: str, ordinal: str,
-              rejects_path: str | None = None, load_time=None) -> LoadReport:
+              staging_path: str | None = None, load_time=None) -> LoadReport:
     """Scan -> clean -> target checks -> insert-ignore -> append, with a load report.
 
-    Counts are gathered with observations while the data is written, so the report
-    costs no extra pass over the input.
+    Job 1 reads and cleans the source once and writes every row, tagged, to a staging
+    table partitioned by outcome (``_estado=aceptada|rechazada``); the rejected
+    partition is the reject table. Job 2 inserts from the accepted partition. The
+    staging table cuts the lineage: a lost executor in job 2 never re-reads the source.
+    Counts come from observations taken while the data is written.
     """
-    accepted, rejected = prepare_load(raw, spec, ordinal)
-    obs_in, obs_new = Observation("tf_in"), Observation("tf_new")
-    accepted = accepted.observe(obs_in, F.count(F.lit(1)).alias("n"))
-    rejected_n = 0
-    if rejects_path:
-        obs_rej = Observation("tf_rej")
-        rejected.observe(obs_rej, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(rejects_path)
-        rejected_n = obs_rej.get["n"]
-    else:
-        rejected_n = rejected.count()
+    staging_path = staging_path or f"{target_path.rstrip('/')}_staging/{int(_time.time() * 1000)}"
+    cleaned = REC.clean_record(raw, spec, keep=[ordinal])
+    tagged = cleaned.withColumn(Q.PROBLEM, R.fence(Q.target_tag(cleaned, spec)))
+    tagged = tagged.withColumn(STATUS, F.when(F.col(Q.PROBLEM).isNull(), F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
+    obs_in = Observation("tf_in")
+    (tagged.observe(obs_in, F.count(F.lit(1)).alias("n"),
+                    F.sum((F.col(STATUS) == REJECTED).cast("long")).alias("rej"))
+     .write.mode("overwrite").partitionBy(STATUS).parquet(staging_path))
+    read_n, rejected_n = obs_in.get["n"], obs_in.get["rej"] or 0
+    accepted = spark.read.parquet(staging_path).filter(F.col(STATUS) == ACCEPTED).select(
+        ordinal, *[F.col(r.name).cast(r.target).alias(r.name) for r in spec.columns])
     target = read_target(spark, target_path, spec)
+    obs_new = Observation("tf_new")
     new = insert_ignore(target, accepted, spec.key, [ordinal]).drop(ordinal)
     if spec.load_time_column:
         new = with_load_time(new, spec.load_time_column, load_time)
     new = new.select(*spec.target_schema().fieldNames()).observe(obs_new, F.count(F.lit(1)).alias("n"))
     new.write.mode("append").parquet(target_path)
-    submitted, inserted = obs_in.get["n"], obs_new.get["n"]
+    submitted, inserted = read_n - rejected_n, obs_new.get["n"]
     total = spark.read.parquet(target_path).count()
-    return LoadReport(filas_procesadas=submitted + rejected_n, enviadas=submitted, insertadas=inserted,
+    return LoadReport(filas_procesadas=read_n, enviadas=submitted, insertadas=inserted,
                       conflictos=submitted - inserted, rechazadas=rejected_n, total_en_destino=total)
 
 
+def rejects_of(spark: SparkSession, staging_path: str) -> DataFrame:
+    """The rows a load set aside, with the reason."""
+    return spark.read.parquet(staging_path).filter(F.col(STATUS) == REJECTED).drop(STATUS)
+
+
 def create_target(spark: SparkSession, spec: S.TableSpec, path: str | None = None, table: str | None = None,
                   bucket_by_key: int | None = None) -> None:
     """Create the empty target from its declaration (types, load-time column).

@@ -111,8 +111,7 @@ def deliver_phase(spark: SparkSession, specs: dict, start: str, end: str, root:
             continue
         df = spark.read.parquet(src)
         columns[name] = df.columns
-        name_col = DLV.delivery_name(F.lit(name), start, end)
-        target = f"{root}/salida/{spark.range(1).select(name_col).first()[0]}"
+        target = f"{root}/salida/{DLV.delivery_file_name(name, start, end)}"
         DL.write_csv(df, target)
         digests.append(DLV.content_digest(df).withColumn("tabla", F.lit(name.upper())))
     if not digests:

@@ -367,7 +367,7 @@ def _bulk_load(spark, sf):
     DL.write_delimited(DV.dirty_orders(spark, sf), src)
     raw = DL.read_delimited(spark, src, multi_line=True).withColumn("row_no", F.col("row_no").cast("bigint"))
     target = scratch_path(spark, "target")
-    report = ING.bulk_load(spark, raw, S.BULK_SPEC, target, "row_no", rejects_path=scratch_path(spark, "rejects"),
+    report = ING.bulk_load(spark, raw, S.BULK_SPEC, target, "row_no", staging_path=scratch_path(spark, "staging"),
                            load_time=LOAD_TIME)
     return target, report
 
