@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 
 from tableflow.functions import rules as R
 
-_WS = r"[\\s\\x1c-\\x1f]"
-_STRIP = f"regexp_replace(s, '(?U)^{_WS}+|{_WS}+$', '')"
+_WS = R._WS.replace("\\", "\\\\")
+_STRIP = f"regexp_replace(s, '^{_WS}+|{_WS}+$', '')"
 
 
 def _date_sql() -> str:
@@ -39,7 +39,7 @@ def register(spark: SparkSession) -> list[str]:
     defs = {
         "strip_text": ("s STRING", "STRING", _STRIP),
         "clean_text": ("s STRING", "STRING",
-                       f"nullif(lower(trim(regexp_replace(s, '(?U){_WS}+', ' '))), '')"),
+                       f"nullif(lower(trim(regexp_replace(s, '{_WS}+', ' '))), '')"),
         "clean_int": ("s STRING", "DECIMAL(38,0)", int_body),
         "clean_code": ("s STRING", "DECIMAL(38,0)", f"CASE WHEN ({int_body}) <> 0 THEN ({int_body}) END"),
         "clean_date": ("s STRING", "DATE", _date_sql()),

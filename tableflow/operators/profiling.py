@@ -55,8 +55,8 @@ def profile_table(df: DataFrame, name: str, approximate: bool = False) -> DataFr
             F.coalesce(F.sum(F.when(F.col("valor").isNull(), F.col("n"))), F.lit(0)).alias("nulos"),
             F.count("valor").alias("unicos"),
             (F.sum("n") - F.count(F.lit(1))).alias("duplicados"))
-    # the catalogue has one row per column: broadcasting it is bounded by the schema
-    joined = F.broadcast(cat).join(per_col, "columna", "left")
+    # per_col has one row per column: broadcasting it is bounded by the schema, not the data
+    joined = cat.join(F.broadcast(per_col), "columna", "left")
     out = joined.select(
         F.lit(name).alias("tabla"), "columna", "posicion", "tipo",
         F.coalesce(F.col("total"), F.lit(0)).cast("long").alias("total_filas"),
@@ -80,6 +80,7 @@ def profile_tables(df: DataFrame, table_col: str) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("valor").isNull(), F.col("n"))), F.lit(0)).alias("nulos"),
         F.count("valor").alias("unicos"),
         (F.sum("n") - F.count(F.lit(1))).alias("duplicados"))
+    # the column catalogue is bounded by the schema
     out = per_col.join(F.broadcast(cat), "columna")
     return out.select(
         "tabla", "columna", "posicion", "tipo", F.col("total_filas").cast("long").alias("total_filas"),
