@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow import spec as S
+from tableflow import spec as S  # noqa: I001
 from tableflow.functions import rules as R
 
 _KIND_RANK = {"int": 1, "float": 2, "str": 3}
@@ -155,3 +155,28 @@ def line_count(spark: SparkSession, path: str) -> DataFrame:
     """Physical lines after the header, per the whole file set (one aggregate)."""
     return spark.read.text(path).agg((F.count(F.lit(1)) - 1).alias("total_filas"))
 
+
+
+def inspect_file(spark: SparkSession, path: str, sample_rows: int = 100_000, ignored=(), report_path: str | None = None,
+                 sep: str = S.BULK_SEPARATOR, encoding: str = S.BULK_ENCODING) -> dict[str, DataFrame]:
+    """Inspect a raw delimited file: line count, per-column kind and nulls on the first
+    ``sample_rows`` records, critical columns, first and last rows of the sample.
+
+    Returns the frames (nothing is collected); with ``report_path`` the column report is
+    written as JSON (one row per column).
+    """
+    from tableflow.operators.records import drop_columns
+    from tableflow.sources import delimited as DL
+
+    raw = DL.read_delimited(spark, path, sep=sep, encoding=encoding, drop_quotes=True)
+    raw = drop_columns(DL.with_file_ordinal(raw), ignored)
+    sample = first_n(raw, sample_rows, DL.ORDINAL)
+    columns = inspect_columns(sample, ordinal=DL.ORDINAL)
+    if report_path:
+        columns.coalesce(1).write.mode("overwrite").json(report_path)
+    return {
+        "lineas": DL.line_count(spark, path),
+        "columnas": columns,
+        "criticas": critical_columns(columns),
+        "extremos": head_tail(sample, DL.ORDINAL),
+    }

@@ -179,3 +179,8 @@ def copy_text_lines(df: DataFrame, columns, keep=()) -> DataFrame:
 
 def sql_identifier(name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z_]", "_", name)
+
+
+def write_copy_text(df: DataFrame, columns, path: str, mode: str = "overwrite") -> None:
+    """Write rows in the bulk text format (one line per row), ready for a database bulk load."""
+    copy_text_lines(df, columns).write.mode(mode).text(path)

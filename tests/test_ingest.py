@@ -107,3 +107,32 @@ def test_range_predicates_cover_every_row_once(spark):
     assert DB.union_pages(df, preds).count() == df.count()
     opts = DB.jdbc_options("jdbc:x", "T", "ID", 0, 100, 7)
     assert opts["numPartitions"] == "7" and opts["fetchsize"] == "10000"
+
+
+def test_insert_ignore_hot_key_is_exact(spark):
+    rows = [(7, None, f"v{i}", i) for i in range(3000)] + [(i, 1, "x", i) for i in range(6000)]
+    inc = spark.createDataFrame(rows, "a int, b int, v string, o int").repartition(6)
+    target = spark.createDataFrame([(1, 1, "old")], "a int, b int, v string")
+    new = ING.insert_ignore(target, inc, ["a", "b"], ["o"])
+    assert new.count() == 6000                      # 5999 normal keys + the hot key (7, null)
+    assert new.filter("a = 7 AND b IS NULL").first()["v"] == "v0"
+
+
+def test_load_report_accounting(spark):
+    spec = S.TableSpec("t", (S.ColumnRule("k", S.INT, "smallint"), S.ColumnRule("t", S.TEXT, "string", 3)), key=("k",))
+    raw = spark.createDataFrame([(str(i % 50), "ab", i) for i in range(200)] + [("99999", "ab", 500), ("1", "long", 501)],
+                                "k string, t string, n int")
+    r = ING.bulk_load(spark, raw, spec, scratch_path(spark, "acct"), "n")
+    assert r.filas_procesadas == r.enviadas + r.rechazadas == 202
+    assert r.enviadas == r.insertadas + r.conflictos and r.insertadas == 50 and r.rechazadas == 2
+
+
+def test_inspect_file(spark):
+    from tableflow.operators import profiling as PRF
+    d = tempfile.mkdtemp(prefix="tf-insp-")
+    with open(f"{d}/f.txt", "w", encoding="latin-1") as fh:
+        fh.write('A»"B"»C\n1»1.5»x\n2»NULL»y\n--3»»\n4»2e3»z\n')
+    out = PRF.inspect_file(spark, d, sample_rows=100)
+    cols = {r["columna"]: (r["tipo_inferido"], r["porcentaje_nulos"]) for r in out["columnas"].collect()}
+    assert cols == {"a": ("int", 0.0), "b": ("float", 50.0), "c": ("str", 25.0)}
+    assert out["lineas"].first()[0] == 4 and out["extremos"].count() == 8
