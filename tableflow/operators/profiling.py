@@ -108,6 +108,16 @@ def first_n(df: DataFrame, n: int, ordinal: str, dense: bool = False) -> DataFra
     return df.orderBy(F.col(ordinal)).limit(n)
 
 
+def row_cap(df: DataFrame, cap: int, ordinal: str) -> tuple[DataFrame, DataFrame]:
+    """(the first ``cap`` rows, a one-row report saying whether the cap cut any row).
+
+    Off by default in the loaders; when used, the cut is reported instead of silent.
+    """
+    report = df.agg(F.count(F.lit(1)).alias("filas_fuente")).select(
+        "filas_fuente", F.lit(cap).cast("long").alias("tope"), (F.col("filas_fuente") > cap).alias("recortado"))
+    return first_n(df, cap, ordinal), report
+
+
 def inspect_columns(sample: DataFrame, ordinal: str | None = None) -> DataFrame:
     """Per column of a text sample: inferred kind (int < float < str) and percent of nulls.
 

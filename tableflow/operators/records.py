@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,9 +175,6 @@ def copy_text_lines(df: DataFrame, columns, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], F.concat_ws(R.COPY_SEPARATOR, *fields).alias("line"))
 
 
-def sql_identifier(name: str) -> str:
-    return re.sub(r"[^0-9a-zA-Z_]", "_", name)
-
 
 def write_copy_text(df: DataFrame, columns, path: str, mode: str = "overwrite") -> None:
     """Write rows in the bulk text format (one line per row), ready for a database bulk load."""

@@ -111,7 +111,8 @@ def deliver_phase(spark: SparkSession, specs: dict, start: str, end: str, root:
             continue
         df = spark.read.parquet(src)
         columns[name] = df.columns
-        target = f"{root}/salida/{DLV.delivery_file_name(name, start, end)}"
+        # the file name drops the end year; the folder keeps the full period apart
+        target = f"{root}/salida/periodo={start}_{end}/{DLV.delivery_file_name(name, start, end)}"
         DL.write_csv(df, target)
         digests.append(DLV.content_digest(df).withColumn("tabla", F.lit(name.upper())))
     if not digests:
@@ -124,7 +125,7 @@ def deliver_phase(spark: SparkSession, specs: dict, start: str, end: str, root:
     summary_path = f"{root}/reportes/entregable_2A_{start}_{end}"
     summary = spark.read.json(summary_path) if path_exists(spark, summary_path) else None
     m = DLV.manifest(counts, dig, summary, start, end, columns)
-    DLV.write_manifest(m, f"{root}/salida/manifiesto_{start}_{end}")
+    DLV.write_manifest(m, f"{root}/salida/periodo={start}_{end}/manifiesto")
     return True
 
 

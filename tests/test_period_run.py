@@ -19,7 +19,7 @@ def test_run_period_end_to_end(spark, sf):
     root = scratch_path(spark, "run")
     res = PR.run_period(spark, readers.__getitem__, specs, "2024-01-10", "2024-01-15", root)
     assert res["extraccion"] and res["perfilado"] and res["limpieza"] and res["carga"]
-    m = {r["tabla"]: r for r in spark.read.json(f"{root}/salida/manifiesto_2024-01-10_2024-01-15").collect()}
+    m = {r["tabla"]: r for r in spark.read.json(f"{root}/salida/periodo=2024-01-10_2024-01-15/manifiesto").collect()}
     assert m["NACIONES"]["filas_csv"] == 25 and m["NACIONES"]["filas_oracle"] == 25
     assert m["CLICKS"]["archivo"] == "CLICKS_2024_01-01.csv"
     led = LED.read_ledger(spark, f"{root}/control/ledger")

@@ -123,3 +123,24 @@ def test_random_text_and_kind_match_python(spark):
 def test_strip_matches_python_whitespace(spark):
     vals = [PY_WS + "a b" + PY_WS, "x"]
     assert _eval(spark, vals, R.strip) == ["a b", "x"]
+
+
+def test_sql_functions_match_column_rules(spark):
+    from tableflow.functions import sql as FS
+    FS.register(spark)
+    vals = _random_values(17, 200)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    df.createOrReplaceTempView("tf_vals")
+    got = spark.sql("SELECT i, clean_date(v) d, clean_int(v) n, clean_code(v) c, clean_text(v) t, "
+                    "value_kind(lower(strip_text(v))) k FROM tf_vals ORDER BY i").collect()
+    want = df.select("i", R.clean_date("v").alias("d"), R.clean_int("v").alias("n"), R.clean_code("v").alias("c"),
+                     R.clean_text("v").alias("t"), R.value_kind(F.lower(R.strip("v"))).alias("k")).orderBy("i").collect()
+    assert got == want
+
+
+def test_row_cap_reports_cut(spark):
+    from tableflow.operators import profiling as PRF
+    df = spark.range(10).withColumnRenamed("id", "o")
+    capped, report = PRF.row_cap(df, 4, "o")
+    assert capped.count() == 4 and report.first()["recortado"] is True
+    assert PRF.row_cap(df, 40, "o")[1].first()["recortado"] is False
