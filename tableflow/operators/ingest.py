@@ -50,11 +50,26 @@ def missing_keys(incoming: DataFrame, target: DataFrame, key) -> DataFrame:
     return incoming.join(tk, null_safe_condition(incoming, tk, key), "left_anti")
 
 
-def insert_ignore(target: DataFrame, incoming: DataFrame, key, order) -> DataFrame:
-    """Rows to append: first row per key of ``incoming`` that the target does not hold."""
+def insert_ignore(target: DataFrame, incoming: DataFrame, key, order, key_range=None) -> DataFrame:
+    """Rows to append: first row per key of ``incoming`` that the target does not hold.
+
+    ``key_range=(lo, hi)`` of the first key column over ``incoming`` restricts the target
+    side to that range (plus null keys): a pushed-down filter that lets Parquet skip the
+    row groups of a target clustered by key. The result is the same.
+    """
+    if key_range is not None and key_range[0] is not None:
+        k = F.col(list(key)[0])
+        target = target.filter(k.between(F.lit(key_range[0]), F.lit(key_range[1])) | k.isNull())
     return missing_keys(first_per_key(incoming, key, order), target, key)
 
 
+def key_range(df: DataFrame, key) -> tuple:
+    """(min, max) of the first key column (one small aggregate)."""
+    k = list(key)[0]
+    r = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi")).first()
+    return r["lo"], r["hi"]
+
+
 def with_load_time(df: DataFrame, column: str, at=None) -> DataFrame:
     """Fill the load-time column: ``at`` (tests) or the current timestamp."""
     ts = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()

@@ -77,7 +77,10 @@ def _batch_writer(cfg: StreamIngest):
             earlier = accepted.limit(0)
         obs_sub, obs_new = Observation(f"tf_sub_{batch_id}"), Observation(f"tf_new_{batch_id}")
         sub = accepted.observe(obs_sub, F.count(F.lit(1)).alias("n"))
-        new = ING.insert_ignore(earlier, sub, cfg.key, cfg.order).observe(obs_new, F.count(F.lit(1)).alias("n"))
+        # only the target rows whose first key column falls in this batch's range can conflict
+        bounds = ING.key_range(accepted, cfg.key)
+        new = ING.insert_ignore(earlier, sub, cfg.key, cfg.order, key_range=bounds).observe(
+            obs_new, F.count(F.lit(1)).alias("n"))
         new.write.mode("overwrite").parquet(f"{cfg.target}/{BATCH}={batch_id}")
         accepted.unpersist()
         read_n, submitted, inserted = obs_in.get["n"], obs_sub.get["n"], obs_new.get["n"]
