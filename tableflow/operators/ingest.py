@@ -150,7 +150,8 @@ def bulk_load(spark: SparkSession, raw: DataFrame, spec: S.TableSpec, target_pat
     started = _time.perf_counter()
     staging_path = staging_path or f"{target_path.rstrip('/')}_staging/{int(_time.time() * 1000)}"
     cleaned = REC.clean_record(raw, spec, keep=[ordinal])
-    tagged = cleaned.withColumn(Q.PROBLEM, R.fence(Q.target_tag(cleaned, spec)))
+    present = [r.name for r in spec.columns if r.name in raw.columns]   # absent ones are all null
+    tagged = cleaned.select(ordinal, *present, R.fence(Q.target_tag(cleaned, spec)).alias(Q.PROBLEM))
     tagged = tagged.withColumn(STATUS, F.when(F.col(Q.PROBLEM).isNull(), F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
     obs_in = Observation("tf_in")
     (tagged.observe(obs_in, F.count(F.lit(1)).alias("n"),
@@ -158,7 +159,8 @@ def bulk_load(spark: SparkSession, raw: DataFrame, spec: S.TableSpec, target_pat
      .write.mode("overwrite").partitionBy(STATUS).parquet(staging_path))
     read_n, rejected_n = obs_in.get["n"], obs_in.get["rej"] or 0
     accepted = spark.read.parquet(staging_path).filter(F.col(STATUS) == ACCEPTED).select(
-        ordinal, *[F.col(r.name).cast(r.target).alias(r.name) for r in spec.columns])
+        ordinal, *[(F.col(r.name) if r.name in present else F.lit(None)).cast(r.target).alias(r.name)
+                   for r in spec.columns])
     target = read_target(spark, target_path, spec)
     obs_new = Observation("tf_new")
     new = insert_ignore(target, accepted, spec.key, [ordinal]).drop(ordinal)

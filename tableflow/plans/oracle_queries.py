@@ -316,7 +316,7 @@ SQL["content_digest"] = O.with_(_DIGEST) + "SELECT * FROM digest"
 SQL["manifest"] = O.with_(_DIGEST) + """SELECT tabla, '2024-01-10' AS periodo_inicio, '2024-01-15' AS periodo_fin,
   tabla || '_2024_01-01.csv' AS archivo, filas AS filas_oracle, filas AS filas_csv, digest AS md5,
   filas AS calidad_total_filas, CAST(0 AS BIGINT) AS calidad_columnas_con_nulos, 0.0 AS calidad_max_pct_nulos,
-  'etl_oracle_csv v1.0' AS generado_por FROM digest"""
+  'tableflow 0.1.0' AS generado_por FROM digest"""
 
 
 # --- streaming --------------------------------------------------------------

@@ -159,7 +159,7 @@ PERIOD_WINDOW_COLUMN = {
 ALL_TABLES = "TODAS"
 EXTRACT_PAGE_ROWS = 10_000
 DEFAULT_KEY = "ROWID"
-ETL_VERSION = "etl_oracle_csv v1.0"
+ETL_VERSION = "tableflow 0.1.0"  # producer stamped into manifests
 CRITICAL_NULL_PERCENT = 30
 DUPLICATE_TAG = "fila duplicada"
 REQUIRED_TAG = "{col}: valor requerido nulo"
