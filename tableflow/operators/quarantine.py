@@ -98,7 +98,8 @@ class CleanResult:
         return iter((self.clean, self.problems))
 
 
-def clean_table(df: DataFrame, spec: S.TableSpec, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> CleanResult:
+def clean_table(df: DataFrame, spec: S.TableSpec, salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                blank_as_null: bool = False) -> CleanResult:
     """Strip text -> duplicates out -> required nulls out -> dates coerced.
 
     ``clean`` keeps rows with an unparseable date (the date becomes null); those rows
@@ -106,6 +107,9 @@ def clean_table(df: DataFrame, spec: S.TableSpec, salt_buckets: int = DEFAULT_SA
     stripped input text and the reason in ``_problema``.
     """
     base = strip_columns(df)
+    if blank_as_null:  # by default a blank-only text stays "" and passes the required check
+        base = base.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                             else F.col(f.name) for f in base.schema.fields])
     cols = base.columns
     sub = _counted_copies(base, salt_buckets)
     copies = _emit_copies(sub, cols).withColumn(PROBLEM, F.lit(S.DUPLICATE_TAG))

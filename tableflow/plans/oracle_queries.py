@@ -332,3 +332,7 @@ SQL["sql_functions"] = _DO + f"""SELECT row_no, {O.clean_date('fechaocurrencia')
   CAST({O.clean_int('idpersona')} AS BIGINT) AS entero,
   CAST({O.clean_code('coddanemunicipioocurrencia')} AS BIGINT) AS codigo, {O.clean_text('hecho')} AS hecho,
   {O.value_kind('lower(' + O.strip('primernombre') + ')')} AS kind FROM dirty_orders"""
+
+# the text reader splits lines at LF and at CR: rows whose text field holds "LF - CR" add two lines
+SQL["line_count"] = """SELECT count(*) + 2 * sum(CASE WHEN o_orderkey % 4 = 2 THEN 1 ELSE 0 END) AS total_filas
+  FROM orders"""

@@ -530,3 +530,11 @@ def q_sql_functions(spark, sf):
     return spark.sql("""SELECT row_no, clean_date(fechaocurrencia) AS fecha,
         CAST(clean_int(idpersona) AS BIGINT) AS entero, CAST(clean_code(coddanemunicipioocurrencia) AS BIGINT) AS codigo,
         clean_text(hecho) AS hecho, value_kind(lower(strip_text(primernombre))) AS kind FROM tf_dirty_orders""")
+
+
+@query("line_count")
+def q_line_count(spark, sf):
+    """Physical lines of the delimited file (records whose fields hold line breaks count more)."""
+    path = scratch_path(spark, "lines")
+    DL.write_delimited(DV.dirty_orders(spark, sf), path)
+    return DL.line_count(spark, path)

@@ -136,3 +136,11 @@ def test_inspect_file(spark):
     cols = {r["columna"]: (r["tipo_inferido"], r["porcentaje_nulos"]) for r in out["columnas"].collect()}
     assert cols == {"a": ("int", 0.0), "b": ("float", 50.0), "c": ("str", 25.0)}
     assert out["lineas"].first()[0] == 4 and out["extremos"].count() == 8
+
+
+def test_file_ordinal_follows_file_order(spark):
+    path = scratch_path(spark, "ord")
+    spark.range(5000).selectExpr("cast(id as string) AS n").coalesce(1).write.option("header", True).csv(path)
+    df = spark.read.option("header", True).option("maxPartitionBytes", 4096).csv(path)
+    rows = DL.with_file_ordinal(df).orderBy(DL.ORDINAL).select("n").collect()
+    assert [int(r[0]) for r in rows] == list(range(5000))

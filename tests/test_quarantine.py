@@ -119,3 +119,9 @@ def test_target_checks(spark):
     ok, bad = Q.conform_to_target(df, spec)
     assert ok.count() == 1
     assert sorted(r[Q.PROBLEM] for r in bad.collect()) == ["n: fuera de rango para smallint", "s: texto mayor a 3"]
+
+
+def test_blank_required_passes_unless_blank_as_null(spark):
+    df = spark.createDataFrame([(1, "   ", "1990-01-01")], "PACIENTE_ID int, NOMBRE string, FECHA_NACIMIENTO string")
+    assert Q.clean_table(df, PAC).clean.count() == 1
+    assert Q.clean_table(df, PAC, blank_as_null=True).problems.first()[Q.PROBLEM] == "NOMBRE: valor requerido nulo"
