@@ -141,20 +141,22 @@ def clean_record_by_name(df: DataFrame, columns, keep=(),
                          blank_null_ids=S.BULK_BLANK_NULL_IDS) -> DataFrame:
     """Rule chosen from the column name: '*fecha*' date (ISO text), '*coddane*' text '0' -> null,
     everything else collapsed lower-case text (integers stay text)."""
+    dated = [n for n in columns if "fecha" in n and n in df.columns]
+    base = spread_narrow_input(df)
+    if dated:  # the staged date rule replaces each date text by its ISO text
+        base = clean_dates(base, {n: n for n in dated}, as_text=True)
     out = []
     for name in columns:
-        c = _source(df, name)
+        c = _source(base, name)
         if "fecha" in name:
-            e = F.lit(None).cast("string") if name not in df.columns else None
+            e = c
         elif "coddane" in name:
             e = F.when(R.strip(c) == "0", F.lit(None).cast("string")).otherwise(R.clean_text(c))
         elif name in blank_null_ids:
             e = F.when(R.strip(c) == "", F.lit(None).cast("string")).otherwise(R.clean_text(c))
         else:
             e = R.clean_text(c)
-        out.append(e.alias(name) if e is not None else F.col(name))
-    dated = [n for n in columns if "fecha" in n and n in df.columns]
-    base = clean_dates(df, {n: n for n in dated}, as_text=True) if dated else df
+        out.append(e.alias(name))
     return base.select(*[F.col(k) for k in keep], *out)
 
 
