@@ -97,14 +97,39 @@ def quality_summary(profile: DataFrame) -> DataFrame:
         F.coalesce(F.max("pct_nulos"), F.lit(0.0)).alias("max_pct_nulos"))
 
 
-def first_n(df: DataFrame, n: int, ordinal: str, dense: bool = False) -> DataFrame:
-    """The first ``n`` records in source order.
+# fractions at which the ordinal's distribution is sketched (2 per decade)
+_FRACTIONS = [m * 10.0 ** -e for e in range(9, 0, -1) for m in (1, 3)] + [1.0]
+
 
-    With a dense ordinal (row number of a single file, ``_metadata.row_index``) this
-    is a pushed-down filter; otherwise a per-partition top-n merged once.
+def first_n(df: DataFrame, n: int, ordinal: str, dense: bool = False) -> DataFrame:
+    """The first ``n`` records in source order (exact).
+
+    * dense ordinal (row number of one file, ``_metadata.row_index``): a pushed-down filter;
+    * numeric ordinal: one pass sketches the ordinal (count + approximate quantiles), the
+      smallest quantile covering about 2n rows becomes a threshold, an exact count
+      verifies it (widening if the sketch undershot), and only the rows under it go
+      through the ordered top-n. The final merge sees a few times n rows, not n per
+      input partition;
+    * any other ordinal (e.g. a struct): a per-partition top-n merged once.
     """
     if dense:
         return df.filter(F.col(ordinal) < n)
+    numeric = df.schema[ordinal].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint", "double",
+                                                              "float") or \
+        df.schema[ordinal].dataType.simpleString().startswith("decimal")
+    if not numeric:
+        return df.orderBy(F.col(ordinal)).limit(n)
+    sketch = df.agg(F.count(F.lit(1)).alias("total"),
+                    F.percentile_approx(F.col(ordinal), _FRACTIONS, 10_000).alias("q")).first()
+    total, quantiles = sketch["total"], sketch["q"] or []
+    if total <= n:
+        return df
+    for f, threshold in zip(_FRACTIONS, quantiles):
+        if f * total < 2 * n or threshold is None:
+            continue
+        candidates = df.filter(F.col(ordinal) <= F.lit(threshold))
+        if candidates.count() >= n:           # exact check: the sketch is approximate
+            return candidates.orderBy(F.col(ordinal)).limit(n)
     return df.orderBy(F.col(ordinal)).limit(n)
 
 

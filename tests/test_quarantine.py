@@ -125,3 +125,13 @@ def test_blank_required_passes_unless_blank_as_null(spark):
     df = spark.createDataFrame([(1, "   ", "1990-01-01")], "PACIENTE_ID int, NOMBRE string, FECHA_NACIMIENTO string")
     assert Q.clean_table(df, PAC).clean.count() == 1
     assert Q.clean_table(df, PAC, blank_as_null=True).problems.first()[Q.PROBLEM] == "NOMBRE: valor requerido nulo"
+
+
+def test_first_n_threshold_path_is_exact(spark):
+    import random
+    rnd = random.Random(3)
+    vals = rnd.sample(range(10_000_000), 20_000)
+    df = spark.createDataFrame([(v, str(v)) for v in vals], "o long, s string").repartition(9)
+    got = [r["o"] for r in PRF.first_n(df, 500, "o").collect()]
+    assert sorted(got) == sorted(vals)[:500]
+    assert PRF.first_n(df, 50_000, "o").count() == 20_000
