@@ -139,7 +139,7 @@ def target_tag(df: DataFrame, spec: S.TableSpec) -> Column:
         if rule.name not in df.columns:
             continue
         c = F.col(rule.name)
-        t = T._parse_datatype_string(rule.target)
+        t = S.spark_type(rule.target)
         if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
             arms.append(F.when(c.isNotNull() & c.try_cast(rule.target).isNull(),
                                F.lit(OUT_OF_RANGE_TAG.format(col=rule.name, target=rule.target))))

@@ -19,6 +19,21 @@ TEXT = "text"            # clean_text
 RAW = "raw"              # passed through unchanged
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "smallint": T.ShortType(), "bigint": T.LongType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "decimal(38,0)": T.DecimalType(38, 0),
+}
+
+
+def spark_type(name: str) -> T.DataType:
+    """Spark type of a target type name (DDL spelling)."""
+    t = _TYPES.get(name.strip().lower())
+    if t is None:
+        t = T._parse_datatype_string(name)  # any other DDL type name
+    return t
+
+
 @dataclass(frozen=True)
 class ColumnRule:
     name: str
@@ -50,7 +65,7 @@ class TableSpec:
         return None
 
     def target_schema(self) -> T.StructType:
-        fields = [T.StructField(c.name, T._parse_datatype_string(c.target), c.nullable) for c in self.columns]
+        fields = [T.StructField(c.name, spark_type(c.target), c.nullable) for c in self.columns]
         if self.load_time_column:
             fields.append(T.StructField(self.load_time_column, T.TimestampType(), False))
         return T.StructType(fields)
