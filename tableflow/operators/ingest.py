@@ -127,9 +127,9 @@ class LoadReport:
         return row
 
 
-def prepare_load(raw: DataFrame, spec: S.TableSpec, ordinal: str) -> tuple[DataFrame, DataFrame]:
+def prepare_load(raw: DataFrame, spec: S.TableSpec, ordinal: str, spread: bool = True) -> tuple[DataFrame, DataFrame]:
     """Clean each record by its spec, then split rows the target can hold from those it cannot."""
-    cleaned = REC.clean_record(raw, spec, keep=[ordinal])
+    cleaned = REC.clean_record(raw, spec, keep=[ordinal], spread=spread)
     return Q.conform_to_target(cleaned, spec, keep=[ordinal])
 
 

@@ -18,8 +18,15 @@ NBSP, NEL, TAB, LF, CR = "\u00a0", "\u0085", "\t", "\n", "\r"
 _SPARK_LAYOUTS = ("dd/MM/yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "yy-MM-dd", "dd-MM-yy", "d/M/yyyy")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread=True`` before CPU-heavy derivations: a table that arrives as
+    fewer partitions than the cluster's parallelism (one file, one row group) is
+    redistributed; a table with enough splits is read as is."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        from tableflow.operators.records import spread_narrow_input
+        df = spread_narrow_input(df)
+    return df
 
 
 def _s(c: Column) -> Column:
@@ -40,7 +47,7 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns use the bulk file's names, so the bulk spec applies; the other bulk columns
     are absent and become null when projected onto the spec.
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     k, ck, d = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     ks = _s(k)
     idpersona = (F.when(k % 6 == 0, F.concat(F.lit("+"), ks))
@@ -103,7 +110,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded, some missing; birth dates are text, some invalid.
     """
     c = table(spark, sf_dir, "customer")
-    o = table(spark, sf_dir, "orders").select("o_custkey")
+    o = table(spark, sf_dir, "orders", spread=True).select("o_custkey")
     ck = F.col("c_custkey")
     birth = F.date_format(F.date_add(F.lit("1940-01-01").cast("date"),
                                      F.abs(F.col("c_acctbal")).cast("int")), "yyyy-MM-dd")
@@ -161,7 +168,7 @@ LOADED_BEFORE = "1998-01-01"
 
 def lineitem_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as rows to load, keyed by (order, line, ship day); returned lines have no ship day."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     ship_day = F.when(F.col("l_returnflag") == "N", F.lit(None).cast("date")).otherwise(F.col("l_shipdate").cast("date"))
     return li.select("l_orderkey", "l_linenumber", ship_day.alias("ship_day"), "l_partkey", "l_suppkey",
                      "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")

@@ -49,7 +49,7 @@ def _as_output(df: DataFrame) -> DataFrame:
 def q_clean_date(spark, sf):
     d = DV.dirty_orders(spark, sf).select("row_no", F.col("fechaocurrencia").alias("raw"), "fechaocurrencia",
                                           "fechareporte")
-    return REC.clean_dates(d, {"fecha": "fechaocurrencia", "fecha_reporte": "fechareporte"}).select(
+    return REC.clean_dates(d, {"fecha": "fechaocurrencia", "fecha_reporte": "fechareporte"}, spread=False).select(
         "row_no", "raw", "fecha", "fecha_reporte")
 
 
@@ -79,7 +79,7 @@ def q_clean_text(spark, sf):
 @query("clean_record")
 def q_clean_record(spark, sf):
     d = DV.dirty_orders(spark, sf)
-    out = REC.clean_record(d, S.BULK_SPEC, keep=["row_no"])
+    out = REC.clean_record(d, S.BULK_SPEC, keep=["row_no"], spread=False)   # the input is spread already
     return _as_output(out.select("row_no", *ORDERS_BULK_COLUMNS))
 
 
@@ -107,7 +107,7 @@ def q_header_normalise(spark, sf):
 
 @query("copy_text_lines")
 def q_copy_text_lines(spark, sf):
-    d = REC.clean_record(DV.dirty_orders(spark, sf), S.BULK_SPEC, keep=["row_no"])
+    d = REC.clean_record(DV.dirty_orders(spark, sf), S.BULK_SPEC, keep=["row_no"], spread=False)
     return REC.copy_text_lines(d, ORDERS_BULK_COLUMNS, keep=["row_no"])
 
 
@@ -352,13 +352,13 @@ def q_load_default(spark, sf):
 
 @query("target_accepts")
 def q_target_accepts(spark, sf):
-    return ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no")[0].select(
+    return ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no", spread=False)[0].select(
         "row_no", *ORDERS_BULK_COLUMNS)
 
 
 @query("target_rejects")
 def q_target_rejects(spark, sf):
-    bad = ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no")[1]
+    bad = ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no", spread=False)[1]
     return _as_output(bad.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))
 
 
