@@ -186,11 +186,6 @@ def typed_columns(sample: DataFrame, columns) -> Column:
     return F.struct(*[R.typed_value(R.null_token(c)).alias(c) for c in columns])
 
 
-def line_count(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines after the header, per the whole file set (one aggregate)."""
-    return spark.read.text(path).agg((F.count(F.lit(1)) - 1).alias("total_filas"))
-
-
 
 def inspect_file(spark: SparkSession, path: str, sample_rows: int = 100_000, ignored=(), report_path: str | None = None,
                  sep: str = S.BULK_SEPARATOR, encoding: str = S.BULK_ENCODING) -> dict[str, DataFrame]:

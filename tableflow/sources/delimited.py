@@ -77,5 +77,7 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def line_count(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines after the header line (a line count, not a record count)."""
-    return spark.read.text(path).agg((F.count(F.lit(1)) - 1).alias("total_filas"))
+    """Physical lines after each file's header line (a line count, not a record count)."""
+    per_file = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        (F.count(F.lit(1)) - 1).alias("n"))
+    return per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_filas"))
