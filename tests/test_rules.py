@@ -144,3 +144,19 @@ def test_row_cap_reports_cut(spark):
     capped, report = PRF.row_cap(df, 4, "o")
     assert capped.count() == 4 and report.first()["recortado"] is True
     assert PRF.row_cap(df, 40, "o")[1].first()["recortado"] is False
+
+
+def test_staged_record_cleaner_matches_column_rules(spark):
+    from tableflow import spec as S
+    from tableflow.operators import records as REC
+    vals = _random_values(23, 300)
+    df = spark.createDataFrame([(i, v, v, v, v, v) for i, v in enumerate(vals)],
+                               "i int, d string, t string, n string, c string, x string")
+    spec = S.TableSpec("r", (S.ColumnRule("d", S.DATE, "date"), S.ColumnRule("t", S.DATE_TEXT),
+                             S.ColumnRule("n", S.INT, "int"), S.ColumnRule("c", S.CODE, "int"),
+                             S.ColumnRule("x", S.TEXT), S.ColumnRule("absent", S.DATE, "date")))
+    got = REC.clean_record(df, spec, keep=["i"]).orderBy("i").collect()
+    want = df.select("i", R.clean_date("d").alias("d"), R.clean_date_text("t").alias("t"), R.clean_int("n").alias("n"),
+                     R.clean_code("c").alias("c"), R.clean_text("x").alias("x"),
+                     F.lit(None).cast("date").alias("absent")).orderBy("i").collect()
+    assert got == want
