@@ -25,6 +25,16 @@ def _long(df: DataFrame, value_expr=None) -> DataFrame:
     return df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
 
 
+# values longer than this are grouped by their SHA-256 (the shuffle carries 65 characters,
+# not the whole text); shorter ones by themselves. The prefixes keep the two apart.
+HASH_LONGER_THAN = 64
+
+
+def _value_key(valor):
+    return (F.when(F.length(valor) > HASH_LONGER_THAN, F.concat(F.lit("#"), F.sha2(valor, 256)))
+             .otherwise(F.concat(F.lit("="), valor)))
+
+
 def _column_catalogue(spark: SparkSession, df: DataFrame) -> DataFrame:
     """One row per column of the schema (metadata, bounded by the column count)."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
@@ -35,7 +45,8 @@ def _column_catalogue(spark: SparkSession, df: DataFrame) -> DataFrame:
 def profile_table(df: DataFrame, name: str, approximate: bool = False) -> DataFrame:
     """Per column: nulls, percent of nulls, repeated values, type, distinct non-null values.
 
-    ``duplicados`` counts rows whose value already appeared (null is one value).
+    ``duplicados`` counts rows whose value already appeared (null is one value). Long
+    values are compared by their SHA-256, so wide text columns shuffle fixed-size keys.
     ``approximate=True`` uses HyperLogLog sketches (one pass, no shuffle of values).
     """
     spark = df.sparkSession
@@ -49,7 +60,8 @@ def profile_table(df: DataFrame, name: str, approximate: bool = False) -> DataFr
         per_col = per_col.withColumn(
             "duplicados", F.col("total") - F.col("unicos") - (F.col("nulos") > 0).cast("long"))
     else:
-        per_value = long.groupBy("columna", "valor").agg(F.count(F.lit(1)).alias("n"))
+        per_value = long.groupBy("columna", _value_key(F.col("valor")).alias("valor")).agg(
+            F.count(F.lit(1)).alias("n"))
         per_col = per_value.groupBy("columna").agg(
             F.sum("n").alias("total"),
             F.coalesce(F.sum(F.when(F.col("valor").isNull(), F.col("n"))), F.lit(0)).alias("nulos"),
@@ -74,7 +86,8 @@ def profile_tables(df: DataFrame, table_col: str) -> DataFrame:
     cat = _column_catalogue(spark, data)
     cells = [F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in data.columns]
     long = df.select(F.col(table_col).alias("tabla"), F.explode(F.array(*cells)).alias("_c")).select("tabla", "_c.*")
-    per_value = long.groupBy("tabla", "columna", "valor").agg(F.count(F.lit(1)).alias("n"))
+    per_value = long.groupBy("tabla", "columna", _value_key(F.col("valor")).alias("valor")).agg(
+        F.count(F.lit(1)).alias("n"))
     per_col = per_value.groupBy("tabla", "columna").agg(
         F.sum("n").alias("total_filas"),
         F.coalesce(F.sum(F.when(F.col("valor").isNull(), F.col("n"))), F.lit(0)).alias("nulos"),

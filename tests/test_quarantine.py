@@ -135,3 +135,10 @@ def test_first_n_threshold_path_is_exact(spark):
     got = [r["o"] for r in PRF.first_n(df, 500, "o").collect()]
     assert sorted(got) == sorted(vals)[:500]
     assert PRF.first_n(df, 50_000, "o").count() == 20_000
+
+
+def test_profile_long_values_grouped_exactly(spark):
+    long_a, long_b = "x" * 500, "x" * 499 + "y"
+    df = spark.createDataFrame([(long_a,), (long_a,), (long_b,), ("short",), (None,)], "v string")
+    r = PRF.profile_table(df, "X").first()
+    assert (r["unicos"], r["duplicados"], r["nulos"]) == (3, 1, 1)
