@@ -56,19 +56,43 @@ def project_spec(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], *[_source(df, c).alias(c) for c in spec.column_names])
 
 
+SPREAD_BYTES_PER_TASK = 256 * 1024
+
+
+def _input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files a plan reads (None when unknown)."""
+    try:
+        jvm = df.sparkSession.sparkContext._jvm
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        total = 0
+        for f in df.inputFiles():
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        return total
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def spread_narrow_input(df: DataFrame) -> DataFrame:
     """Spread a narrow input over the cluster before CPU-heavy row rules.
 
     A small source (one file, one row group, a non-splittable text file) arrives as a
     single partition, and the rules would then run on one core. When the input has
-    fewer partitions than the default parallelism it is redistributed round-robin;
-    a large input already has many splits and is left alone (no shuffle at scale).
+    fewer partitions than the default parallelism it is redistributed round-robin into
+    about one partition per 256 KB of input (capped by the parallelism), so a tiny
+    table is not cut into thousands of empty tasks. A large input already has many
+    splits and is left alone: no shuffle at scale.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect): leave as is
         return df
+    if have >= want:
+        return df
+    size = _input_bytes(df)
+    if size is not None:
+        want = min(want, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
     return df.repartition(want) if have < want else df
 
 
