@@ -140,7 +140,8 @@ def first_n(df: DataFrame, n: int, ordinal: str, dense: bool = False) -> DataFra
     for f, threshold in zip(_FRACTIONS, quantiles):
         if f * total < 2 * n or threshold is None:
             continue
-        candidates = df.filter(F.col(ordinal) <= F.lit(threshold))
+        # null ordinals sort first, so they always belong to the candidates
+        candidates = df.filter((F.col(ordinal) <= F.lit(threshold)) | F.col(ordinal).isNull())
         if candidates.count() >= n:           # exact check: the sketch is approximate
             return candidates.orderBy(F.col(ordinal)).limit(n)
     return df.orderBy(F.col(ordinal)).limit(n)

@@ -135,6 +135,10 @@ def test_first_n_threshold_path_is_exact(spark):
     got = [r["o"] for r in PRF.first_n(df, 500, "o").collect()]
     assert sorted(got) == sorted(vals)[:500]
     assert PRF.first_n(df, 50_000, "o").count() == 20_000
+    with_nulls = df.union(spark.createDataFrame([(None, "n")] * 3, "o long, s string"))
+    got = PRF.first_n(with_nulls, 500, "o").collect()
+    want = with_nulls.orderBy("o").limit(500).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
 
 
 def test_profile_long_values_grouped_exactly(spark):
