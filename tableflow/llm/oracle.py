@@ -30,3 +30,41 @@ SELECT s.id AS doc_id, CAST(len(s.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0)
        sha256(coalesce(m.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM split s LEFT JOIN words_hit h ON s.id = h.id LEFT JOIN items_hit m ON s.id = m.id WHERE s.kind = 0
 """
+
+
+def _op2() -> str:
+    """Spans by marking each match with two private-use characters and splitting there."""
+    word = "|".join(["[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]", "[Pp][Aa][Ss][Ss][Ww][Dd]", "[Ss][Ee][Cc][Rr][Ee][Tt]",
+                     "[Tt][Oo][Kk][Ee][Nn]", "[Aa][Pp][Ii]_?[Kk][Ee][Yy]"])
+    rules = [("assign", rf"({word})[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)", 2, 6),
+             ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24),
+             ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+             ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 1),
+             ("host_token", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1)]
+    parts = []
+    for rank, (kind, pattern, group, least) in enumerate(rules):
+        parts.append(rf"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank,
+         coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0) - (i - 2) AS s,
+         length(string_split(parts[i], chr(57345))[1]) AS n
+  FROM (SELECT doc_id, parts, unnest(range(2, len(parts) + 1)) AS i
+        FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '{pattern}', chr(57344) || '\0' || chr(57345), 'g'), chr(57344)) AS parts FROM documents)
+        WHERE len(parts) > 1)
+  WHERE length(regexp_extract(string_split(parts[i], chr(57345))[1], '{pattern}', {group})) >= {least}""")
+    return f"""
+WITH spans AS ({' UNION ALL '.join(parts)}
+), named AS (
+  SELECT *, kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT) AS span FROM spans
+), per_doc AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,
+         string_agg(span, ',' ORDER BY s, rank) AS spans FROM named GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id
+"""
+
+
+SQL["op2_secret_scan"] = _op2()

@@ -35,3 +35,31 @@ def op1(spark, sf_dir):
     from tableflow.llm.decontaminate import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_secret_scan")
+def op2(spark, sf_dir):
+    """Secrets of every document, by a ledger of content-addressed texts."""
+    from tableflow.llm.secrets import secret_digests
+
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op3_byte_bpe")
+def op3(spark, sf_dir):
+    """Token ids of every document and their way back."""
+    import public_tokenizers
+
+    from tableflow.llm.bpe import bpe_digests
+
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op9_token_counts")
+def op9(spark, sf_dir):
+    """Token counts of every document."""
+    import public_tokenizers
+
+    from tableflow.llm.token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
