@@ -68,3 +68,22 @@ FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id
 
 
 SQL["op2_secret_scan"] = _op2()
+
+SQL["op8_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '[\\<\[]')) AS t, length(role) + len(regexp_extract_all(role, '[\\<\[]')) AS r,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns
+), placed AS (
+  SELECT *, sum(3 + r + 6 + t + 7) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM sized
+)
+SELECT conv_id, CAST(max(n) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN upto - 7 + 4 WHEN i = n THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""

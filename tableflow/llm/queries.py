@@ -63,3 +63,15 @@ def op9(spark, sf_dir):
     from tableflow.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_chat_format")
+def op8(spark, sf_dir):
+    """All conversations, and one that says control strings, formatted and read back."""
+    from tableflow.llm.chat import chat_digests
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    tricky = spark.range(2).selectExpr("CAST(-7 AS BIGINT) AS conv_id", "id AS turn",
+                                       "IF(id = 0, 'user', 'assistant') AS role", f"'{said}' AS text")
+    return chat_digests(turns.unionByName(tricky))
