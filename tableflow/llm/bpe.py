@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableflow.llm import words as W
 from tableflow.llm.pretoken import pieces
@@ -281,8 +282,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     """
     content = _file(docs, path)
     rows = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(text_col).alias("__text"))
-    kinds = [f"`k{i}` {docs.schema[k].dataType.simpleString()}" for i, k in enumerate(keep)]
-    out = rows.mapInArrow(_encoder(content), ", ".join([*kinds, "ids binary"]))
+    out = rows.mapInArrow(_encoder(content), T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.BinaryType())]))
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)], "ids")
 
 
@@ -291,8 +291,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     content = _file(encoded, path)
     names = encoded.columns
     rows = encoded.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names) if c != ids_col], F.col(ids_col).alias("ids"))
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
-    out = rows.mapInArrow(_decoder(content), ", ".join([*kinds, "decoded binary"]))
+    out = rows.mapInArrow(_decoder(content), T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
     return out.select(*[F.col("ids" if c == ids_col else f"k{i}").alias(c) for i, c in enumerate(names)], "decoded")
 
 

@@ -49,7 +49,7 @@ def bitmaps(slots: DataFrame, bits: int, **wanted: Column) -> dict[str, np.ndarr
     rows = (slots.groupBy(F.bitmap_bucket_number(s).alias("bucket"))
             .agg(*[F.bitmap_construct_agg(F.when(c, F.bitmap_bit_position(s))).alias(k) for k, c in wanted.items()]))
     out = {k: np.zeros(bits // 8, np.uint8) for k in wanted}
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         at = (r["bucket"] - 1) * (_BUCKET // 8)
         for k in wanted:
             part = np.frombuffer(bytes(r[k]), np.uint8)

@@ -87,3 +87,24 @@ SELECT conv_id, CAST(max(n) AS BIGINT) AS n_turns, sha256(string_agg(role || chr
        CAST(sum(CASE WHEN role = 'assistant' THEN upto - 7 + 4 WHEN i = n THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+SQL["op10_substring_dedup"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT r, i, md5(array_to_string(w[i + 1:i + 35], ' ')) AS g
+  FROM (SELECT r, w, unnest(range(len(w) - 34)) AS i FROM split WHERE len(w) >= 35)
+), again AS (
+  SELECT g FROM windows GROUP BY g HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows JOIN again USING (g)
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(len(w))) AS p FROM split
+), kept AS (
+  SELECT s.r, string_agg(s.word, ' ' ORDER BY s.p) AS t, count(*) AS n
+  FROM words s LEFT JOIN gone x ON s.r = x.r AND s.p = x.p WHERE x.p IS NULL GROUP BY s.r
+)
+SELECT s.doc_id, CAST(len(s.w) AS BIGINT) AS n_words, CAST(len(s.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.r = k.r
+"""

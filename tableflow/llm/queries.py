@@ -75,3 +75,19 @@ def op8(spark, sf_dir):
     tricky = spark.range(2).selectExpr("CAST(-7 AS BIGINT) AS conv_id", "id AS turn",
                                        "IF(id = 0, 'user', 'assistant') AS role", f"'{said}' AS text")
     return chat_digests(turns.unionByName(tricky))
+
+
+@query("op7_quality_rules")
+def op7(spark, sf_dir):
+    """Base counts and the calibrated model's verdict of every document."""
+    from tableflow.llm.quality import quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_substring_dedup")
+def op10(spark, sf_dir):
+    """Words of every document without passages of 35 words that stand elsewhere too."""
+    from tableflow.llm.repeats import repeat_digests
+
+    return repeat_digests(table(spark, sf_dir, "documents"))
