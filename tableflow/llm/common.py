@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,3 +80,16 @@ def checkpoint_ready(spark: SparkSession) -> None:
     from tableflow.session import checkpoint_root
 
     checkpoint_root(spark)
+
+
+def in_place(rows: DataFrame, bitmap: Broadcast, bits: int, hash_col: Column, has: bool) -> DataFrame:
+    """Rows whose hash has (or lacks) its bit, filtered where they are read."""
+    schema = rows.schema
+    at = len(schema)
+
+    def run(batches):
+        for b in batches:
+            mine = in_bitmap(bitmap.value, bits, b.column(at).to_numpy()) == has
+            yield b.filter(pa.array(mine)).select(range(at))
+
+    return rows.withColumn("__hash", hash_col).mapInArrow(run, schema)

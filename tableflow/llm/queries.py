@@ -91,3 +91,11 @@ def op10(spark, sf_dir):
     from tableflow.llm.repeats import repeat_digests
 
     return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ngram_jaccard_join")
+def op4(spark, sf_dir):
+    """Class and links of every document at a five-word Jaccard similarity of 0.8 or more."""
+    from tableflow.llm.jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
