@@ -108,3 +108,30 @@ SELECT s.doc_id, CAST(len(s.w) AS BIGINT) AS n_words, CAST(len(s.w) - coalesce(k
        sha256(coalesce(k.t, '')) AS kept_sha256
 FROM split s LEFT JOIN kept k ON s.r = k.r
 """
+
+SQL["op5_warc_fixity"] = r"""
+WITH rows AS (
+  SELECT CAST(CAST(floor(page_id / 1024) AS BIGINT) AS VARCHAR) AS archive, page_id, CAST(page_id AS VARCHAR) AS record_id,
+         CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 6) AS BIGINT) % 101 AS pick, coalesce(url, '') AS url, coalesce(html, '') AS html
+  FROM pages
+), payloads AS (
+  SELECT *, CASE WHEN pick = 0 THEN left(html, CAST(length(html) // 2 AS BIGINT)) || CASE WHEN substr(html, length(html) // 2 + 1, 1) = 'X' THEN 'Y' ELSE 'X' END
+                 || substr(html, length(html) // 2 + 2) ELSE html END AS other FROM rows
+), records AS (
+  SELECT archive, page_id, record_id, pick,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || record_id || '>' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html)
+         || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS record,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || record_id || '>' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(other)
+         || chr(13) || chr(10) || chr(13) || chr(10) || other || chr(13) || chr(10) || chr(13) || chr(10) AS second
+  FROM payloads
+), placed AS (
+  SELECT *, coalesce(sum(strlen(record)) OVER (PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM records
+)
+SELECT archive, CAST(pos AS BIGINT) AS offset, record_id, CASE pick WHEN 2 THEN 'missing' ELSE 'altered' END AS status, sha256(record) AS expected,
+       CASE pick WHEN 0 THEN sha256(second) WHEN 1 THEN sha256(left(second, length(second) - 7)) END AS found
+FROM placed WHERE pick IN (0, 1, 2)
+UNION ALL
+SELECT archive, CAST(pos + 1 AS BIGINT), 'stray', 'extra', NULL, sha256('stray') FROM placed WHERE pick = 3
+"""

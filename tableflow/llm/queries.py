@@ -99,3 +99,11 @@ def op4(spark, sf_dir):
     from tableflow.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_warc_fixity")
+def op5(spark, sf_dir):
+    """Records of the pages' WARC store that a damaged replica lost, changed or added."""
+    from tableflow.llm.fixity import audit, damaged_replica
+
+    return audit(*damaged_replica(table(spark, sf_dir, "pages"))).select("archive", "offset", "record_id", "status", "expected", "found")
