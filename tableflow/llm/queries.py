@@ -107,3 +107,11 @@ def op5(spark, sf_dir):
     from tableflow.llm.fixity import audit, damaged_replica
 
     return audit(*damaged_replica(table(spark, sf_dir, "pages"))).select("archive", "offset", "record_id", "status", "expected", "found")
+
+
+@query("op6_lm_scoring")
+def op6(spark, sf_dir):
+    """Base and maximum-entropy scores of every document."""
+    from tableflow.llm.language_model import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
