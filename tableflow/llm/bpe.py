@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow.llm import words as W
+from tableflow.llm.common import arrow_batches
 from tableflow.llm.pretoken import pieces
 
 NONE = np.int32(2**31 - 1)
+#: text of one pass: enough that most of its pieces have been seen before in it
+PASS_BYTES = 1 << 20
 #: longer pieces are merged one by one with block minima, so that a row costs
 #: O(n sqrt n) and not O(n^2)
 LONGEST_ROW = 256
@@ -247,7 +250,7 @@ def encode_column(column: pa.Array, v: Vocabulary) -> list[bytes]:
 def _encoder(content):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(content.value)
-        for b in W.passes(batches, "__text"):
+        for b in W.passes(batches, "__text", PASS_BYTES):
             ids = pa.array(encode_column(b.column(b.num_columns - 1), v), pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], ids], [*b.schema.names[:-1], "ids"])
 
@@ -278,8 +281,9 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     are merged; there are no special tokens. A null or empty text has no ids; repeated
     rows and an empty table pass through; other columns are ignored, whatever their
     names. One pass of map tasks, no shuffle; memory is bounded by a pass of
-    ``words.PASS_BYTES`` of text, or one longer text.
+    ``PASS_BYTES`` of text, or one longer text.
     """
+    arrow_batches(docs.sparkSession)
     content = _file(docs, path)
     rows = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(text_col).alias("__text"))
     out = rows.mapInArrow(_encoder(content), T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.BinaryType())]))

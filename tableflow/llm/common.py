@@ -25,6 +25,7 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id, the text and the row key; columns of other names cannot clash."""
+    arrow_batches(df.sparkSession)
     return df.select(row_key(id_col, text_col).alias("row_key"), F.col(id_col).alias("doc_id"),
                      F.col(text_col).alias("text"))
 
@@ -76,10 +77,15 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    from tableflow.session import checkpoint_root
+#: text that one Arrow batch between Spark and Python holds, where the session does not say
+BATCH_BYTES = 4 << 20
 
-    checkpoint_root(spark)
+
+def arrow_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: rows alone do not bound them, since texts may be long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def in_place(rows: DataFrame, bitmap: Broadcast, bits: int, hash_col: Column, has: bool) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm import words as W
-from tableflow.llm.common import hash_bitmap, in_bitmap, row_key, signed
+from tableflow.llm.common import arrow_batches, hash_bitmap, in_bitmap, in_place, row_key, signed, written
 
 #: fills context beyond a row's ends; the sides differ, so they never match
 _OUTSIDE = {"doc": np.uint64(1), "item": np.uint64(2)}
@@ -141,6 +141,29 @@ def _extend(k: int, window: int):
     return run
 
 
+def hits_by_key(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, window: int,
+                gram: int, bits: int) -> DataFrame:
+    """(key, doc_id, n_words, copies, spans, items): a row for each distinct (id, text)."""
+    arrow_batches(docs.sparkSession)
+    source = items.select(F.lit(None).cast("binary").alias("key"), F.col(item_id).cast("string").alias("doc_id"),
+                          F.col(item_text).alias("text"))
+    counted = source.mapInArrow(_scan_counts, "n int").filter(F.col("n").between(1, window - 1)).distinct()
+    shorts = sorted(r["n"] for r in counted.collect())  # fewer than `window` values
+    prints = (source.mapInArrow(_scan("item", gram, window, shorts), PRINTS)
+              .groupBy("fp", "length", "context").agg(F.collect_set("doc_id").alias("items")))
+    found = hash_bitmap(prints, "fp", bits)
+    base = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).cast("string").alias("doc_id"),
+                       F.col(text_col).alias("text"))
+    kept = base.mapInArrow(_scan("doc", gram, window, shorts, bits, found), PRINTS)
+    joined = kept.join(prints.withColumnRenamed("context", "item_context"), ["fp", "length"], "left")
+    spans = joined.select("key", "doc_id", "n_words", "length", "pos", "context", "item_context", "items").mapInArrow(
+        _extend(gram, window),
+        "key binary, doc_id string, n_words bigint, base bigint, start bigint, end bigint, items array<string>")
+    return spans.groupBy("key").agg(
+        F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("base").alias("copies"),
+        F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end")))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = 10, gram: int = 5,
                   bits: int = 1 << 24) -> DataFrame:
@@ -161,25 +184,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     context of ``2 * window - gram`` word hashes through one join. No document text is
     shuffled, and no item table is broadcast by this code.
     """
-    spark = docs.sparkSession
-    source = items.select(F.lit(None).cast("binary").alias("key"), F.col(item_id).cast("string").alias("doc_id"),
-                          F.col(item_text).alias("text"))
-    counted = source.mapInArrow(_scan_counts, "n int").filter(F.col("n").between(1, window - 1)).distinct()
-    shorts = sorted(r["n"] for r in counted.collect())  # fewer than `window` values
-    prints = (source.mapInArrow(_scan("item", gram, window, shorts), PRINTS)
-              .groupBy("fp", "length", "context").agg(F.collect_set("doc_id").alias("items")))
-    found = hash_bitmap(prints, "fp", bits)
-    base = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).cast("string").alias("doc_id"),
-                       F.col(text_col).alias("text"))
-    kept = base.mapInArrow(_scan("doc", gram, window, shorts, bits, found), PRINTS)
-    joined = kept.join(prints.withColumnRenamed("context", "item_context"), ["fp", "length"], "left")
-    spans = joined.select("key", "doc_id", "n_words", "length", "pos", "context", "item_context", "items").mapInArrow(
-        _extend(gram, window),
-        "key binary, doc_id string, n_words bigint, base bigint, start bigint, end bigint, items array<string>")
-    rows = spans.groupBy("key").agg(
-        F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("base").alias("copies"),
-        F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    rows = hits_by_key(docs, items, id_col, text_col, item_id, item_text, window, gram, bits)
     # ordered spans: how many words each adds beyond what the ones before it reach
     hit = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("to")),
                       lambda a, s: F.struct(
@@ -197,6 +202,25 @@ def _scan_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(w.counts, 1 << 30).astype(np.int32))], ["n"])
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      item_id: str = "item_id", item_text: str = "text", window: int = 10, gram: int = 5,
+                      bits: int = 1 << 24) -> DataFrame:
+    """The rows of ``docs`` that no window of an item hits, with all their columns.
+
+    Rows whose key is not in a bitmap of the hit rows' keys pass where they are read; the
+    few others meet the hit keys in a join.
+    """
+    hit = written(hits_by_key(docs, items, id_col, text_col, item_id, item_text, window, gram, bits)
+                  .filter(F.size("spans") > 0).select(F.col("key").alias("row_key")), "contaminated")
+    found = hash_bitmap(hit.select(F.xxhash64("row_key").alias("h")), "h", bits)
+    names = docs.columns
+    rows = docs.select(row_key(id_col, text_col).alias("row_key"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    h = F.xxhash64("row_key")
+    clean = in_place(rows, found, bits, h, has=False)
+    rest = in_place(rows, found, bits, h, has=True).join(hit, "row_key", "left_anti")
+    return clean.unionByName(rest).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+
+
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Query rows: one digest row per document."""
     r = decontaminate(docs, items)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow.llm import words as W
+from tableflow.llm.common import arrow_batches
 
 #: fixed values: base rules
 SYMBOLS = b"#*$%&|<>"
@@ -219,6 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share an id, one text. Without labelled documents the model has no heads and rejects
     nothing.
     """
+    arrow_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"),
                           F.col("toxic").cast("int").alias("toxic")).dropna()
     chosen = (known.groupBy("id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -309,6 +311,7 @@ def _judge(model, text_at: int):
 
 
 def _judged(rows: DataFrame, model: Model, text_at: int) -> DataFrame:
+    arrow_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(model)  # two sparse heads of 2**BITS slots at most
     added = [T.StructField(k, T.LongType()) for k in MEASURES]
     added += [T.StructField("base_failed", T.BooleanType()), T.StructField("quality", T.DoubleType()),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm import words as W
-from tableflow.llm.common import bitmaps, hash_bitmap, in_bitmap, keyed, signed, slot, written
+from tableflow.llm.common import bitmaps, hash_bitmap, in_bitmap, in_place, keyed, signed, slot, written
 
 #: bits of a key that are the place, so that the leftmost of equal hashes is the minimum
 _PLACE = 28
@@ -237,6 +237,19 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "kept"])
 
 
+def _whole(shared, bits: int):
+    """mapInArrow function: (hash, id, text) of the rows whose hash is not in the bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def others():
+            for b in batches:
+                yield b.filter(pa.array(~in_bitmap(shared.value, bits, b.column(0).to_numpy()))).select([1, 2])
+
+        return _remove(others())
+
+    return run
+
+
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", gram: int = 8,
                    bits: int = 1 << 26, hot_from: int = 8192) -> DataFrame:
     """``id_col``, ``n_words``, ``n_removed`` and ``kept`` (the words left, joined by one space) of each row.
@@ -256,20 +269,11 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     few = 1 << 24
     shared = hash_bitmap(ranges.select(F.xxhash64("row_key").alias("h")), "h", few)
 
-    def split(has: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                mine = in_bitmap(shared.value, few, b.column(0).to_numpy()) == has
-                yield b.filter(pa.array(mine)).select(range(1, b.num_columns))
-
-        return run
-
-    source = rows.select(F.xxhash64("row_key").alias("h"), "row_key", F.col("doc_id").alias("id"), "text")
-    fields = f"row_key binary, id {kind}, text string"
-    out = f"id {kind}, n_words bigint, n_removed bigint, kept string"
-    whole = source.mapInArrow(split(False), fields).select("id", "text").mapInArrow(_remove, out)
-    cut = (source.mapInArrow(split(True), fields).join(ranges, "row_key", "left")
-           .select("id", "text", "ranges").mapInArrow(_remove, out))
+    h = F.xxhash64("row_key")
+    whole = rows.withColumn("h", h).select("h", "doc_id", "text").mapInArrow(
+        _whole(shared, few), f"id {kind}, n_words bigint, n_removed bigint, kept string")
+    cut = (in_place(rows, shared, few, h, has=True).join(ranges, "row_key", "left")
+           .select(F.col("doc_id").alias("id"), "text", "ranges").mapInArrow(_remove, whole.schema))
     return whole.unionByName(cut).withColumnRenamed("id", id_col)
 
 

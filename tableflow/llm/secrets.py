@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableflow.llm.common import arrow_batches
 from tableflow.session import path_exists, scratch_path
 
 
@@ -94,6 +95,7 @@ def scan_unseen(texts: DataFrame, ledger: str, text_col: str = "text", rules: tu
     nowhere. Rows of the ledger are one blob and the rule versions it was scanned with.
     """
     spark = texts.sparkSession
+    arrow_batches(spark)
     current = F.array(*[F.lit(r.version) for r in rules])
     blobs = texts.select(blob_address(text_col).alias("blob"), F.col(text_col).alias("text"))
     if path_exists(spark, ledger):
@@ -162,10 +164,10 @@ def secret_digests(docs: DataFrame, ledger: str | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]",
-           ledger: str | None = None) -> DataFrame:
+           ledger: str | None = None, size_col: str | None = None) -> DataFrame:
     """The documents with every found span replaced by ``mark`` (overlapping spans by one).
 
-    All rows and columns stay; texts without findings, null included, stay as they are.
+    ``size_col``, if given, becomes the number of characters of each text that changes. All rows and columns stay; texts without findings, null included, stay as they are.
     Only blobs with findings are joined back, by address.
     """
     spark = docs.sparkSession
@@ -183,4 +185,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
             F.when(f["start"] >= a["to"], F.concat(a["out"], t.substr(a["to"] + 1, f["start"] - a["to"]), F.lit(mark)))
             .otherwise(a["out"]).alias("out"), F.greatest(a["to"], f["end"]).alias("to")),
         lambda a: F.concat(a["out"], t.substr(a["to"] + 1, F.length(t))))
-    return tagged.withColumn(text_col, F.when(F.col("__findings").isNull(), t).otherwise(state)).select(*cols)
+    changed = F.col("__findings").isNotNull()
+    out = tagged.withColumn(text_col, F.when(changed, state).otherwise(t))
+    if size_col:
+        kind = docs.schema[size_col].dataType
+        out = out.withColumn(size_col, F.when(changed, F.length(text_col).cast(kind)).otherwise(F.col(size_col)))
+    return out.select(*cols)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm import words as W
+from tableflow.llm.common import arrow_batches
 from tableflow.llm.pretoken import pieces
 
 #: pieces whose counts a worker keeps between passes; beyond it, it starts afresh
@@ -164,6 +165,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     each get their row; an empty table gives none; other columns are ignored, whatever
     their names. One pass of map tasks, no shuffle.
     """
+    arrow_batches(docs.sparkSession)
     with open(path, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     kind = docs.schema[id_col].dataType.simpleString()

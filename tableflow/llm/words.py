@@ -27,7 +27,7 @@ LOWER[0x41:0x5B] += 0x20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: texts of one numpy pass; a longer single text is a pass of its own
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 19
 
 _powers: dict[str, np.ndarray] = {}
 
