@@ -31,10 +31,13 @@ COPY_SEPARATOR = "\t"
 # information separators U+001C..U+001F), spelled out: an explicit class is cheaper
 # to match than a Unicode property.
 _WS = (r"[\t\n\x0b\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_STRIP_RE = r"^" + _WS + r"+|" + _WS + r"+$"
+#: the same characters, for the trim functions
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _COLLAPSE_RE = _WS + r"+"
 
+LARGEST = "decimal(38,0)"
 _INT_TEXT_RE = r"^[+-]?\d+(_\d+)*$"
+_ZERO_RE = r"^[+-]?0+(_0+)*$"
 _KIND_INT_RE = r"^-*\d+$"
 _DIGITS = r"\d+(_\d+)*"
 _KIND_FLOAT_RE = (r"(?i)^[+-]?((" + _DIGITS + r"\.?(" + _DIGITS + r")?|\." + _DIGITS + r")(e[+-]?"
@@ -57,7 +60,7 @@ def _col(c) -> Column:
 
 def strip(c) -> Column:
     """Remove leading and trailing white space (tabs, NBSP, U+0085 and U+001C-1F too)."""
-    return F.regexp_replace(_col(c), _STRIP_RE, "")
+    return F.btrim(_col(c), F.lit(WHITE))
 
 
 def clean_text(c) -> Column:
@@ -70,16 +73,19 @@ def clean_int(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Column
     """Integer from text: optional sign, digit groups joined by '_', outer white space.
 
     Anything else (``12.0``, ``1e3``, ``--5``) is null. The value is exact up to 38
-    digits; range checks against the target column are done by the target check.
+    digits; a longer one becomes the largest value of its sign, which no target column
+    holds, so the target check sets the row aside instead of losing the number.
     """
     s = _col(c) if stripped else strip(c)
-    return F.when(s.rlike(_INT_TEXT_RE), F.replace(s, F.lit("_"), F.lit(""))).try_cast(dtype)
+    limit = F.when(s.startswith("-"), F.lit("-" + "9" * 38).cast(LARGEST)).otherwise(F.lit("9" * 38).cast(LARGEST))
+    n = F.coalesce(F.replace(s, F.lit("_"), F.lit("")).try_cast(LARGEST), limit)
+    return F.when(s.rlike(_INT_TEXT_RE), n).try_cast(dtype)
 
 
 def clean_code(c, dtype: str = "decimal(38,0)", stripped: bool = False) -> Column:
     """Like :func:`clean_int`, and code 0 (``0``, ``00``, ``-0``) means "unknown" -> null."""
-    n = clean_int(c, dtype, stripped)
-    return F.when(n != 0, n)
+    s = _col(c) if stripped else strip(c)
+    return F.when(~s.rlike(_ZERO_RE), clean_int(s, dtype, stripped=True))
 
 
 _AMBIGUOUS_RE = r"^\d{2}-\d{1,2}-\d{2}$"   # fits both two-digit-year layouts
@@ -180,12 +186,13 @@ def value_kind(c) -> Column:
 def typed_value(c) -> Column:
     """Value of a text by its kind: a struct (int, float, str) with one field set.
 
-    ``--5`` is of kind int but has no integer value, so the int field is null.
+    ``--5`` is of kind int but has no integer value, so the int field is null; so has an
+    integer of more than 38 digits, whose text stays in the input.
     """
     v = _col(c)
     kind = value_kind(v)
     return F.struct(
-        F.when(kind == "int", v.try_cast("bigint")).alias("as_int"),
+        F.when(kind == "int", v.try_cast(LARGEST)).alias("as_int"),
         F.when(kind == "float", F.regexp_replace(v, "_", "").try_cast("double")).alias("as_float"),
         F.when(kind == "str", v).alias("as_str"),
     )

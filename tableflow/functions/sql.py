@@ -22,7 +22,7 @@ _WS = R._WS
 
 
 def strip_sql(c: str) -> str:
-    return f"regexp_replace({c}, {lit('^' + _WS + '+|' + _WS + '+$')}, '')"
+    return f"btrim({c}, {lit(R.WHITE)})"
 
 
 def text_sql(c: str) -> str:
@@ -30,13 +30,14 @@ def text_sql(c: str) -> str:
 
 
 def int_sql(s: str, dtype: str = "DECIMAL(38,0)") -> str:
-    """On a stripped text."""
-    return f"(CASE WHEN {s} RLIKE {lit(R._INT_TEXT_RE)} THEN try_cast(replace({s}, '_', '') AS {dtype}) END)"
+    """On a stripped text; beyond 38 digits the largest value of the sign."""
+    largest, least = (f"CAST('{sign}{'9' * 38}' AS {dtype})" for sign in ("", "-"))
+    return (f"(CASE WHEN {s} RLIKE {lit(R._INT_TEXT_RE)} THEN coalesce(try_cast(replace({s}, '_', '') AS {dtype}), "
+            f"if(startswith({s}, '-'), {least}, {largest})) END)")
 
 
 def code_sql(s: str, dtype: str = "DECIMAL(38,0)") -> str:
-    n = int_sql(s, dtype)
-    return f"(CASE WHEN {n} <> 0 THEN {n} END)"
+    return f"(CASE WHEN NOT {s} RLIKE {lit(R._ZERO_RE)} THEN {int_sql(s, dtype)} END)"
 
 
 def kind_sql(v: str) -> str:

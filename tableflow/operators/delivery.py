@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tableflow import spec as S
 
-NULL_MARK = "\\N"
-
 
 def delivery_name(table: Column, start: str, end: str) -> Column:
     """``TABLE_YYYY_MM-MM.csv``: upper-case table, start year, start and end month."""
@@ -21,36 +19,51 @@ def delivery_file_name(table: str, start: str, end: str) -> str:
 
 
 def row_text(df: DataFrame, columns=None) -> Column:
-    """Canonical text of a row: fields as text, ``\\N`` for null, ``|`` between them."""
-    cols = columns or df.columns
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in cols])
+    """Canonical text of a row: each field as its length and its text, ``-`` for null, so that no two
+    different rows share a text."""
+    fields = [F.col(c).cast("string") for c in columns or df.columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(f).cast("string"), F.lit(":"), f), F.lit("-")) for f in fields])
 
 
 def content_digest(df: DataFrame, by=None, columns=None) -> DataFrame:
-    """Layout-independent digest: row count and the sum of each row's MD5 prefix.
+    """Layout-independent digest: row count and the sum of 60 bits of each row's MD5.
 
     The same rows give the same digest whatever the partitioning or file split; a
     sum (not xor) so that duplicate rows do not cancel.
     """
-    h = F.conv(F.substring(F.md5(row_text(df, columns)), 1, 8), 16, 10).cast("decimal(38,0)")
+    h = F.conv(F.substring(F.md5(row_text(df, columns)), 1, 15), 16, 10).cast("decimal(38,0)")
     aggs = [F.count(F.lit(1)).alias("filas"), F.sum(h).cast("string").alias("digest")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
 def part_file_md5(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """MD5 of every delivered part file's bytes (what a receiver checks per file)."""
+    """MD5 and length of every delivered part file's bytes (what a receiver checks per file).
+
+    A part is read whole by one task, so deliver parts of a bounded size.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select(F.col("path"), F.col("length"), F.md5("content").alias("md5"))
 
 
+def parts_by_table(parts: DataFrame, pattern: str = r"/tabla=([^/]+)/") -> DataFrame:
+    """(tabla, partes): the delivered parts of each table by name, with their length and MD5."""
+    return (parts.withColumn("tabla", F.regexp_extract("path", pattern, 1))
+            .groupBy("tabla").agg(F.array_sort(F.collect_list(F.struct(
+                F.regexp_extract("path", r"([^/]+)$", 1).alias("archivo"), F.col("length").alias("bytes"), "md5"))).alias("partes")))
+
+
 def manifest(counts: DataFrame, digests: DataFrame, summary: DataFrame | None, start: str, end: str,
-             columns: dict[str, list[str]] | None = None, version: str = S.ETL_VERSION) -> DataFrame:
+             columns: dict[str, list[str]] | None = None, version: str = S.ETL_VERSION,
+             parts: DataFrame | None = None) -> DataFrame:
     """One manifest row per delivered table.
 
-    counts: (tabla, filas_oracle, filas_csv); digests: (tabla, digest); summary: the
-    quality summary (tabla, total_filas, columnas_con_nulos, max_pct_nulos) or None.
+    counts: (tabla, filas_oracle, filas_csv); digests: (tabla, digest) of the rows read
+    back from the delivered files; parts: (tabla, partes) of :func:`parts_by_table`;
+    summary: the quality summary (tabla, total_filas, columnas_con_nulos, max_pct_nulos)
+    or None.
     """
-    m = counts.join(digests.select("tabla", F.col("digest").alias("md5")), "tabla", "left")
+    m = counts.join(digests.select("tabla", "digest"), "tabla", "left")
+    m = m.join(parts, "tabla", "left") if parts is not None else m.withColumn("partes", F.lit(None))
     if summary is not None:
         q = summary.select("tabla", F.struct("total_filas", "columnas_con_nulos", "max_pct_nulos")
                            .alias("problemas_calidad"))
@@ -61,7 +74,7 @@ def manifest(counts: DataFrame, digests: DataFrame, summary: DataFrame | None, s
         "tabla", F.lit(start).alias("periodo_inicio"), F.lit(end).alias("periodo_fin"),
         delivery_name(F.col("tabla"), start, end).alias("archivo"),
         F.col("filas_oracle").cast("long").alias("filas_oracle"), F.col("filas_csv").cast("long").alias("filas_csv"),
-        "md5", "problemas_calidad", F.lit(version).alias("generado_por"))
+        "digest", "partes", "problemas_calidad", F.lit(version).alias("generado_por"))
     if columns:
         cmap = F.create_map(*[x for t, cs in columns.items() for x in (F.lit(t.upper()), F.lit(",".join(cs)))])
         out = out.withColumn("columnas", cmap[F.col("tabla")])

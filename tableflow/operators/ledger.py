@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,12 @@ def pending_extractions(tables: DataFrame, ledger: DataFrame, fecha_inicio: str,
     return tables.join(done, F.upper(tables["tabla"]) == F.col("_done"), "left_anti")
 
 
+def mismatch_message(source: Column, extracted: Column) -> Column:
+    """The fixed message of two counts that differ."""
+    before, between, after = S.MISMATCH_MESSAGE.replace("{source}", "{}").replace("{extracted}", "{}").split("{}")
+    return F.concat(F.lit(before), source.cast("string"), F.lit(between), extracted.cast("string"), F.lit(after))
+
+
 def reconcile_counts(source: DataFrame, extracted: DataFrame) -> DataFrame:
     """Source count vs extracted count per table; a difference is an error with its message."""
     s = source.select("tabla", F.col("filas").alias("filas_oracle"))
@@ -71,7 +77,7 @@ def reconcile_counts(source: DataFrame, extracted: DataFrame) -> DataFrame:
     j = s.join(e, "tabla", "full")
     so, ex = F.coalesce(F.col("filas_oracle"), F.lit(0)), F.coalesce(F.col("filas_extraidas"), F.lit(0))
     equal = so == ex
-    msg = F.concat(F.lit("DISCREPANCIA: Oracle="), so.cast("string"), F.lit(" | CSV="), ex.cast("string"))
+    msg = mismatch_message(so, ex)
     return j.select("tabla", so.cast("long").alias("filas_oracle"), ex.cast("long").alias("filas_extraidas"),
                     F.when(equal, F.lit(S.STATE_OK)).otherwise(F.lit(S.STATE_ERROR)).alias("estado"),
                     F.when(equal, F.lit("")).otherwise(msg).alias("mensaje"))

@@ -8,8 +8,9 @@ map task -- then per column. That is one shuffle of distinct pairs instead of on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableflow import spec as S  # noqa: I001
 from tableflow.functions import rules as R
@@ -17,22 +18,25 @@ from tableflow.functions import rules as R
 _KIND_RANK = {"int": 1, "float": 2, "str": 3}
 
 
-def _long(df: DataFrame, value_expr=None) -> DataFrame:
-    """(posicion, columna, valor) for every cell, values as text."""
-    cells = [F.struct(F.lit(i).alias("posicion"), F.lit(c).alias("columna"),
-                      (value_expr(F.col(c)) if value_expr else F.col(c).cast("string")).alias("valor"))
-             for i, c in enumerate(df.columns)]
-    return df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+def _as_text(f: T.StructField) -> Column:
+    """A value as text; equal values have equal texts: NaN is no value, -0.0 is 0.0."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        c = F.when(~F.isnan(c), c + F.lit(0.0).cast(f.dataType))
+    return c.cast("string")
 
 
-# values longer than this are grouped by their SHA-256 (the shuffle carries 65 characters,
-# not the whole text); shorter ones by themselves. The prefixes keep the two apart.
-HASH_LONGER_THAN = 64
+def _long(df: DataFrame, value_expr=None, keep=()) -> DataFrame:
+    """(keep..., posicion, columna, valor) for every cell, values as text."""
+    cells = [F.struct(F.lit(i).alias("posicion"), F.lit(f.name).alias("columna"),
+                      (value_expr(F.col(f"`{f.name}`")) if value_expr else _as_text(f)).alias("valor"))
+             for i, f in enumerate(f for f in df.schema.fields if f.name not in keep)]
+    return df.select(*keep, F.explode(F.array(*cells)).alias("_c")).select(*keep, "_c.*")
 
 
 def _value_key(valor):
-    return (F.when(F.length(valor) > HASH_LONGER_THAN, F.concat(F.lit("#"), F.sha2(valor, 256)))
-             .otherwise(F.concat(F.lit("="), valor)))
+    """Values are grouped by their SHA-256, so wide text columns shuffle keys of a fixed size."""
+    return F.unhex(F.sha2(valor, 256))
 
 
 def _column_catalogue(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -45,8 +49,8 @@ def _column_catalogue(spark: SparkSession, df: DataFrame) -> DataFrame:
 def profile_table(df: DataFrame, name: str, approximate: bool = False) -> DataFrame:
     """Per column: nulls, percent of nulls, repeated values, type, distinct non-null values.
 
-    ``duplicados`` counts rows whose value already appeared (null is one value). Long
-    values are compared by their SHA-256, so wide text columns shuffle fixed-size keys.
+    ``duplicados`` counts rows whose value already appeared (null is one value; NaN is
+    null, and -0.0 equals 0.0).
     ``approximate=True`` uses HyperLogLog sketches (one pass, no shuffle of values).
     """
     spark = df.sparkSession
@@ -84,8 +88,7 @@ def profile_tables(df: DataFrame, table_col: str) -> DataFrame:
     data = df.drop(table_col)
     spark = df.sparkSession
     cat = _column_catalogue(spark, data)
-    cells = [F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in data.columns]
-    long = df.select(F.col(table_col).alias("tabla"), F.explode(F.array(*cells)).alias("_c")).select("tabla", "_c.*")
+    long = _long(df, keep=(table_col,)).withColumnRenamed(table_col, "tabla")
     per_value = long.groupBy("tabla", "columna", _value_key(F.col("valor")).alias("valor")).agg(
         F.count(F.lit(1)).alias("n"))
     per_col = per_value.groupBy("tabla", "columna").agg(
@@ -110,41 +113,33 @@ def quality_summary(profile: DataFrame) -> DataFrame:
         F.coalesce(F.max("pct_nulos"), F.lit(0.0)).alias("max_pct_nulos"))
 
 
-# fractions at which the ordinal's distribution is sketched (2 per decade)
-_FRACTIONS = [m * 10.0 ** -e for e in range(9, 0, -1) for m in (1, 3)] + [1.0]
+def first_n(df: DataFrame, n: int, ordinal: str, buckets: int = 10_000) -> DataFrame:
+    """The first ``n`` records by ``ordinal`` (exact; null ordinals first; ties in any order).
 
-
-def first_n(df: DataFrame, n: int, ordinal: str, dense: bool = False) -> DataFrame:
-    """The first ``n`` records in source order (exact).
-
-    * dense ordinal (row number of one file, ``_metadata.row_index``): a pushed-down filter;
-    * numeric ordinal: one pass sketches the ordinal (count + approximate quantiles), the
-      smallest quantile covering about 2n rows becomes a threshold, an exact count
-      verifies it (widening if the sketch undershot), and only the rows under it go
-      through the ordered top-n. The final merge sees a few times n rows, not n per
-      input partition;
-    * any other ordinal (e.g. a struct): a per-partition top-n merged once.
+    A numeric ordinal's range is cut into ``buckets``. How many rows lie in each (one
+    partial aggregate) tells the bucket in which the n-th record lies: the buckets below
+    it pass by a plain filter, and only that bucket's rows are ranked. All of it is one
+    lazy plan. An ordinal of another type is merged by a top-n, whose n rows meet in one
+    task: for reports of a few rows.
     """
-    if dense:
-        return df.filter(F.col(ordinal) < n)
-    numeric = df.schema[ordinal].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint", "double",
-                                                              "float") or \
-        df.schema[ordinal].dataType.simpleString().startswith("decimal")
-    if not numeric:
+    kind = df.schema[ordinal].dataType
+    if not isinstance(kind, T.NumericType):
         return df.orderBy(F.col(ordinal)).limit(n)
-    sketch = df.agg(F.count(F.lit(1)).alias("total"),
-                    F.percentile_approx(F.col(ordinal), _FRACTIONS, 10_000).alias("q")).first()
-    total, quantiles = sketch["total"], sketch["q"] or []
-    if total <= n:
-        return df
-    for f, threshold in zip(_FRACTIONS, quantiles):
-        if f * total < 2 * n or threshold is None:
-            continue
-        # null ordinals sort first, so they always belong to the candidates
-        candidates = df.filter((F.col(ordinal) <= F.lit(threshold)) | F.col(ordinal).isNull())
-        if candidates.count() >= n:           # exact check: the sketch is approximate
-            return candidates.orderBy(F.col(ordinal)).limit(n)
-    return df.orderBy(F.col(ordinal)).limit(n)
+    ends = df.agg(F.min(ordinal).cast("double").alias("lo"), F.max(ordinal).cast("double").alias("hi"))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    at = F.floor((F.col(ordinal).cast("double") - lo) / F.greatest(hi - lo, F.lit(1e-300)) * buckets)
+    bucket = F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(buckets)), F.lit(-1)).cast("int")
+    placed = df.withColumn("_tf_bucket", bucket)
+    counts = placed.groupBy("_tf_bucket").agg(F.count(F.lit(1)).alias("n"))
+    # at most buckets + 2 rows
+    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("_tf_bucket")))
+    last = upto.filter(F.col("upto") >= n).agg(F.min("_tf_bucket")).scalar()
+    edge = F.coalesce(last, F.lit(buckets + 1))
+    before = upto.filter(F.col("upto") < n).agg(F.coalesce(F.max("upto"), F.lit(0))).scalar()
+    whole = placed.filter(F.col("_tf_bucket") < edge)
+    part = (placed.filter(F.col("_tf_bucket") == edge)
+            .withColumn("_tf_rank", F.row_number().over(Window.orderBy(ordinal))).filter(F.col("_tf_rank") <= F.lit(n) - before))
+    return whole.unionByName(part.drop("_tf_rank")).drop("_tf_bucket")
 
 
 def row_cap(df: DataFrame, cap: int, ordinal: str) -> tuple[DataFrame, DataFrame]:
@@ -186,25 +181,24 @@ def critical_columns(inspection: DataFrame, threshold: float = S.CRITICAL_NULL_P
 
 
 def head_tail(sample: DataFrame, ordinal: str, k: int = 5) -> DataFrame:
-    """First and last ``k`` rows of the sample with null tokens applied and each value's kind."""
+    """First and last ``k`` rows with null tokens applied, each value's kind, and its value as a number
+    if it is one (``_int``, ``_float``)."""
     cols = [c for c in sample.columns if c != ordinal]
     shaped = sample.select(ordinal, *[R.null_token(c).alias(c) for c in cols])
     typed = shaped.select(ordinal, *cols, *[F.when(F.col(c).isNotNull(), R.value_kind(F.col(c))).alias(f"{c}_kind")
-                                            for c in cols])
+                                            for c in cols],
+                          *[R.typed_value(c)[f"as_{t}"].alias(f"{c}_{t}") for c in cols for t in ("int", "float")])
     head = typed.orderBy(F.col(ordinal)).limit(k).withColumn("lado", F.lit("head"))
     tail = typed.orderBy(F.col(ordinal).desc()).limit(k).withColumn("lado", F.lit("tail"))
     return head.unionByName(tail)
 
 
-def typed_columns(sample: DataFrame, columns) -> Column:
-    return F.struct(*[R.typed_value(R.null_token(c)).alias(c) for c in columns])
-
-
-
-def inspect_file(spark: SparkSession, path: str, sample_rows: int = 100_000, ignored=(), report_path: str | None = None,
+def inspect_file(spark: SparkSession, path: str, sample_rows: int | None = None, ignored=(), report_path: str | None = None,
                  sep: str = S.BULK_SEPARATOR, encoding: str = S.BULK_ENCODING) -> dict[str, DataFrame]:
-    """Inspect a raw delimited file: line count, per-column kind and nulls on the first
-    ``sample_rows`` records, critical columns, first and last rows of the sample.
+    """Inspect a raw delimited file: line count and header width, per-column kind and nulls, critical
+    columns, first and last rows. Quoted line breaks belong to their record.
+
+    All records are judged; ``sample_rows`` restricts it to the first ones on request.
 
     Returns the frames (nothing is collected); with ``report_path`` the column report is
     written as JSON (one row per column).
@@ -212,14 +206,16 @@ def inspect_file(spark: SparkSession, path: str, sample_rows: int = 100_000, ign
     from tableflow.operators.records import drop_columns
     from tableflow.sources import delimited as DL
 
-    raw = DL.read_delimited(spark, path, sep=sep, encoding=encoding, drop_quotes=True)
-    raw = drop_columns(DL.with_file_ordinal(raw), ignored)
-    sample = first_n(raw, sample_rows, DL.ORDINAL)
+    raw = DL.read_delimited(spark, path, sep=sep, encoding=encoding, multi_line=True, drop_quotes=True)
+    width = len(raw.columns)
+    sample = drop_columns(DL.with_file_ordinal(raw), ignored)
+    if sample_rows is not None:
+        sample = first_n(sample, sample_rows, DL.ORDINAL)
     columns = inspect_columns(sample, ordinal=DL.ORDINAL)
     if report_path:
         columns.coalesce(1).write.mode("overwrite").json(report_path)
     return {
-        "lineas": DL.line_count(spark, path),
+        "lineas": DL.line_count(spark, path).withColumn("columnas", F.lit(width).cast("long")),
         "columnas": columns,
         "criticas": critical_columns(columns),
         "extremos": head_tail(sample, DL.ORDINAL),

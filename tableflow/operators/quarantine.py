@@ -1,17 +1,16 @@
 """Set bad and duplicate rows aside with a reason, keep the rest.
 
 Design for skew: a group of identical rows may hold a third of the table. Copies are
-therefore counted with a partial (map-side) aggregation keyed by (row, salt), where
-the salt is the input partition modulo ``salt_buckets``. A hot group is collapsed in
-every map task, reaches the reducers as at most ``salt_buckets`` counted sub-rows,
-and its copies are re-emitted from as many tasks. No group is ever gathered whole.
+counted by one partial aggregate, which collapses a hot group in every map task to one
+counted row; where the copies themselves are asked for, large counts are split into
+chunks that many tasks emit. No group is ever gathered whole.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,31 +19,37 @@ from tableflow.functions import rules as R
 from tableflow.operators.records import strip_columns
 
 PROBLEM = "_problema"
-_N, _SALT, _KEEP, _EXTRA = "_tf_n", "_tf_salt", "_tf_keep", "_tf_extra"
-DEFAULT_SALT_BUCKETS = 64
+_N, _TAG, _DATES = "_tf_n", "_tf_tag", "_tf_dates"
+#: copies that one task emits from one row; more are dealt out in chunks of this many
+CHUNK = 1 << 20
 
 
-def _counted_copies(df: DataFrame, salt_buckets: int) -> DataFrame:
-    cols = df.columns
-    salted = df.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
-    sub = salted.groupBy(*cols, _SALT).agg(F.count(F.lit(1)).alias(_N))
-    # at most `salt_buckets` sub-rows per distinct row: the window below is bounded
-    first = Window.partitionBy(*[F.col(c) for c in cols]).orderBy(_SALT)
-    return sub.withColumn(_KEEP, F.row_number().over(first) == 1)
+def counted_rows(df: DataFrame) -> DataFrame:
+    """Every distinct row (nulls equal) with its number: one aggregate, one shuffle."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_N))
 
 
-def _emit_copies(sub: DataFrame, cols) -> DataFrame:
-    extra = sub.withColumn(_EXTRA, F.col(_N) - F.col(_KEEP).cast("long")).filter(F.col(_EXTRA) > 0)
-    # spread the sub-rows of a hot group over tasks before re-emitting its copies
-    spread = extra.repartition(*[F.col(c) for c in cols], F.col(_SALT))
-    return spread.select(*cols, F.explode(F.sequence(F.lit(1), F.col(_EXTRA))).alias("_tf_i")).drop("_tf_i")
+def chunks(n: Column, chunk: int) -> Column:
+    """Sizes of the chunks that ``n`` copies fall into (``n`` >= 1)."""
+    whole = F.floor((n - 1) / chunk).cast("bigint")
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), whole),
+                       lambda i: F.when(i < whole, F.lit(chunk)).otherwise(n - whole * chunk).cast("bigint"))
 
 
-def split_duplicates(df: DataFrame, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> tuple[DataFrame, DataFrame]:
+def emit_copies(rows: DataFrame, n: Column, chunk: int = CHUNK) -> DataFrame:
+    """Each row ``n`` times. Rows of more copies than a chunk are split into chunks that are dealt out to
+    tasks, so neither an array nor a task holds a group of copies."""
+    counted = rows.withColumn("_tf_left", n).filter("_tf_left > 0")
+    few = counted.filter(F.col("_tf_left") <= chunk)
+    many = counted.filter(F.col("_tf_left") > chunk).withColumn("_tf_left", F.explode(chunks(F.col("_tf_left"), chunk)))
+    dealt = few.unionByName(many.repartition(many.sparkSession.sparkContext.defaultParallelism))
+    return dealt.withColumn("_tf_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_tf_left")))).drop("_tf_i", "_tf_left")
+
+
+def split_duplicates(df: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """(one copy of every distinct row, every further copy). Nulls compare equal."""
-    cols = df.columns
-    sub = _counted_copies(df, salt_buckets)
-    return sub.filter(F.col(_KEEP)).select(*cols), _emit_copies(sub, cols)
+    counted = counted_rows(df)
+    return counted.drop(_N), emit_copies(counted, F.col(_N) - 1, chunk).drop(_N)
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
@@ -98,34 +103,64 @@ class CleanResult:
         return iter((self.clean, self.problems))
 
 
-def clean_table(df: DataFrame, spec: S.TableSpec, salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                blank_as_null: bool = False) -> CleanResult:
-    """Strip text -> duplicates out -> required nulls out -> dates coerced.
+def tag_table(df: DataFrame, spec: S.TableSpec, blank_as_null: bool = False) -> DataFrame:
+    """Every distinct stripped row with its number of copies and its reasons, before dates are coerced.
 
-    ``clean`` keeps rows with an unparseable date (the date becomes null); those rows
-    are also reported in ``problems``, once per bad date column. ``problems`` holds the
-    stripped input text and the reason in ``_problema``.
+    Both outputs of the cleaning come from this one table: write it once and read it for
+    :func:`clean_of` and :func:`problems_of` when both are wanted.
     """
     base = strip_columns(df)
     if blank_as_null:  # by default a blank-only text stays "" and passes the required check
         base = base.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
                              else F.col(f.name) for f in base.schema.fields])
-    cols = base.columns
-    sub = _counted_copies(base, salt_buckets)
-    copies = _emit_copies(sub, cols).withColumn(PROBLEM, F.lit(S.DUPLICATE_TAG))
-    firsts = sub.filter(F.col(_KEEP)).select(*cols)
-    passed, missing = split_required(firsts, spec.required)
-    dates = [c for c in spec.date_columns if c in cols]
-    bad_dates = date_problems(passed, dates, spec.date_formats)
-    clean = coerce_dates(passed, dates, spec.date_formats)
-    problems = copies.unionByName(missing, allowMissingColumns=True).unionByName(bad_dates, allowMissingColumns=True)
-    return CleanResult(clean, problems)
+    counted = counted_rows(base)
+    dates = [c for c in spec.date_columns if c in base.columns]
+    return (counted.withColumn(_TAG, R.fence(required_tag(counted, spec.required)))
+            .withColumn(_DATES, F.when(F.col(_TAG).isNull(), date_problem_tags(counted, dates, spec.date_formats))))
+
+
+def clean_of(tagged: DataFrame, spec: S.TableSpec) -> DataFrame:
+    """Rows that no required column rules out; a date that does not parse is null."""
+    cols = [c for c in tagged.columns if c not in (_N, _TAG, _DATES)]
+    passed = tagged.filter(F.col(_TAG).isNull()).select(*cols)
+    return coerce_dates(passed, [c for c in spec.date_columns if c in cols], spec.date_formats)
+
+
+def problems_of(tagged: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Further copies, rows without a required value, and rows once for each bad date; raw text kept."""
+    cols = [c for c in tagged.columns if c not in (_N, _TAG, _DATES)]
+    copies = emit_copies(tagged.select(*cols, _N), F.col(_N) - 1, chunk).drop(_N).withColumn(PROBLEM, F.lit(S.DUPLICATE_TAG))
+    missing = tagged.filter(F.col(_TAG).isNotNull()).select(*cols, F.col(_TAG).alias(PROBLEM))
+    bad_dates = tagged.select(*cols, F.explode(_DATES).alias(PROBLEM))
+    return copies.unionByName(missing).unionByName(bad_dates)
+
+
+def clean_table(df: DataFrame, spec: S.TableSpec, blank_as_null: bool = False) -> CleanResult:
+    """Strip text -> duplicates out -> required nulls out -> dates coerced.
+
+    ``clean`` keeps rows with an unparseable date (the date becomes null); those rows
+    are also reported in ``problems``, once per bad date column. ``problems`` holds the
+    stripped input text and the reason in ``_problema``.
+    """
+    tagged = tag_table(df, spec, blank_as_null)
+    return CleanResult(clean_of(tagged, spec), problems_of(tagged))
 
 
 def problem_counts(problems: DataFrame) -> DataFrame:
     return problems.groupBy(PROBLEM).agg(F.count(F.lit(1)).alias("filas"))
 
 
+def count_problems(tagged: DataFrame, spec: S.TableSpec) -> DataFrame:
+    """:func:`problem_counts` of a tagged table, from the numbers of copies: no copy is emitted."""
+    reasons = F.concat(
+        F.array(F.struct(F.lit(S.DUPLICATE_TAG).alias(PROBLEM), (F.col(_N) - 1).alias("n"))),
+        F.array(F.struct(F.col(_TAG).alias(PROBLEM), F.lit(1).cast("bigint").alias("n"))),
+        F.transform(F.coalesce(_DATES, F.array().cast("array<string>")),
+                    lambda t: F.struct(t.alias(PROBLEM), F.lit(1).cast("bigint").alias("n"))))
+    return (tagged.select(F.explode(reasons).alias("r")).select("r.*").filter(F.col(PROBLEM).isNotNull() & (F.col("n") > 0))
+            .groupBy(PROBLEM).agg(F.sum("n").alias("filas")))
+
+
 # --- target constraints ------------------------------------------------------
 
 OUT_OF_RANGE_TAG = "{col}: fuera de rango para {target}"

@@ -56,46 +56,6 @@ def project_spec(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], *[_source(df, c).alias(c) for c in spec.column_names])
 
 
-SPREAD_BYTES_PER_TASK = 256 * 1024
-
-
-def _input_bytes(df: DataFrame) -> int | None:
-    """Total size of the files a plan reads (None when unknown)."""
-    try:
-        jvm = df.sparkSession.sparkContext._jvm
-        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-        total = 0
-        for f in df.inputFiles():
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            total += p.getFileSystem(conf).getFileStatus(p).getLen()
-        return total
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def spread_narrow_input(df: DataFrame) -> DataFrame:
-    """Spread a narrow input over the cluster before CPU-heavy row rules.
-
-    A small source (one file, one row group, a non-splittable text file) arrives as a
-    single partition, and the rules would then run on one core. When the input has
-    fewer partitions than the default parallelism it is redistributed round-robin into
-    about one partition per 256 KB of input (capped by the parallelism), so a tiny
-    table is not cut into thousands of empty tasks. A large input already has many
-    splits and is left alone: no shuffle at scale.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect): leave as is
-        return df
-    if have >= want:
-        return df
-    size = _input_bytes(df)
-    if size is not None:
-        want = min(want, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
-    return df.repartition(want) if have < want else df
-
-
 def _fields(name: str) -> list[str]:
     return [f"_tf_{name}_{i}" for i in range(4)]
 
@@ -136,7 +96,7 @@ def _rule_sql(kind: str, col: str) -> str:
     return col
 
 
-def clean_record(df: DataFrame, spec: S.TableSpec, keep=(), spread: bool = True) -> DataFrame:
+def clean_record(df: DataFrame, spec: S.TableSpec, keep=()) -> DataFrame:
     """Apply each column's rule (date / integer / code / text).
 
     Narrow projections in one stage: strip the fields whose rules look at them several
@@ -149,8 +109,6 @@ def clean_record(df: DataFrame, spec: S.TableSpec, keep=(), spread: bool = True)
     present = [r for r in spec.columns if r.name in df.columns]
     dates = [r.name for r in present if r.kind in (S.DATE, S.DATE_TEXT)]
     keep_cols = [F.col(k) for k in keep]
-    if spread:
-        df = spread_narrow_input(df)
     stage1 = df.select(*keep_cols, *[
         (F.expr(SQ.strip_sql(_q(r.name))) if r.kind in _STRIPPED_KINDS else F.col(_q(r.name))).alias(f"_tf_{r.name}")
         for r in present])
@@ -169,10 +127,9 @@ def clean_record(df: DataFrame, spec: S.TableSpec, keep=(), spread: bool = True)
     return staged.select(*keep_cols, *out)
 
 
-def clean_dates(df: DataFrame, columns: dict, as_text: bool = False, spread: bool = True) -> DataFrame:
+def clean_dates(df: DataFrame, columns: dict, as_text: bool = False) -> DataFrame:
     """Add cleaned dates: ``columns`` maps output name -> input text column (staged like clean_record)."""
-    base = spread_narrow_input(df) if spread else df
-    base = base.select("*", *[F.expr(SQ.strip_sql(_q(src))).alias(f"_tf_{out}") for out, src in columns.items()])
+    base = df.select("*", *[F.expr(SQ.strip_sql(_q(src))).alias(f"_tf_{out}") for out, src in columns.items()])
     staged = _with_date_stages(base, {out: f"_tf_{out}" for out in columns})
     adds = []
     for out in columns:
@@ -186,9 +143,9 @@ def clean_record_by_name(df: DataFrame, columns, keep=(),
     """Rule chosen from the column name: '*fecha*' date (ISO text), '*coddane*' text '0' -> null,
     everything else collapsed lower-case text (integers stay text)."""
     dated = [n for n in columns if "fecha" in n and n in df.columns]
-    base = spread_narrow_input(df)
+    base = df
     if dated:  # the staged date rule replaces each date text by its ISO text
-        base = clean_dates(base, {n: n for n in dated}, as_text=True, spread=False)
+        base = clean_dates(base, {n: n for n in dated}, as_text=True)
     out = []
     for name in columns:
         c = _source(base, name)

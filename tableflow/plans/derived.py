@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableflow.operators.ledger import mismatch_message
+
 NBSP, NEL, TAB, LF, CR = "\u00a0", "\u0085", "\t", "\n", "\r"
 
 # Spark layouts of the date texts, selected by key modulus (same order as in the oracle SQL)
@@ -19,14 +21,11 @@ _SPARK_LAYOUTS = ("dd/MM/yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "yy-MM-dd", "dd-MM-y
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread=True`` before CPU-heavy derivations: a table that arrives as
-    fewer partitions than the cluster's parallelism (one file, one row group) is
-    redistributed; a table with enough splits is read as is."""
+    """A driver table. ``spread=True`` deals its rows out evenly before a CPU-heavy derivation,
+    since a driver table is one file of one row group; the operators themselves never
+    redistribute their input."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        from tableflow.operators.records import spread_narrow_input
-        df = spread_narrow_input(df)
-    return df
+    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
 
 
 def _s(c: Column) -> Column:
@@ -50,7 +49,8 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders", spread=True)
     k, ck, d = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     ks = _s(k)
-    idpersona = (F.when(k % 6 == 0, F.concat(F.lit("+"), ks))
+    idpersona = (F.when(k % 97 == 5, F.concat(F.lit("7" * 38), ks))    # more digits than any column holds
+                  .when(k % 6 == 0, F.concat(F.lit("+"), ks))
                   .when(k % 6 == 1, F.concat(F.lit(" "), ks, F.lit(" ")))
                   .when(k % 6 == 2, F.concat(ks, F.lit(".0")))
                   .when(k % 6 == 3, F.concat(ks, F.lit("_0")))
@@ -145,13 +145,33 @@ def customer_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_holes`` with the float values that compare oddly: NaN, 0.0 and -0.0."""
+    k = F.col("c_custkey")
+    odd = (F.when(k % 50 == 1, F.lit(float("nan"))).when(k % 50 == 2, F.lit(0.0)).when(k % 50 == 3, F.lit(-0.0))
+            .otherwise(F.col("c_acctbal")))
+    return customer_holes(spark, sf_dir).withColumn("c_acctbal", odd)
+
+
+def customer_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as text with texts that CSV readers take for nulls, and some that only look like them."""
+    k = F.col("c_custkey")
+    pick = lambda c, *words: F.when(k % 7 < len(words), F.element_at(F.array(*map(F.lit, words)), (k % 7 + 1).cast("int"))).otherwise(_s(F.col(c)))
+    return table(spark, sf_dir, "customer").select(
+        _s(k).alias("c_custkey"), pick("c_name", "NA", "N/A", "NONE", "none", "Null").alias("c_name"),
+        pick("c_nationkey", "<NA>", "", "null").alias("c_nationkey"), pick("c_acctbal", "NaN", "#N/A").alias("c_acctbal"),
+        F.when(k % 2 == 0, "True").when(k % 3 == 0, "nan").otherwise("False").alias("c_active"),
+        pick("c_mktsegment", "None", "n/a").alias("c_mktsegment"))
+
+
 def customer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer_holes`` as the text a file inspector reads: null tokens, padding, case."""
     c = customer_holes(spark, sf_dir)
     ck = F.col("c_custkey")
     return c.select(
         ck.alias("row_no"),
-        _s(ck).alias("c_custkey"),
+        # one late row makes a column of integers a text column
+        F.when(ck % 1000 == 999, F.concat(_s(ck), F.lit("x"))).otherwise(_s(ck)).alias("c_custkey"),
         F.when(F.col("c_name").isNull() & (ck % 2 == 0), F.lit("NULL"))
          .when(F.col("c_name").isNull(), F.lit(" none ")).otherwise(F.col("c_name")).alias("c_name"),
         F.coalesce(_s(F.col("c_nationkey")), F.lit("")).alias("c_nationkey"),
@@ -186,7 +206,7 @@ def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"), tabla.alias("tabla"), day.alias("fecha_inicio"), day.alias("fecha_fin"),
         source.alias("filas_oracle"), extracted.alias("filas_extraidas"),
         F.when(bad, F.lit("ERROR")).otherwise(F.lit("OK")).alias("estado"),
-        F.when(bad, F.concat(F.lit("DISCREPANCIA: Oracle="), _s(source), F.lit(" | CSV="), _s(extracted)))
+        F.when(bad, mismatch_message(source, extracted))
          .otherwise(F.lit("")).alias("mensaje"),
         F.col("ts").alias("ejecutado_en"))
 

@@ -22,8 +22,10 @@ def clean_text(x: str) -> str:
 
 def clean_int(x: str, dtype: str = "DECIMAL(38,0)") -> str:
     s = strip(x)
+    largest = f"CAST('{'9' * 38}' AS DECIMAL(38,0))"
     return (f"(CASE WHEN regexp_full_match({s}, '[+-]?{D}+(_{D}+)*') "
-            f"THEN TRY_CAST(replace({s}, '_', '') AS {dtype}) END)")
+            f"THEN COALESCE(TRY_CAST(replace({s}, '_', '') AS {dtype}), "
+            f"CASE WHEN starts_with({s}, '-') THEN -{largest} ELSE {largest} END) END)")
 
 
 def clean_code(x: str, dtype: str = "DECIMAL(38,0)") -> str:
@@ -98,7 +100,8 @@ def _date_text(d: str, sel: str) -> str:
 
 DIRTY_ORDERS = f"""dirty_orders AS (
   SELECT o_orderkey AS row_no,
-    CASE WHEN o_orderkey % 6 = 0 THEN '+' || o_orderkey
+    CASE WHEN o_orderkey % 97 = 5 THEN repeat('7', 38) || o_orderkey
+         WHEN o_orderkey % 6 = 0 THEN '+' || o_orderkey
          WHEN o_orderkey % 6 = 1 THEN ' ' || o_orderkey || ' '
          WHEN o_orderkey % 6 = 2 THEN o_orderkey || '.0'
          WHEN o_orderkey % 6 = 3 THEN o_orderkey || '_0'
@@ -149,9 +152,16 @@ CUSTOMER_HOLES = """customer_holes AS (
     CASE WHEN c_nationkey < 24 THEN NULL ELSE c_mktsegment END AS c_mktsegment
   FROM customer)"""
 
+# floats as a profile compares them: NaN is no value, -0.0 is 0.0
+CUSTOMER_FLOATS = CUSTOMER_HOLES + """,
+customer_floats AS (
+  SELECT c_custkey, c_name, c_nationkey,
+    CASE c_custkey % 50 WHEN 1 THEN NULL WHEN 2 THEN 0.0 WHEN 3 THEN 0.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+  FROM customer_holes)"""
+
 CUSTOMER_TEXT = CUSTOMER_HOLES + """,
 customer_text AS (
-  SELECT c_custkey AS row_no, CAST(c_custkey AS VARCHAR) AS c_custkey,
+  SELECT c_custkey AS row_no, CASE WHEN c_custkey % 1000 = 999 THEN c_custkey || 'x' ELSE CAST(c_custkey AS VARCHAR) END AS c_custkey,
     CASE WHEN c_name IS NULL AND c_custkey % 2 = 0 THEN 'NULL' WHEN c_name IS NULL THEN ' none '
          ELSE c_name END AS c_name,
     COALESCE(CAST(c_nationkey AS VARCHAR), '') AS c_nationkey,

@@ -18,9 +18,9 @@ def _bulk_clean(c: str) -> str:
     if r.kind == S.DATE_TEXT:
         return O.clean_date_text(c)
     if r.kind == S.CODE:
-        return f"CAST({O.clean_code(c)} AS BIGINT)"
+        return f"TRY_CAST({O.clean_code(c)} AS BIGINT)"
     if r.kind == S.INT:
-        return f"CAST({O.clean_int(c)} AS BIGINT)"
+        return f"TRY_CAST({O.clean_int(c)} AS BIGINT)"
     return O.clean_text(c)
 
 
@@ -28,7 +28,7 @@ SQL["clean_date"] = _DO + f"""SELECT row_no, fechaocurrencia AS raw, {O.clean_da
   {O.clean_date('fechareporte')} AS fecha_reporte FROM dirty_orders"""
 
 SQL["clean_int"] = _DO + f"""SELECT row_no, idpersona AS raw,
-  CAST({O.clean_int('idpersona')} AS BIGINT) AS entero,
+  TRY_CAST({O.clean_int('idpersona')} AS BIGINT) AS entero,
   CAST({O.clean_int('codigohecho')} AS BIGINT) AS codigo,
   CAST({O.clean_int('discapacidad')} AS BIGINT) AS monto FROM dirty_orders"""
 
@@ -60,9 +60,6 @@ SQL["drop_columns"] = _DO + "SELECT * EXCLUDE (direccion, origen) FROM dirty_ord
 
 SQL["header_normalise"] = _DO + "SELECT * FROM dirty_orders"
 
-SQL["copy_text_lines"] = _DO + "SELECT row_no, concat_ws(chr(9), " + ", ".join(
-    O.copy_escape(_bulk_clean(c)) for c in ORDERS_BULK_COLUMNS) + ") AS line FROM dirty_orders"
-
 _CT = O.with_(O.CUSTOMER_TEXT)
 _CT_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
@@ -150,8 +147,8 @@ def _profile_sql(view: str, name: str, cols) -> str:
     return " UNION ALL ".join(arms)
 
 
-_PROFILES = O.with_(O.CUSTOMER_HOLES, O.PATIENTS, f"""profiles AS (
-  {_profile_sql('customer_holes', 'CUSTOMER', _CH_TYPES)}
+_PROFILES = O.with_(O.CUSTOMER_FLOATS, O.PATIENTS, f"""profiles AS (
+  {_profile_sql('customer_floats', 'CUSTOMER', _CH_TYPES)}
   UNION ALL {_profile_sql('patients', 'PACIENTES', _PT_TYPES)})""")
 
 SQL["profile_table"] = _PROFILES + "SELECT * FROM profiles"
@@ -160,9 +157,9 @@ SQL["quality_summary"] = _PROFILES + """SELECT tabla, max(total_filas) AS total_
   FROM profiles GROUP BY tabla"""
 
 
-def _inspect_sql() -> str:
+def _inspect_sql(columns=tuple(_CT_COLS)) -> str:
     arms = []
-    for i, c in enumerate(_CT_COLS):
+    for i, c in enumerate(columns):
         v = O.null_token(c)
         rank = (f"max(CASE WHEN {v} IS NULL THEN NULL WHEN {O.value_kind(v)} = 'int' THEN 1 "
                 f"WHEN {O.value_kind(v)} = 'float' THEN 2 ELSE 3 END)")
@@ -174,19 +171,24 @@ def _inspect_sql() -> str:
     return " UNION ALL ".join(arms)
 
 
-_INSPECT = O.with_(O.CUSTOMER_TEXT, "sample AS (SELECT * FROM customer_text ORDER BY row_no LIMIT 100000)",
+_INSPECT = O.with_(O.CUSTOMER_TEXT, "sample AS (SELECT * FROM customer_text)",
                    f"inspection AS ({_inspect_sql()})")
 SQL["inspect_columns"] = _INSPECT + "SELECT * FROM inspection"
 SQL["critical_columns"] = _INSPECT + "SELECT * FROM inspection WHERE porcentaje_nulos > 30 ORDER BY porcentaje_nulos DESC"
 
 _HT_COLS = ", ".join([f"{O.null_token(c)} AS {c}" for c in _CT_COLS] + [
     f"(CASE WHEN {O.null_token(c)} IS NOT NULL THEN {O.value_kind(O.null_token(c))} END) AS {c}_kind"
+    for c in _CT_COLS] + [
+    f"(CASE WHEN {O.value_kind(O.null_token(c))} = 'int' THEN TRY_CAST({O.null_token(c)} AS BIGINT) END) AS {c}_int"
+    for c in _CT_COLS] + [
+    f"(CASE WHEN {O.value_kind(O.null_token(c))} = 'float' THEN TRY_CAST({O.null_token(c)} AS DOUBLE) END) AS {c}_float"
     for c in _CT_COLS])
 SQL["head_tail"] = _INSPECT + f"""(SELECT row_no, {_HT_COLS}, 'head' AS lado FROM sample ORDER BY row_no LIMIT 5)
   UNION ALL (SELECT row_no, {_HT_COLS}, 'tail' AS lado FROM sample ORDER BY row_no DESC LIMIT 5)"""
 
-SQL["sample_first_n"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 50000"
-SQL["row_cap"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 15000000"
+SQL["sample_first_n"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 5000"
+SQL["row_cap"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 10000"
+SQL["row_cap_report"] = """SELECT count(*) AS filas_fuente, CAST(10000 AS BIGINT) AS tope, count(*) > 10000 AS recortado FROM orders"""
 
 
 # --- sources ----------------------------------------------------------------
@@ -198,10 +200,23 @@ SQL["extract_catalogue_table"] = "SELECT * FROM nation"
 SQL["page_slice"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10000 OFFSET 10000"
 SQL["union_pages"] = SQL["extract_window"]
 SQL["period_files"] = f"SELECT *, upper(event_type) AS tabla FROM events WHERE {_WIN}"
-SQL["reconcile_counts"] = f"""SELECT upper(event_type) AS tabla, count(*) AS filas_oracle, count(*) AS filas_extraidas,
-  'OK' AS estado, '' AS mensaje FROM events WHERE {_WIN} GROUP BY 1"""
+# the extract of one table lost every 50th row
+_LOST = "upper(event_type) = 'CLICK' AND event_id % 50 = 0"
+SQL["reconcile_counts"] = f"""SELECT tabla, a AS filas_oracle, b AS filas_extraidas, CASE WHEN a = b THEN 'OK' ELSE 'ERROR' END AS estado,
+  CASE WHEN a = b THEN '' ELSE 'DISCREPANCIA: Oracle=' || a || ' | CSV=' || b END AS mensaje
+  FROM (SELECT upper(event_type) AS tabla, count(*) AS a, count(*) FILTER (NOT ({_LOST})) AS b FROM events WHERE {_WIN} GROUP BY 1)"""
 SQL["scan_delimited"] = _DO + "SELECT * FROM dirty_orders"
-SQL["csv_infer"] = "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+SQL["split_records"] = SQL["scan_delimited"]
+_ORDER_TEXT = [c for c in ("idpersona", "codigohecho", "fechaocurrencia", "fechareporte", "coddanemunicipioocurrencia", "discapacidad",
+                           "hecho", "primernombre", "tipodocumento", "origen", "direccion")]
+SQL["inspect_file_columns"] = O.with_(O.DIRTY_ORDERS, "sample AS (SELECT * FROM dirty_orders)") + _inspect_sql(_ORDER_TEXT)
+# by class of the key modulo 7: the texts written for each column, after the null tokens
+SQL["csv_infer"] = """SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'NONE' WHEN 3 THEN 'none'
+    WHEN 4 THEN 'Null' ELSE c_name END AS c_name,
+  CASE WHEN c_custkey % 7 < 3 THEN NULL ELSE CAST(c_nationkey AS BIGINT) END AS c_nationkey,
+  CASE WHEN c_custkey % 7 < 2 THEN NULL ELSE c_acctbal END AS c_acctbal,
+  CASE WHEN c_custkey % 2 = 0 THEN TRUE WHEN c_custkey % 3 = 0 THEN NULL ELSE FALSE END AS c_active,
+  CASE WHEN c_custkey % 7 < 2 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer"""
 SQL["csv_roundtrip"] = SQL["clean_table"]
 
 # --- ingestion --------------------------------------------------------------
@@ -248,6 +263,9 @@ def _bulk_clean_raw(c: str) -> str:
     return _bulk_clean(c)
 
 
+SQL["copy_text_lines"] = _DO + "SELECT row_no, concat_ws(chr(9), " + ", ".join(
+    O.copy_escape(_bulk_clean_raw(c)) for c in ORDERS_BULK_COLUMNS) + ") AS line FROM dirty_orders"
+
 _DUCK_TYPE = {"int": "INTEGER", "smallint": "SMALLINT", "date": "DATE", "string": "VARCHAR"}
 _CLEANED = O.with_(O.DIRTY_ORDERS, "cleaned AS (SELECT row_no, " + ", ".join(
     f"{_bulk_clean_raw(c)} AS {c}" for c in ORDERS_BULK_COLUMNS) + f", {_target_tag()} AS _problema FROM dirty_orders)")
@@ -256,7 +274,7 @@ SQL["target_accepts"] = _CLEANED + "SELECT row_no, " + ", ".join(
     f"CAST({c} AS {_DUCK_TYPE[S.BULK_SPEC.rule(c).target]}) AS {c}" for c in ORDERS_BULK_COLUMNS
 ) + " FROM cleaned WHERE _problema IS NULL"
 SQL["target_rejects"] = _CLEANED + "SELECT row_no, " + ", ".join(
-    (f"CAST({c} AS BIGINT) AS {c}" if S.BULK_SPEC.rule(c).kind in (S.INT, S.CODE) else c) for c in ORDERS_BULK_COLUMNS
+    (f"TRY_CAST({c} AS BIGINT) AS {c}" if S.BULK_SPEC.rule(c).kind in (S.INT, S.CODE) else c) for c in ORDERS_BULK_COLUMNS
 ) + ", _problema FROM cleaned WHERE _problema IS NOT NULL"
 
 _BULK_FIRSTS = _CLEANED + ", " + """firsts AS (SELECT * FROM cleaned WHERE _problema IS NULL
@@ -307,16 +325,26 @@ UNION ALL (SELECT 'mayor_velocidad' AS criterio, metodo, lote, tiempo_s, ram_mb
 # --- delivery ---------------------------------------------------------------
 
 SQL["delivery_name"] = "SELECT n_nationkey, upper(n_name) || '_2024_01-01.csv' AS archivo FROM nation"
-_ROW = ("concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '\\N')"
-                                       for c in ["event_id", "ts", "user_id", "event_type", "value", "props"]) + ")")
-_DIGEST = f"""digest AS (SELECT upper(event_type) AS tabla, count(*) AS filas,
-  CAST(sum(CAST(('0x' || substr(md5({_ROW}), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest
-  FROM events WHERE {_WIN} GROUP BY 1)"""
-SQL["content_digest"] = O.with_(_DIGEST) + "SELECT * FROM digest"
-SQL["manifest"] = O.with_(_DIGEST) + """SELECT tabla, '2024-01-10' AS periodo_inicio, '2024-01-15' AS periodo_fin,
-  tabla || '_2024_01-01.csv' AS archivo, filas AS filas_oracle, filas AS filas_csv, digest AS md5,
-  filas AS calidad_total_filas, CAST(0 AS BIGINT) AS calidad_columnas_con_nulos, 0.0 AS calidad_max_pct_nulos,
-  'tableflow 0.1.0' AS generado_por FROM digest"""
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _digest(source: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in _EVENT_COLS]
+    row = " || ".join(f"COALESCE(length({f}) || ':' || {f}, '-')" for f in fields)
+    return f"""digest AS (SELECT tabla, count(*) AS filas,
+  CAST(sum(CAST(('0x' || substr(md5({row}), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest,
+  count(*) - count(props) AS sin_props FROM {source} GROUP BY 1)"""
+
+
+_WINDOW = f"w AS (SELECT *, upper(event_type) AS tabla FROM events WHERE {_WIN})"
+SQL["content_digest"] = O.with_(_WINDOW, _digest("w")) + "SELECT tabla, filas, digest FROM digest"
+SQL["manifest"] = O.with_(
+    _WINDOW, f"""delivered AS (SELECT * REPLACE (CASE WHEN value >= 5 THEN props END AS props) FROM w WHERE NOT ({_LOST}))""",
+    _digest("delivered"), "source AS (SELECT tabla, count(*) AS n FROM w GROUP BY 1)") + f"""SELECT tabla,
+  '2024-01-10' AS periodo_inicio, '2024-01-15' AS periodo_fin, tabla || '_2024_01-01.csv' AS archivo, n AS filas_oracle,
+  filas AS filas_csv, digest, TRUE AS partes_con_md5, filas AS calidad_total_filas,
+  CAST(CASE WHEN sin_props > 0 THEN 1 ELSE 0 END AS BIGINT) AS calidad_columnas_con_nulos,
+  {O.percent('sin_props', 'filas')} AS calidad_max_pct_nulos, 'tableflow 0.1.0' AS generado_por FROM source JOIN digest USING (tabla)"""
 
 
 # --- streaming --------------------------------------------------------------
@@ -324,13 +352,20 @@ SQL["manifest"] = O.with_(_DIGEST) + """SELECT tabla, '2024-01-10' AS periodo_in
 SQL["stream_insert_ignore"] = "SELECT * FROM events"
 SQL["stream_batches"] = """SELECT CAST(4 AS BIGINT) AS lotes, 2 * count(*) AS filas_leidas, count(*) AS insertadas,
   count(*) AS conflictos FROM events"""
-SQL["stream_resume"] = """SELECT 1 AS run, count(*) AS filas_leidas, count(*) AS insertadas FROM events
-  UNION ALL SELECT 2 AS run, count(*) AS filas_leidas, CAST(0 AS BIGINT) AS insertadas FROM events"""
+SQL["stream_resume"] = _BULK_FIRSTS + """, n AS (SELECT count(*) AS leidas, count(*) FILTER (_problema IS NOT NULL) AS malas FROM cleaned)
+  SELECT 1 AS run, leidas AS filas_leidas, (SELECT count(*) FROM firsts) AS insertadas, malas AS rechazadas FROM n
+  UNION ALL SELECT 2, leidas, 0, malas FROM n"""
+SQL["batch_progress"] = """WITH b AS (SELECT i AS batch_id,
+    (SELECT count(*) FROM events WHERE event_id % 4 = i OR (event_id % 4 = i - 1 AND event_id % 10 = 0)) AS filas_leidas,
+    (SELECT count(*) FROM events WHERE event_id % 4 = i) AS insertadas FROM range(4) t(i))
+  SELECT batch_id, filas_leidas, insertadas, CAST(sum(filas_leidas) OVER w AS BIGINT) AS filas_acumuladas,
+    CAST(sum(insertadas) OVER w AS BIGINT) AS insertadas_acumuladas, CAST(batch_id + 1 AS INTEGER) AS lote
+  FROM b WINDOW w AS (ORDER BY batch_id)"""
 SQL["stream_rejects"] = SQL["target_rejects"]
 
 SQL["sql_functions"] = _DO + f"""SELECT row_no, {O.clean_date('fechaocurrencia')} AS fecha,
-  CAST({O.clean_int('idpersona')} AS BIGINT) AS entero,
-  CAST({O.clean_code('coddanemunicipioocurrencia')} AS BIGINT) AS codigo, {O.clean_text('hecho')} AS hecho,
+  TRY_CAST({O.clean_int('idpersona')} AS BIGINT) AS entero,
+  TRY_CAST({O.clean_code('coddanemunicipioocurrencia')} AS BIGINT) AS codigo, {O.clean_text('hecho')} AS hecho,
   {O.value_kind('lower(' + O.strip('primernombre') + ')')} AS kind FROM dirty_orders"""
 
 # the text reader splits lines at LF and at CR: rows whose text field holds "LF - CR" add two lines

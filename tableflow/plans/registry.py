@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableflow import spec as S
 from tableflow.functions import rules as R
@@ -38,8 +39,8 @@ def query(name: str):
 
 
 def _as_output(df: DataFrame) -> DataFrame:
-    """Exact integers of 38 digits are reported as bigint."""
-    return df.select(*[F.col(f.name).cast("bigint").alias(f.name) if f.dataType.simpleString() == "decimal(38,0)"
+    """Exact integers of 38 digits are reported as bigint (null beyond it)."""
+    return df.select(*[F.col(f.name).try_cast("bigint").alias(f.name) if f.dataType.simpleString() == "decimal(38,0)"
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -49,7 +50,7 @@ def _as_output(df: DataFrame) -> DataFrame:
 def q_clean_date(spark, sf):
     d = DV.dirty_orders(spark, sf).select("row_no", F.col("fechaocurrencia").alias("raw"), "fechaocurrencia",
                                           "fechareporte")
-    return REC.clean_dates(d, {"fecha": "fechaocurrencia", "fecha_reporte": "fechareporte"}, spread=False).select(
+    return REC.clean_dates(d, {"fecha": "fechaocurrencia", "fecha_reporte": "fechareporte"}).select(
         "row_no", "raw", "fecha", "fecha_reporte")
 
 
@@ -57,16 +58,16 @@ def q_clean_date(spark, sf):
 def q_clean_int(spark, sf):
     d = DV.dirty_orders(spark, sf)
     return d.select("row_no", F.col("idpersona").alias("raw"),
-                    R.clean_int("idpersona").cast("bigint").alias("entero"),
-                    R.clean_int("codigohecho").cast("bigint").alias("codigo"),
-                    R.clean_int("discapacidad").cast("bigint").alias("monto"))
+                    R.clean_int("idpersona").try_cast("bigint").alias("entero"),
+                    R.clean_int("codigohecho").try_cast("bigint").alias("codigo"),
+                    R.clean_int("discapacidad").try_cast("bigint").alias("monto"))
 
 
 @query("clean_code")
 def q_clean_code(spark, sf):
     d = DV.dirty_orders(spark, sf)
     return d.select("row_no", F.col("coddanemunicipioocurrencia").alias("raw"),
-                    R.clean_code("coddanemunicipioocurrencia").cast("bigint").alias("codigo"))
+                    R.clean_code("coddanemunicipioocurrencia").try_cast("bigint").alias("codigo"))
 
 
 @query("clean_text")
@@ -79,7 +80,7 @@ def q_clean_text(spark, sf):
 @query("clean_record")
 def q_clean_record(spark, sf):
     d = DV.dirty_orders(spark, sf)
-    out = REC.clean_record(d, S.BULK_SPEC, keep=["row_no"], spread=False)   # the input is spread already
+    out = REC.clean_record(d, S.BULK_SPEC, keep=["row_no"])
     return _as_output(out.select("row_no", *ORDERS_BULK_COLUMNS))
 
 
@@ -107,7 +108,7 @@ def q_header_normalise(spark, sf):
 
 @query("copy_text_lines")
 def q_copy_text_lines(spark, sf):
-    d = REC.clean_record(DV.dirty_orders(spark, sf), S.BULK_SPEC, keep=["row_no"], spread=False)
+    d = REC.clean_record(DV.dirty_orders(spark, sf), S.BULK_SPEC, keep=["row_no"])
     return REC.copy_text_lines(d, ORDERS_BULK_COLUMNS, keep=["row_no"])
 
 
@@ -143,9 +144,9 @@ from tableflow.operators import profiling as PRF  # noqa: E402
 from tableflow.operators import quarantine as Q  # noqa: E402
 
 PATIENTS_SPEC = S.PERIOD_SPECS["PACIENTES"]
-INSPECT_SAMPLE_ROWS = 100_000
-BENCH_SAMPLE_ROWS = 50_000
-ROW_CAP = 15_000_000
+# both below the rows of the smallest checked table, so that they cut
+SAMPLE_ROWS = 5_000
+ROW_CAP = 10_000
 
 
 @query("dedupe_rows")
@@ -185,13 +186,13 @@ def q_clean_table_problems(spark, sf):
 
 @query("problem_counts")
 def q_problem_counts(spark, sf):
-    return Q.problem_counts(Q.clean_table(DV.patients(spark, sf), PATIENTS_SPEC).problems)
+    return Q.count_problems(Q.tag_table(DV.patients(spark, sf), PATIENTS_SPEC), PATIENTS_SPEC)
 
 
 # --- profiling and inspection -------------------------------------------------
 
 def _profiles(spark, sf):
-    return (PRF.profile_table(DV.customer_holes(spark, sf), "CUSTOMER")
+    return (PRF.profile_table(DV.customer_floats(spark, sf), "CUSTOMER")
             .unionByName(PRF.profile_table(DV.patients(spark, sf), "PACIENTES")))
 
 
@@ -205,33 +206,34 @@ def q_quality_summary(spark, sf):
     return PRF.quality_summary(_profiles(spark, sf))
 
 
-def _inspection_sample(spark, sf):
-    return PRF.first_n(DV.customer_text(spark, sf), INSPECT_SAMPLE_ROWS, "row_no")
-
-
 @query("inspect_columns")
 def q_inspect_columns(spark, sf):
-    return PRF.inspect_columns(_inspection_sample(spark, sf), ordinal="row_no")
+    return PRF.inspect_columns(DV.customer_text(spark, sf), ordinal="row_no")
 
 
 @query("critical_columns")
 def q_critical_columns(spark, sf):
-    return PRF.critical_columns(PRF.inspect_columns(_inspection_sample(spark, sf), ordinal="row_no"))
+    return PRF.critical_columns(PRF.inspect_columns(DV.customer_text(spark, sf), ordinal="row_no"))
 
 
 @query("head_tail")
 def q_head_tail(spark, sf):
-    return PRF.head_tail(_inspection_sample(spark, sf), "row_no")
+    return _as_output(PRF.head_tail(DV.customer_text(spark, sf), "row_no"))
 
 
 @query("sample_first_n")
 def q_sample_first_n(spark, sf):
-    return PRF.first_n(DV.dirty_orders(spark, sf), BENCH_SAMPLE_ROWS, "row_no")
+    return PRF.first_n(DV.dirty_orders(spark, sf), SAMPLE_ROWS, "row_no")
 
 
 @query("row_cap")
 def q_row_cap(spark, sf):
-    return PRF.first_n(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")
+    return PRF.row_cap(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")[0]
+
+
+@query("row_cap_report")
+def q_row_cap_report(spark, sf):
+    return PRF.row_cap(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")[1]
 
 
 # --- sources ------------------------------------------------------------------
@@ -247,6 +249,8 @@ from tableflow.sources import period as PER  # noqa: E402
 WINDOW_START, WINDOW_END = "2024-01-10", "2024-01-15"
 LOAD_TIME = "2024-02-01 00:00:00"
 PENDING_START = "2024-01-30"
+EVENT_PAGE = 1_000
+LOSSY_TABLE = "CLICK"
 
 
 def _events_window(spark, sf):
@@ -272,39 +276,44 @@ def q_extract_catalogue_table(spark, sf):
 
 @query("page_slice")
 def q_page_slice(spark, sf):
-    return DB.page_slice(DV.table(spark, sf, "orders"), ["o_orderkey"], 1, S.EXTRACT_PAGE_ROWS)
+    return DB.page_slice(DV.table(spark, sf, "orders"), "o_orderkey", 1, S.EXTRACT_PAGE_ROWS)
 
 
 @query("union_pages")
 def q_union_pages(spark, sf):
     w = DB.extract_window(DV.table(spark, sf, "events"), "ts", WINDOW_START, WINDOW_END)
-    b = w.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    lo, hi = (b["lo"] or 0), (b["hi"] or 0)
-    return DB.union_pages(w, DB.range_predicates("event_id", lo, hi + 1, 8))
+    return DB.union_pages(w, DB.range_predicates("event_id", 0, 8 * EVENT_PAGE, 8))   # the last page is open
 
 
-def _written_extracts(spark, sf):
-    """The window of every event table written as a period CSV, then found again by name."""
+def _written_extracts(spark, sf, rows=None):
+    """The window of every event table, delivered in one write and read back with its table's name."""
     root = scratch_path(spark, "datos")
+    rows = _events_window(spark, sf) if rows is None else rows
+    DL.write_csv_by_table(rows, root, "tabla")
+    return root, DL.read_csv_by_table(spark, root, rows.drop("tabla").schema, "tabla")
+
+
+def _lossy_events(spark, sf):
+    """The window with some properties lost, and every 50th row of one table missing."""
     w = _events_window(spark, sf)
-    cols = [c for c in w.columns if c != "tabla"]
-    types = [r["tabla"] for r in w.select("tabla").distinct().collect()]  # table names only
-    for t in sorted(types):
-        PER.write_period_table(w.filter(F.col("tabla") == t).select(*cols), root, t, WINDOW_START, WINDOW_END)
-    schema = DV.table(spark, sf, "events").schema
-    return PER.read_period_files(spark, root, WINDOW_START, WINDOW_END, schema=schema)
+    lost = (F.col("tabla") == LOSSY_TABLE) & (F.col("event_id") % 50 == 0)
+    return w.filter(~lost).withColumn("props", F.when(F.col("value") >= 5, F.col("props")))
 
 
 @query("period_files")
 def q_period_files(spark, sf):
-    return _written_extracts(spark, sf)
+    """One file folder per table and period, found again by name."""
+    root = scratch_path(spark, "periodo")
+    PER.write_period_tables(_events_window(spark, sf), root, "tabla", WINDOW_START, WINDOW_END)
+    return PER.read_period_files(spark, root, WINDOW_START, WINDOW_END, schema=DV.table(spark, sf, "events").schema)
 
 
 @query("reconcile_counts")
 def q_reconcile_counts(spark, sf):
     e = DV.table(spark, sf, "events").withColumn("tabla", F.upper("event_type"))
     source = DB.count_window(e, "ts", WINDOW_START, WINDOW_END, by=["tabla"])
-    extracted = _written_extracts(spark, sf).groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
+    _, back = _written_extracts(spark, sf, _lossy_events(spark, sf))
+    extracted = back.groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
     return LED.reconcile_counts(source, extracted)
 
 
@@ -318,10 +327,28 @@ def q_scan_delimited(spark, sf):
 @query("csv_infer")
 def q_csv_infer(spark, sf):
     path = scratch_path(spark, "csv")
-    DL.write_csv(DV.table(spark, sf, "customer"), path)
+    DL.write_csv(DV.customer_tokens(spark, sf), path)
     return DL.read_csv_inferred(spark, path)
 
 
+@query("split_records")
+def q_split_records(spark, sf):
+    """One file with quoted line breaks, landed once as several files of whole records."""
+    one, parts = scratch_path(spark, "one_file"), scratch_path(spark, "parts")
+    DL.write_delimited(DV.dirty_orders(spark, sf).coalesce(1), one)
+    DL.split_records(spark, one, parts, files=8)
+    back = DL.read_delimited(spark, parts, multi_line=True).drop(DL.LINE)
+    return back.withColumn("row_no", F.col("row_no").cast("bigint"))
+
+
+@query("inspect_file_columns")
+def q_inspect_file_columns(spark, sf):
+    """The inspector on the delimited file itself, whose fields hold line breaks."""
+    path = scratch_path(spark, "inspect")
+    DL.write_delimited(DV.dirty_orders(spark, sf), path)
+    return PRF.inspect_file(spark, path, ignored=("row_no",))["columnas"]
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf):
     clean = Q.clean_table(DV.patients(spark, sf), PATIENTS_SPEC).clean
@@ -352,13 +379,13 @@ def q_load_default(spark, sf):
 
 @query("target_accepts")
 def q_target_accepts(spark, sf):
-    return ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no", spread=False)[0].select(
+    return ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no")[0].select(
         "row_no", *ORDERS_BULK_COLUMNS)
 
 
 @query("target_rejects")
 def q_target_rejects(spark, sf):
-    bad = ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no", spread=False)[1]
+    bad = ING.prepare_load(DV.dirty_orders(spark, sf), S.BULK_SPEC, "row_no")[1]
     return _as_output(bad.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))
 
 
@@ -367,6 +394,7 @@ def _bulk_load(spark, sf):
     DL.write_delimited(DV.dirty_orders(spark, sf), src)
     raw = DL.read_delimited(spark, src, multi_line=True).withColumn("row_no", F.col("row_no").cast("bigint"))
     target = scratch_path(spark, "target")
+    ING.create_target(spark, S.BULK_SPEC, path=target)
     report = ING.bulk_load(spark, raw, S.BULK_SPEC, target, "row_no", staging_path=scratch_path(spark, "staging"),
                            load_time=LOAD_TIME)
     return target, report
@@ -425,15 +453,18 @@ def q_content_digest(spark, sf):
 
 @query("manifest")
 def q_manifest(spark, sf):
-    w = _events_window(spark, sf)
-    cols = [c for c in w.columns if c != "tabla"]
+    """Delivered rows read back from their files, against the source's counts."""
     e = DV.table(spark, sf, "events").withColumn("tabla", F.upper("event_type"))
     source = DB.count_window(e, "ts", WINDOW_START, WINDOW_END, by=["tabla"]).withColumnRenamed("filas", "filas_oracle")
-    digest = DLV.content_digest(w, by=["tabla"], columns=cols)
+    root, back = _written_extracts(spark, sf, _lossy_events(spark, sf))
+    cols = [c for c in back.columns if c != "tabla"]
+    digest = DLV.content_digest(back, by=["tabla"], columns=cols)
     counts = source.join(digest.select("tabla", F.col("filas").alias("filas_csv")), "tabla", "left")
-    summary = PRF.quality_summary(PRF.profile_tables(w, "tabla"))
-    m = DLV.manifest(counts, digest, summary, WINDOW_START, WINDOW_END)
-    return m.select("tabla", "periodo_inicio", "periodo_fin", "archivo", "filas_oracle", "filas_csv", "md5",
+    summary = PRF.quality_summary(PRF.profile_tables(back, "tabla"))
+    parts = DLV.parts_by_table(DLV.part_file_md5(spark, f"{root}/tabla=*"))
+    m = DLV.manifest(counts, digest, summary, WINDOW_START, WINDOW_END, parts=parts)
+    return m.select("tabla", "periodo_inicio", "periodo_fin", "archivo", "filas_oracle", "filas_csv", "digest",
+                    F.forall("partes", lambda p: (F.length(p["md5"]) == 32) & (p["bytes"] > 0)).alias("partes_con_md5"),
                     F.col("problemas_calidad.total_filas").alias("calidad_total_filas"),
                     F.col("problemas_calidad.columnas_con_nulos").alias("calidad_columnas_con_nulos"),
                     F.col("problemas_calidad.max_pct_nulos").alias("calidad_max_pct_nulos"), "generado_por")
@@ -483,36 +514,55 @@ def q_stream_batches(spark, sf):
 
 @query("batch_progress")
 def q_batch_progress(spark, sf):
-    cfg = _event_stream(spark, sf)
+    """Four landings, one after another: batch i holds the events of class i and some that batch i - 1 brought."""
+    e = DV.table(spark, sf, "events")
+    src = scratch_path(spark, "stream_src")
+    cfg = ST.StreamIngest(source=src, schema=e.schema, target=scratch_path(spark, "stream_target"),
+                          checkpoint=scratch_path(spark, "stream_ckpt"), key=("event_id",), order=("ts",),
+                          max_files_per_trigger=STREAM_FILES_PER_COPY, metrics=scratch_path(spark, "stream_metrics"))
+    k = F.col("event_id")
+    for i in range(4):
+        again = (k % 4 == i - 1) & (k % 10 == 0)
+        e.filter((k % 4 == i) | again).repartition(STREAM_FILES_PER_COPY).write.mode("append").parquet(src)
+        ST.run_until_caught_up(spark, cfg)
     return ST.batch_progress(spark.read.parquet(cfg.metrics))
 
 
+def _order_stream(spark, sf, src):
+    """A stream of the delimited file, whose fields hold line breaks."""
+    d = DV.dirty_orders(spark, sf)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in d.columns])
+    numbered = lambda b: b.withColumn("row_no", F.col("row_no").cast("bigint"))
+    return d, ST.StreamIngest(
+        source=src, schema=text, target=scratch_path(spark, "stream_target"), checkpoint=scratch_path(spark, "stream_ckpt"),
+        key=S.BULK_SPEC.key, order=("row_no",), source_format="csv", options=ST.delimited_options(),
+        max_files_per_trigger=STREAM_FILES_PER_TRIGGER, metrics=scratch_path(spark, "stream_metrics"),
+        rejects=scratch_path(spark, "stream_rej"), prepare=lambda b: ING.tag_load(numbered(b), S.BULK_SPEC, "row_no"),
+        conform=lambda a: ING.conform(a, S.BULK_SPEC, "row_no"), load_time_column=S.BULK_LOAD_TIME)
+
+
 @query("stream_resume")
 def q_stream_resume(spark, sf):
+    """The delimited file loaded by a stream that is restarted when the same file arrives again."""
     src = scratch_path(spark, "stream_src")
-    schema = _land_events(spark, sf, src, 1)
-    cfg = ST.StreamIngest(source=src, schema=schema, target=scratch_path(spark, "stream_target"),
-                          checkpoint=scratch_path(spark, "stream_ckpt"), key=("event_id",), order=("ts",),
-                          max_files_per_trigger=STREAM_FILES_PER_TRIGGER, metrics=scratch_path(spark, "stream_metrics"))
+    d, cfg = _order_stream(spark, sf, src)
+    DL.write_delimited(d.repartition(STREAM_FILES_PER_COPY), src, mode="append")
     ST.run_until_caught_up(spark, cfg)
     first_run_last = spark.read.parquet(cfg.metrics).agg(F.max(ST.BATCH)).first()[0]
-    _land_events(spark, sf, src, 1)          # new files arrive; the restart reads only those
+    DL.write_delimited(d.repartition(STREAM_FILES_PER_COPY), src, mode="append")  # the restart reads only these
     ST.run_until_caught_up(spark, cfg)
     m = spark.read.parquet(cfg.metrics)
     runs = F.when(F.col(ST.BATCH) <= first_run_last, F.lit(1)).otherwise(F.lit(2))
     return (m.withColumn("run", runs).groupBy("run")
-             .agg(F.sum("filas_leidas").alias("filas_leidas"), F.sum("insertadas").alias("insertadas")))
+             .agg(F.sum("filas_leidas").alias("filas_leidas"), F.sum("insertadas").alias("insertadas"),
+                  F.sum("rechazadas").alias("rechazadas")))
 
 
 @query("stream_rejects")
 def q_stream_rejects(spark, sf):
     src = scratch_path(spark, "stream_orders")
-    d = DV.dirty_orders(spark, sf)
-    d.repartition(STREAM_FILES_PER_COPY).write.parquet(src)
-    cfg = ST.StreamIngest(source=src, schema=d.schema, target=scratch_path(spark, "stream_target"),
-                          checkpoint=scratch_path(spark, "stream_ckpt"), key=S.BULK_SPEC.key, order=("row_no",),
-                          max_files_per_trigger=STREAM_FILES_PER_TRIGGER, rejects=scratch_path(spark, "stream_rej"),
-                          prepare=lambda b: ING.prepare_load(b, S.BULK_SPEC, "row_no"))
+    d, cfg = _order_stream(spark, sf, src)
+    DL.write_delimited(d.repartition(STREAM_FILES_PER_COPY), src)
     ST.run_until_caught_up(spark, cfg)
     rej = spark.read.parquet(cfg.rejects)
     return _as_output(rej.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))
@@ -528,7 +578,7 @@ def q_sql_functions(spark, sf):
     FSQL.register(spark)
     DV.dirty_orders(spark, sf).createOrReplaceTempView("tf_dirty_orders")
     return spark.sql("""SELECT row_no, clean_date(fechaocurrencia) AS fecha,
-        CAST(clean_int(idpersona) AS BIGINT) AS entero, CAST(clean_code(coddanemunicipioocurrencia) AS BIGINT) AS codigo,
+        try_cast(clean_int(idpersona) AS BIGINT) AS entero, try_cast(clean_code(coddanemunicipioocurrencia) AS BIGINT) AS codigo,
         clean_text(hecho) AS hecho, value_kind(lower(strip_text(primernombre))) AS kind FROM tf_dirty_orders""")
 
 

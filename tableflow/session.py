@@ -20,6 +20,9 @@ DEFAULT_CONF = {
 }
 
 
+UTC_NAMES = {"UTC", "Z", "GMT", "ETC/UTC", "ETC/GMT", "UCT", "ETC/UCT", "ZULU", "+00:00", "UNIVERSAL"}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tableflow", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks; on a cluster use the provided session."""
@@ -36,8 +39,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings the rules depend on; leave everything else to the cluster."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Check the setting the rules depend on; the session is the caller's and is not changed."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone is {zone!r}; the date rules need UTC")
     checkpoint_root(spark)
     return spark
 
@@ -45,8 +50,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is. Only when it
-    is unset (tests, a laptop) a fresh local folder is made and registered.
+    On a cluster the setting points at shared storage and is used as is; unset there, it
+    is an error, since executors do not share local folders. Only in local mode (tests,
+    a laptop) a fresh local folder is made and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -58,6 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application uuid folder; use its parent
         return os.path.dirname(current.rstrip("/"))
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tableflow-ckpt-")
     sc.setCheckpointDir(local)
     return local

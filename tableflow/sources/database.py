@@ -41,10 +41,18 @@ def count_window(df: DataFrame, column: str | None, start: str, end: str, by=Non
     return w.groupBy(*by).agg(agg) if by else w.agg(agg)
 
 
-def page_slice(df: DataFrame, key, page: int, page_rows: int) -> DataFrame:
-    """One page of the table in key order (use the full key: one column is not a total order)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(*keys).offset(page * page_rows).limit(page_rows)
+def page_slice(df: DataFrame, key: str, page: int, page_rows: int) -> DataFrame:
+    """One page of the table in the order of a unique numeric key: its rows after ``page * page_rows`` of them.
+
+    The page's ends are found by counting (:func:`tableflow.operators.profiling.first_n`),
+    so a deep page is as cheap as the first and no task holds the pages before it.
+    """
+    from tableflow.operators.profiling import first_n
+
+    upto = first_n(df, (page + 1) * page_rows, key)
+    if page == 0:
+        return upto
+    return upto.filter(F.col(key) > first_n(df, page * page_rows, key).agg(F.max(key)).scalar())
 
 
 def range_predicates(column: str, lower: int, upper: int, partitions: int) -> list[str]:
@@ -65,12 +73,8 @@ def range_predicates(column: str, lower: int, upper: int, partitions: int) -> li
 
 
 def union_pages(df: DataFrame, predicates: list[str]) -> DataFrame:
-    """Bag union of the range partitions (each one a filter pushed into the scan)."""
-    pages = [df.filter(p) for p in predicates]
-    out = pages[0]
-    for p in pages[1:]:
-        out = out.unionByName(p)
-    return out
+    """Bag union of disjoint range partitions in one scan: the rows that any of them takes."""
+    return df.filter(" OR ".join(f"({p})" for p in predicates))
 
 
 def jdbc_options(url: str, table: str, partition_column: str | None = None, lower: int | None = None,
@@ -91,7 +95,10 @@ def read_jdbc(spark: SparkSession, options: dict) -> DataFrame:
 
 def key_catalogue_queries(owner_filter: str | None = None) -> dict[str, str]:
     """Queries for the constraint catalogue views read by :func:`tableflow.operators.ledger.detect_keys`."""
-    where = f" WHERE owner = '{owner_filter}'" if owner_filter else ""
+    where = ""
+    if owner_filter:
+        name = owner_filter.replace("'", "''")
+        where = f" WHERE owner = '{name}'"
     return {
         "constraints": f"(SELECT constraint_name, owner, constraint_type, table_name FROM all_constraints{where}) c",
         "columns": f"(SELECT constraint_name, owner, column_name, position FROM all_cons_columns{where}) k",

@@ -4,6 +4,9 @@ The file source plus ``checkpointLocation`` replaces a "last committed row" file
 restarted query reads only files it has not committed. ``maxFilesPerTrigger`` sizes
 the batches (a file is never split across batches, so land big inputs as many files).
 
+Each batch is stored by a hash of the key (``cubeta``), so a later batch reads only the
+earlier rows of the buckets that its own keys fall into.
+
 Replay safety: batch N is written to ``target/batch_id=N`` with overwrite, and its
 anti-join reads only ``batch_id < N``. If the job dies after the write but before the
 checkpoint commit, the restarted query replays batch N and rewrites the same folder
@@ -14,14 +17,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow import spec as S
 from tableflow.operators import ingest as ING
+from tableflow.operators import quarantine as Q
 from tableflow.session import path_exists
 
-BATCH = "batch_id"
+BATCH, BUCKET = "batch_id", "cubeta"
 
 METRICS_SCHEMA = T.StructType([
     T.StructField(BATCH, T.LongType()),
@@ -46,8 +51,11 @@ class StreamIngest:
     max_files_per_trigger: int = 1
     rejects: str | None = None
     metrics: str | None = None
-    prepare: object = None          # DataFrame -> (accepted, rejected); default: all accepted
-    fail_after_write: set = field(default_factory=set)  # batch ids that raise after writing (crash tests)
+    options: dict = field(default_factory=dict)   # of the reader (header, sep, encoding, ...)
+    prepare: object = None          # DataFrame -> rows tagged with the reason of a rejection (or null)
+    conform: object = None          # accepted rows -> rows of the target's types
+    load_time_column: str | None = None
+    buckets: int = 64
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -57,46 +65,47 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _batch_writer(cfg: StreamIngest):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        obs_in = Observation(f"tf_in_{batch_id}")
-        batch = batch.observe(obs_in, F.count(F.lit(1)).alias("n"))
-        if cfg.prepare is not None:
-            accepted, rejected = cfg.prepare(batch)
-        else:
-            accepted, rejected = batch, None
-        # persist the batch once: it feeds the reject write and the insert
-        accepted = accepted.persist()
-        rejected_n = 0
-        if rejected is not None and cfg.rejects:
-            obs_rej = Observation(f"tf_rej_{batch_id}")
-            (rejected.observe(obs_rej, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        # cleaned once: the persisted rows feed the rejects, the key range and the insert
+        tagged = (cfg.prepare(batch) if cfg.prepare else batch.withColumn(Q.PROBLEM, F.lit(None).cast("string"))).persist()
+        accepted = tagged.filter(F.col(Q.PROBLEM).isNull()).drop(Q.PROBLEM)
+        if cfg.conform:
+            accepted = cfg.conform(accepted)
+        seen = tagged.agg(F.count(F.lit(1)).alias("n"), F.count(Q.PROBLEM).alias("bad")).first()
+        if cfg.rejects:
+            (tagged.filter(F.col(Q.PROBLEM).isNotNull()).write.mode("overwrite")
              .parquet(f"{cfg.rejects}/{BATCH}={batch_id}"))
-            rejected_n = obs_rej.get["n"]
+        names = ING.key_names(cfg.key)
+        bucket = F.pmod(F.xxhash64(*[F.col(n) for n in names]), F.lit(cfg.buckets)).cast("int")
+        keyed = lambda df: df.select("*", *ING.key_columns(df, cfg.key)).withColumn(BUCKET, bucket).drop(*names)
+        stored = T.StructType([*accepted.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         if _exists(spark, cfg.target):
-            earlier = spark.read.parquet(cfg.target).filter(F.col(BATCH) < batch_id).drop(BATCH)
+            # at most `buckets` values
+            touched = [r[0] for r in keyed(accepted).select(BUCKET).distinct().collect()]
+            earlier = (spark.read.schema(T.StructType([*stored.fields, T.StructField(BATCH, T.LongType())])).parquet(cfg.target)
+                       .filter((F.col(BATCH) < batch_id) & F.col(BUCKET).isin(touched)).drop(BATCH, BUCKET))
         else:
             earlier = accepted.limit(0)
-        obs_sub, obs_new = Observation(f"tf_sub_{batch_id}"), Observation(f"tf_new_{batch_id}")
-        sub = accepted.observe(obs_sub, F.count(F.lit(1)).alias("n"))
-        # only the target rows whose first key column falls in this batch's range can conflict
+        # and of those only rows whose first key column falls in this batch's range can conflict
         bounds = ING.key_range(accepted, cfg.key)
-        new = ING.insert_ignore(earlier, sub, cfg.key, cfg.order, key_range=bounds).observe(
-            obs_new, F.count(F.lit(1)).alias("n"))
-        new.write.mode("overwrite").parquet(f"{cfg.target}/{BATCH}={batch_id}")
-        accepted.unpersist()
-        read_n, submitted, inserted = obs_in.get["n"], obs_sub.get["n"], obs_new.get["n"]
+        new = ING.insert_ignore(earlier, accepted, cfg.key, cfg.order, key_range=bounds)
+        if cfg.load_time_column:
+            new = ING.with_load_time(new, cfg.load_time_column)
+        # one file per bucket and batch
+        folder = f"{cfg.target}/{BATCH}={batch_id}"
+        keyed(new).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        tagged.unpersist()
         if cfg.metrics:
-            row = [(batch_id, read_n, submitted, inserted, submitted - inserted, rejected_n)]
+            inserted = spark.read.schema(stored).parquet(folder).count()   # of file footers
+            submitted = seen["n"] - seen["bad"]
+            row = [(batch_id, seen["n"], submitted, inserted, submitted - inserted, seen["bad"])]
             spark.createDataFrame(row, METRICS_SCHEMA).write.mode("overwrite").parquet(
                 f"{cfg.metrics}/{BATCH}={batch_id}")
-        if batch_id in cfg.fail_after_write:
-            cfg.fail_after_write.discard(batch_id)
-            raise RuntimeError(f"injected failure after writing batch {batch_id}")
     return run
 
 
 def start(spark: SparkSession, cfg: StreamIngest, available_now: bool = True):
     """Start (or resume) the ingestion; with ``available_now`` it stops when caught up."""
-    stream = (spark.readStream.schema(cfg.schema).format(cfg.source_format)
+    stream = (spark.readStream.schema(cfg.schema).format(cfg.source_format).options(**cfg.options)
               .option("maxFilesPerTrigger", cfg.max_files_per_trigger).load(cfg.source))
     writer = (stream.writeStream.foreachBatch(_batch_writer(cfg))
               .option("checkpointLocation", cfg.checkpoint))
@@ -104,6 +113,11 @@ def start(spark: SparkSession, cfg: StreamIngest, available_now: bool = True):
     return writer.start()
 
 
+def delimited_options(sep: str = S.BULK_SEPARATOR, encoding: str = S.BULK_ENCODING) -> dict:
+    """Reader options of the delimited file for ``source_format="csv"``: quoted line breaks and all."""
+    return {"header": "true", "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": "true"}
+
+
 def run_until_caught_up(spark: SparkSession, cfg: StreamIngest) -> None:
     q = start(spark, cfg, available_now=True)
     try:
@@ -115,7 +129,7 @@ def run_until_caught_up(spark: SparkSession, cfg: StreamIngest) -> None:
 
 
 def read_target(spark: SparkSession, cfg: StreamIngest) -> DataFrame:
-    return spark.read.parquet(cfg.target).drop(BATCH)
+    return spark.read.parquet(cfg.target).drop(BATCH, BUCKET)
 
 
 def batch_progress(metrics: DataFrame) -> DataFrame:

@@ -36,6 +36,6 @@ def test_split_duplicates_matches_bruteforce(spark):
         rows = [(k1, k2, v) for k1, k2, v, _ in _rows(seed, 400, keys=3)]
         counts = Counter(rows)
         df = spark.createDataFrame(rows, "k1 int, k2 int, v string").repartition(6)
-        firsts, copies = Q.split_duplicates(df, salt_buckets=3)
+        firsts, copies = Q.split_duplicates(df, chunk=2)
         assert Counter(tuple(r) for r in firsts.collect()) == Counter(set(rows))
         assert Counter(tuple(r) for r in copies.collect()) == Counter({r: c - 1 for r, c in counts.items() if c > 1})

@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-NO_ORACLE = {"batch_progress"}   # per-batch values depend on file arrival order
+LLM = ("op", "pipeline")   # the optional subpackage's queries have tests of their own
 
 
 def test_entry_runs(spark):
@@ -12,7 +12,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle():
     qs, sql = E.queries(), E.oracle_sql()
-    assert set(qs) - set(sql) == NO_ORACLE
+    assert not [q for q in set(qs) - set(sql) if not q.startswith(LLM)]
     assert set(sql) <= set(qs)
 
 

@@ -1,52 +1,23 @@
-"""Value rules: fixed cases and randomized comparison with small Python versions."""
+"""Value rules: tables of inputs and expected values, and random values against DuckDB."""
 
 import datetime as dt
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tableflow.functions import rules as R
+from tableflow.plans import oracle as O
 
-PY_WS = "".join(chr(i) for i in range(0x3100) if chr(i).isspace())
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2007\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def py_date(v):
-    v = v.strip()
-    if not v or v == "01/01/1900":
-        return None
-    for fmt in ("%d/%m/%Y", "%Y-%m-%d", "%d-%m-%Y", "%y-%m-%d", "%d-%m-%y"):
-        try:
-            d = dt.datetime.strptime(v, fmt)
-        except ValueError:
-            continue
-        if 1900 <= d.year <= 2100:
-            return d.date()
-    return None
-
-
-def py_int(v):
-    v = v.strip()
-    if not v:
-        return None
-    try:
-        return int(v)
-    except ValueError:
-        return None
-
-
-def py_text(v):
-    v = " ".join(v.split())
-    return v.lower() if v else None
-
-
-def py_kind(v):
-    if v.lstrip("-").isdigit():
-        return "int"
-    try:
-        float(v)
-        return "float"
-    except ValueError:
-        return "str"
+def duck(values, sql):
+    """The oracle's SQL of a rule, run by DuckDB on the values."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, v VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    return [r[0] for r in con.execute(f"SELECT {sql} FROM t ORDER BY i").fetchall()]
 
 
 def _eval(spark, values, fn):
@@ -78,8 +49,9 @@ def test_kind_cases(spark):
 
 
 def test_text_cases(spark):
-    vals = ["  A\tB\r\nC ", " x\u0085y\u001cz ", "   ", "MiXeD  Case"]
-    assert _eval(spark, vals, R.clean_text) == [py_text(v) for v in vals]
+    cases = {"  A\tB\r\nC ": "a b c", " x\u0085y\u001cz ": "x y z", "   ": None, "MiXeD  Case": "mixed case", "": None,
+             "\u3000Ñandú\u2009 ÉL": "ñandú él", "one": "one"}
+    assert _eval(spark, list(cases), R.clean_text) == list(cases.values())
 
 
 def test_percent_half_even(spark):
@@ -102,27 +74,23 @@ def _random_values(seed, n=600):
     return out
 
 
-def test_random_dates_match_python(spark):
+def test_random_values_match_the_other_engine(spark):
     vals = _random_values(7)
-    assert _eval(spark, vals, R.clean_date) == [py_date(v) for v in vals]
-
-
-def test_random_ints_match_python(spark):
-    vals = _random_values(11)
-    got = [None if x is None else int(x) for x in _eval(spark, vals, R.clean_int)]
-    assert got == [py_int(v) for v in vals]
+    assert _eval(spark, vals, R.clean_date) == duck(vals, O.clean_date("v"))
+    assert _eval(spark, vals, R.clean_int) == duck(vals, O.clean_int("v"))
+    assert _eval(spark, vals, R.clean_text) == duck(vals, O.clean_text("v"))
+    assert _eval(spark, vals, lambda c: R.value_kind(R.null_token(c))) == duck(vals, O.value_kind(O.null_token("v")))
 
 
-def test_random_text_and_kind_match_python(spark):
-    vals = _random_values(13)
-    assert _eval(spark, vals, R.clean_text) == [py_text(v) for v in vals]
-    stripped = [v.strip().lower() for v in vals]
-    assert _eval(spark, stripped, R.value_kind) == [py_kind(v) for v in stripped]
+def test_huge_integers_saturate(spark):
+    big = "9" * 39
+    cases = {big: int("9" * 38), "-" + big: -int("9" * 38), "0" * 50 + "7": 7, "9" * 38: int("9" * 38), "1_" + big: int("9" * 38)}
+    assert [int(x) for x in _eval(spark, list(cases), R.clean_int)] == list(cases.values())
+    assert [int(x) for x in duck(list(cases), O.clean_int("v"))] == list(cases.values())
 
 
-def test_strip_matches_python_whitespace(spark):
-    vals = [PY_WS + "a b" + PY_WS, "x"]
-    assert _eval(spark, vals, R.strip) == ["a b", "x"]
+def test_strip_takes_all_white_space(spark):
+    assert _eval(spark, [WHITE + "a b" + WHITE, "x", WHITE, ""], R.strip) == ["a b", "x", "", ""]
 
 
 def test_sql_functions_match_column_rules(spark):

@@ -32,11 +32,29 @@ def test_stream_equals_batch_and_resumes(spark):
     assert ST.read_target(spark, cfg).count() == 4
 
 
-def test_crash_after_write_before_commit(spark):
+def crash_once(monkeypatch, batch):
+    """The first run of a batch fails after its write, before the checkpoint commits it."""
+    whole, failed = ST._batch_writer, []
+
+    def writer(cfg):
+        run = whole(cfg)
+
+        def then_fail(df, batch_id):
+            run(df, batch_id)
+            if batch_id == batch and not failed:
+                failed.append(batch_id)
+                raise RuntimeError("injected failure")
+        return then_fail
+
+    monkeypatch.setattr(ST, "_batch_writer", writer)
+
+
+def test_crash_after_write_before_commit(spark, monkeypatch):
     src = scratch_path(spark, "src")
     for i in range(3):
         _land(spark, src, [(i, i, "x"), (i + 10, i, "y")])
-    cfg = _cfg(spark, src, "k int, o int, v string", fail_after_write={1})
+    cfg = _cfg(spark, src, "k int, o int, v string")
+    crash_once(monkeypatch, 1)
     try:
         ST.run_until_caught_up(spark, cfg)
         raise AssertionError("the injected failure should stop the stream")
