@@ -27,8 +27,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
 DEPTH = 3
-#: members of one block of a large leaf; a task compares two blocks at a time
-BLOCK = 512
+#: members, and tokens, of one block of a large leaf; a task compares two blocks at a time
+BLOCK = 2048
+BLOCK_TOKENS = 1 << 20
+_STRIP = 512
 _TOKEN_BITS = 40
 
 
@@ -156,23 +158,32 @@ def linked_pairs(sets: list[np.ndarray], similarity: float, block: np.ndarray |
     owner = np.repeat(np.arange(m), size)
     _, kind, count = np.unique(flat, return_inverse=True, return_counts=True)
     shared = count[kind] > 1
-    column = (np.cumsum(count > 1) - 1)[kind[shared]]
-    owner = owner[shared]
+    column, owner = (np.cumsum(count > 1) - 1)[kind[shared]], owner[shared]
     width = int((count > 1).sum())
-    common = np.zeros((m, m), np.float32)  # exact up to 2**24 tokens
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
     step = max(64, (1 << 21) // m)
-    for at in range(0, width, step):
-        a, z = np.searchsorted(column, [at, at + step])
-        part = np.zeros((m, min(step, width - at)), np.float32)
-        part[owner[a:z], column[a:z] - at] = 1
-        common += part @ part.T
-    either = size[:, None] + size[None, :] - common
-    hit = np.triu(common >= similarity * either - 1e-6, 1)
+    chunks = [(at, *np.searchsorted(column, [at, at + step])) for at in range(0, width, step)]
+    found = []
+    for low in range(0, m, _STRIP):  # strips of rows bound the matrices
+        high = min(low + _STRIP, m)
+        common = np.zeros((high - low, m - low), np.float32)  # exact up to 2**24 tokens
+        for at, x, z in chunks:
+            part = np.zeros((m, min(step, width - at)), np.float32)
+            part[owner[x:z], column[x:z] - at] = 1
+            common += part[low:high] @ part[low:].T
+        either = (size[low:high, None] + size[None, low:]).astype(np.float32) - common
+        hit = np.triu(common >= similarity * either - 1e-4, 1)
+        i, j = np.nonzero(hit)
+        # again in whole numbers' precision for those near the threshold
+        both = common[i, j].astype(np.float64)
+        ok = both >= similarity * (size[low + i] + size[low + j] - both) - 1e-9
+        found.append((low + i[ok], low + j[ok]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     if block is not None:
-        hit &= (block[:, None] != block[None, :])
-    return np.nonzero(hit)
+        across = block[i] != block[j]
+        i, j = i[across], j[across]
+    return i, j
 
 
 def _forest(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
@@ -317,7 +328,7 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
 
     Scale: sets are collapsed to distinct ones first; leaves and links are narrow rows;
     token sets travel only of rows that met another in a leaf. A leaf of more than
-    ``block`` sets is compared in pairs of blocks by as many tasks. No pair leaves a task:
+    ``block`` sets (or ``BLOCK_TOKENS`` tokens) is compared in pairs of blocks by as many tasks. No pair leaves a task:
     links are counted where they are found, and each unit gives connecting edges, fewer
     than it has sets.
     """
@@ -328,19 +339,20 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
         _sets(similarity, runs, depth, shingle),
         f"row_key binary, id {id_type}, set_id binary, size bigint, leaves array<bigint>"), "sets")
     reps = (table.filter("set_id IS NOT NULL").groupBy("set_id")
-            .agg(F.min("row_key").alias("rep"), F.count("*").alias("copies"), F.first("leaves").alias("leaves")))
-    reached = reps.select("rep", "copies", F.explode("leaves").alias("leaf"))
-    counts = (reached.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("members"))
-              .filter("n > 1"))
+            .agg(F.min("row_key").alias("rep"), F.count("*").alias("copies"), F.first("size").alias("size"),
+                 F.first("leaves").alias("leaves")))
+    reached = reps.select("rep", "copies", "size", F.explode("leaves").alias("leaf"))
+    counts = (reached.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("size").alias("tokens"),
+                                          F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("members")).filter("n > 1"))
     # leaves with the same members are compared once
-    leaves = counts.groupBy("members", "n").agg(F.min("leaf").alias("leaf")).select("leaf", "n")
-    met = written(reached.join(leaves, "leaf").select("leaf", "n", "rep", "copies"), "met")
+    blocks = F.least("n", F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("tokens") / BLOCK_TOKENS))).cast("int")
+    leaves = counts.groupBy("members", "n", "tokens").agg(F.min("leaf").alias("leaf")).select("leaf", blocks.alias("blocks"))
+    met = written(reached.join(leaves, "leaf").select("leaf", "blocks", "rep", "copies"), "met")
     own = met.groupBy("rep").agg(F.array_sort(F.collect_list("leaf")).alias("leaves"))
     found = hash_bitmap(met.select(F.xxhash64("rep").alias("h")), "h", bits)
     tokens = (rows.select(F.xxhash64("row_key").alias("h"), "row_key", "text")
               .mapInArrow(_tokens_of(found, bits, shingle), "rep binary, tokens binary").dropDuplicates(["rep"]))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    members = (met.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", "leaf"), F.col("blocks")).cast("int"))
+    members = (met.withColumn("block", F.pmod(F.xxhash64("rep", "leaf"), F.col("blocks")).cast("int"))
                .withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     units = (members.join(own.join(tokens, "rep"), "rep")
              .select("leaf", F.least("block", "partner").alias("low"), F.greatest("block", "partner").alias("high"), "block", "rep",
@@ -364,7 +376,8 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
 def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """Query rows: for each document the least id of its class, its links, and whether it is that document."""
     s = written(similar(docs, **settings), "similar")
-    first = s.groupBy("root").agg(F.min("id").alias("class_id"), F.sum("rows").alias("class_size"))
+    # as a table of its own, so that a class of very many rows is split in the join
+    first = written(s.groupBy("root").agg(F.min("id").alias("class_id"), F.sum("rows").alias("class_size")), "classes")
     return (s.join(first, "root").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "rows")))
             .select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_links", "n_texts"))
 
@@ -379,6 +392,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bi
     # texts without words are no copies of each other, but repeated rows are
     best = s.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"),
                                                 F.col("row_key").alias("row_key"))).alias("best"), F.sum("rows").alias("n"))
+    best = written(best, "classes")
     shared = written(s.join(best.filter("n > 1"), "root")
                      .select("row_key", (F.col("row_key") == F.col("best.row_key")).alias("stays")), "shared")
     found = hash_bitmap(shared.select(F.xxhash64("row_key").alias("h")), "h", bits)
