@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tableflow import spec as S
 
 
 def window_predicate(column: str, start: str, end: str, dtype: str = "timestamp") -> Column:
@@ -93,6 +96,25 @@ def read_jdbc(spark: SparkSession, options: dict) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def jdbc_reader(spark: SparkSession, url: str, partitions: int = 8, load=read_jdbc, **extra):
+    """A reader for the extract phase: ``reader(table, key)``.
+
+    With a numeric key the table is read as ranges between the key's ends (one query of
+    one row); otherwise, and for a table without a key, as one partition. ``load`` takes
+    (spark, options).
+    """
+    def read(table: str, key: str | None = None) -> DataFrame:
+        if not key or key == S.DEFAULT_KEY:
+            return load(spark, jdbc_options(url, table, **extra))
+        ends = load(spark, jdbc_options(url, f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {table}) e", **extra))
+        if not isinstance(ends.schema["lo"].dataType, T.NumericType):
+            return load(spark, jdbc_options(url, table, **extra))
+        r = ends.first()
+        return load(spark, jdbc_options(url, table, key, int(r["lo"] or 0), int(r["hi"] or 0) + 1, partitions, **extra))
+
+    return read
+
+
 def key_catalogue_queries(owner_filter: str | None = None) -> dict[str, str]:
     """Queries for the constraint catalogue views read by :func:`tableflow.operators.ledger.detect_keys`."""
     where = ""
