@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableflow import spec as S
 from tableflow.operators.ledger import mismatch_message
 
 NBSP, NEL, TAB, LF, CR = "\u00a0", "\u0085", "\t", "\n", "\r"
@@ -96,6 +97,15 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`dirty_orders` with a value in every column of the bulk file, by the column's rule."""
+    d = dirty_orders(spark, sf_dir)
+    own = {S.DATE: "fechareporte", S.DATE_TEXT: "fechaocurrencia", S.CODE: "coddanemunicipioocurrencia", S.INT: "codigohecho"}
+    text = F.concat(F.lit(" "), F.col("hecho"), F.lit(TAB), F.col("tipodocumento"))
+    return d.select("row_no", *[F.col(r.name) if r.name in d.columns else
+                                (F.col(own[r.kind]) if r.kind in own else text).alias(r.name) for r in S.BULK_SPEC.columns])
+
+
 def raw_header_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``dirty_orders`` with the header a text file would carry (blanks, quotes, case)."""
     df = dirty_orders(spark, sf_dir)

@@ -94,10 +94,10 @@ def profile_phase(spark: SparkSession, specs: dict, start: str, end: str, root:
     for name, df in tables.items():
         p = PRF.profile_table(df, name)
         profile = p if profile is None else profile.unionByName(p)
-    report = f"{root}/reportes/reporte_calidad_{start}_{end}"
+    report = f"{root}/reportes/{S.QUALITY_REPORT}_{start}_{end}"
     profile.coalesce(1).write.mode("overwrite").json(report)          # one row per column: bounded
     summary = PRF.quality_summary(spark.read.json(report))
-    summary.coalesce(1).write.mode("overwrite").json(f"{root}/reportes/entregable_2A_{start}_{end}")
+    summary.coalesce(1).write.mode("overwrite").json(f"{root}/reportes/{S.QUALITY_SUMMARY}_{start}_{end}")
     return summary
 
 
@@ -108,7 +108,7 @@ def clean_phase(spark: SparkSession, specs: dict, start: str, end: str, root: st
     are read from it. A table that fails is noted in the ledger with its error, and the
     others go on.
     """
-    if not path_exists(spark, f"{root}/reportes/reporte_calidad_{start}_{end}"):
+    if not path_exists(spark, f"{root}/reportes/{S.QUALITY_REPORT}_{start}_{end}"):
         return False
     ok = True
     for name, df in _extracted(spark, root, specs, start, end).items():
@@ -152,7 +152,7 @@ def deliver_phase(spark: SparkSession, specs: dict, start: str, end: str, root:
         return False
     counts = digests.select("tabla", F.col("filas").alias("filas_csv")).join(
         ledger.select(F.upper("tabla").alias("tabla"), "filas_oracle"), "tabla", "left")
-    summary_path = f"{root}/reportes/entregable_2A_{start}_{end}"
+    summary_path = f"{root}/reportes/{S.QUALITY_SUMMARY}_{start}_{end}"
     summary = spark.read.json(summary_path) if path_exists(spark, summary_path) else None
     m = DLV.manifest(counts, digests, summary, start, end, columns, parts=DLV.parts_by_table(parts))
     DLV.write_manifest(m, f"{out}/manifiesto")

@@ -142,7 +142,7 @@ def _bulk_rule(name: str) -> ColumnRule:
 
 
 BULK_SPEC = TableSpec(
-    name="victimas",
+    name="personas",
     columns=tuple(_bulk_rule(c) for c in BULK_COLUMNS),
     key=BULK_KEY,
     load_time_column=BULK_LOAD_TIME,
@@ -179,6 +179,8 @@ CRITICAL_NULL_PERCENT = 30
 DUPLICATE_TAG = "fila duplicada"
 REQUIRED_TAG = "{col}: valor requerido nulo"
 BAD_DATE_TAG = "{col}: fecha inválida"
+# names of the quality report and of its summary, before the period
+QUALITY_REPORT, QUALITY_SUMMARY = "reporte_calidad", "entregable_2A"
 MISMATCH_MESSAGE = "DISCREPANCIA: Oracle={source} | CSV={extracted}"
 STATE_OK, STATE_ERROR = "OK", "ERROR"
 # ---------------------------------------------------------------------------
