@@ -30,8 +30,10 @@ ENDINGS = 256
 #: classes of frequent words and their members; then classes of endings
 LEARNED, MEMBERS, OTHERS = 16, 16, 16
 CLASSES = LEARNED + OTHERS
-#: rows of the hashed weight tables
+#: rows of the hashed weight tables, halved between features of one and of two tokens; the
+#: rows of features without a token come after them
 SLOTS = 1 << 15
+_HALF_BITS = 14
 #: tasks that train at the same time; what a round moves is this many models
 LEARNERS = 24
 ROUNDS = 2
@@ -41,6 +43,11 @@ SMOOTH = 0.1
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end token
 _BEFORE = NAMED_WORDS + ENDINGS  # code of what stands before a text
 _BLOCK = 512  # weight rows of one row of a model's table
+ROWS = SLOTS + _BLOCK
+#: sums of logits are kept within this, so that their exponentials are finite
+_LOGIT = np.float32(50)
+#: columns that are summed by segments at a time
+_COLUMNS = 16
 
 
 def is_held_out(id_col: str) -> Column:
@@ -119,14 +126,17 @@ class Lexicon:
 
 @dataclass
 class Weights:
-    classes: np.ndarray  # SLOTS x CLASSES
-    members: np.ndarray  # SLOTS x MEMBERS
+    classes: np.ndarray  # ROWS x CLASSES
+    members: np.ndarray  # ROWS x MEMBERS
 
 
-def _slot(family: int, a: np.ndarray, b: np.ndarray | int, low: int, size: int) -> np.ndarray:
-    x = a.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(family)
-    x = x + np.asarray(b, dtype=np.uint64) * np.uint64(0x85EBCA77C2B2AE63)
-    return low + (W.mix(x) % np.uint64(size)).astype(np.int64)
+def _slot(family: int, a: np.ndarray, b: np.ndarray | int, low: int, bits: int) -> np.ndarray:
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x += np.atleast_1d(np.asarray(b, dtype=np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x += np.uint64(family * 0x165667B19E3779F9 % (1 << 64))
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(64 - bits)).astype(np.int64) + low
 
 
 def feature_slots(code: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
@@ -141,14 +151,13 @@ def feature_slots(code: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
         return out
 
     one, two, three = back(1), back(2), back(3)
-    half = SLOTS // 2
-    return [np.zeros(n, np.int64), _slot(1, one, 0, 1, half - 1), _slot(2, two, 0, 1, half - 1),
-            _slot(3, three, 0, 1, half - 1), _slot(4, one, two + 1, half, half)]
+    return [np.full(n, SLOTS), _slot(1, one, 0, 0, _HALF_BITS), _slot(2, two, 0, 0, _HALF_BITS),
+            _slot(3, three, 0, 0, _HALF_BITS), _slot(4, one, two + 1, SLOTS // 2, _HALF_BITS)]
 
 
 def member_slots(slots: list[np.ndarray], cls: np.ndarray) -> list[np.ndarray]:
     """Slots of the same features for the words of one class; the first is the class's own."""
-    return [cls if i == 0 else _slot(5, s, cls + 1, LEARNED, SLOTS - LEARNED) for i, s in enumerate(slots)]
+    return [SLOTS + cls if i == 0 else _slot(5, s, cls + 1, 0, _HALF_BITS + 1) for i, s in enumerate(slots)]
 
 
 class Batch:
@@ -167,30 +176,40 @@ class Batch:
         self.slots = feature_slots(code, t.row)
 
 
-def _log_softmax(table: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
-    x = table[slots[0]]
+def _logits(table: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
+    x = table.take(slots[0], axis=0)
     for s in slots[1:]:
-        x = x + table[s]
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+        x += table.take(s, axis=0)
+    return np.clip(x, -_LOGIT, _LOGIT, out=x)
+
+
+def _log_softmax(table: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
+    x = _logits(table, slots)
+    x -= np.log(np.exp(x) @ np.ones(x.shape[1], np.float32))[:, None]
     return x
 
 
 def _update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, slots: list[np.ndarray], target: np.ndarray, rate: float) -> None:
-    """One AdaGrad step on the mean gradient of a few thousand tokens."""
-    error = np.exp(_log_softmax(table, slots))
-    error[np.arange(len(target)), target] -= 1
-    flat = np.concatenate(slots)
+    """One AdaGrad step on the gradient of a few thousand tokens."""
+    n = len(target)
+    error = np.exp(_logits(table, slots))
+    error /= (error @ np.ones(error.shape[1], np.float32))[:, None]
+    error[np.arange(n), target] -= 1
+    flat = np.concatenate(slots).astype(np.uint16)  # all rows are below 2**16
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     head = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    g = np.add.reduceat(error[order % len(target)], head, axis=0)
-    at = flat[head]
-    n = np.diff(np.append(head, len(flat)))
-    g /= np.sqrt(n)[:, None]  # rows that are met often take steps of a bounded size
-    squares[at] += g * g
-    table[at] -= rate * g / np.sqrt(squares[at] + 1e-6)
-    seen[at] += n
+    token = np.tile(np.arange(n), len(slots))[order]
+    # a few columns at a time: short rows are summed several times as fast
+    g = np.concatenate([np.add.reduceat(np.ascontiguousarray(error[:, c:c + _COLUMNS]).take(token, axis=0), head, axis=0)
+                        for c in range(0, error.shape[1], _COLUMNS)], axis=1)
+    at = flat[head].astype(np.int64)
+    met = np.diff(np.append(head, len(flat)))
+    g /= np.sqrt(met, dtype=np.float32)[:, None]  # rows that are met often take steps of a bounded size
+    square = squares.take(at, axis=0) + g * g
+    squares[at] = square
+    table[at] -= rate * g / np.sqrt(square)
+    seen[at] += met
 
 
 def _learn(model, lexicon, round_no: int):
@@ -200,7 +219,7 @@ def _learn(model, lexicon, round_no: int):
         lex, start = lexicon.value, model.value
         classes, members = start.classes.copy(), start.members.copy()
         squares = [np.full_like(classes, 1e-3), np.full_like(members, 1e-3)]
-        seen = [np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.float32)]
+        seen = [np.zeros(ROWS, np.float32), np.zeros(ROWS, np.float32)]
         rate = np.float32(RATE / (1 + round_no))
         step = 4096
         for b in W.passes(batches, "text"):
@@ -214,7 +233,7 @@ def _learn(model, lexicon, round_no: int):
                     cls = x.cls[part][of]
                     _update(members, squares[1], seen[1], member_slots([s[of] for s in slots], cls), x.member[part][of], rate)
         for kind, table, n in (("classes", classes, seen[0]), ("members", members, seen[1])):
-            for a in range(0, SLOTS, _BLOCK):
+            for a in range(0, ROWS, _BLOCK):
                 if n[a:a + _BLOCK].any():
                     # weighted by how often a row was met
                     yield pa.RecordBatch.from_arrays(
@@ -275,10 +294,10 @@ def starting_weights(lexicon: Lexicon) -> Weights:
     top = np.zeros(LEARNED * MEMBERS)
     first = lexicon.rank < LEARNED * MEMBERS
     top[lexicon.rank[first]] = lexicon.count[first]
-    members = np.zeros((SLOTS, MEMBERS), np.float32)
-    members[:LEARNED] = np.log(top.reshape(LEARNED, MEMBERS) + SMOOTH)
-    classes = np.zeros((SLOTS, CLASSES), np.float32)
-    classes[0] = np.log(np.concatenate([top.reshape(LEARNED, MEMBERS).sum(axis=1), lexicon.class_tokens]) + 1.0)
+    members = np.zeros((ROWS, MEMBERS), np.float32)
+    members[SLOTS:SLOTS + LEARNED] = np.log(top.reshape(LEARNED, MEMBERS) + SMOOTH)
+    classes = np.zeros((ROWS, CLASSES), np.float32)
+    classes[SLOTS] = np.log(np.concatenate([top.reshape(LEARNED, MEMBERS).sum(axis=1), lexicon.class_tokens]) + 1.0)
     return Weights(classes, members)
 
 
