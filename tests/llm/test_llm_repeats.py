@@ -49,6 +49,13 @@ def test_hot_buckets(spark):
     check(spark, corpus(random.Random(8)), 12, gram=4, hot_from=4)
 
 
+def test_periodic_texts(spark):
+    texts = ["a b " * 60, "x " * 100, "x " * 40 + "y " * 40, "c d e " * 20 + "f", "a b " * 5]
+    check(spark, texts, 12, gram=4)
+    check(spark, texts, 12, gram=4, hot_from=2)
+    check(spark, texts * 3, 12, gram=4, hot_from=2)
+
+
 def test_few_distinct_words(spark):
     rng = random.Random(2)
     check(spark, [prose(rng, 60, 1) for _ in range(20)], 12, gram=4)
@@ -73,4 +80,5 @@ def test_repeated_rows_and_empty_tables(spark):
 def test_sorting_counts_windows():
     assert R.repeated_windows([b"a b c d", b"b c d e", b"x y z"], 3) == [[1], [0], []]
     assert R.repeated_windows([b"a b c d", b"a b c d"], 3) == [[0, 1], [0, 1]]
+    assert R.repeated_windows([b"a b a b a"], 3) == [[0, 2]] and R.repeated_windows([b"a b c d"], 3) == [[]]
     assert R._ranges([0, 1, 9, 3], 3) == [(0, 6), (9, 12)]
