@@ -55,7 +55,7 @@ class StreamIngest:
     prepare: object = None          # DataFrame -> rows tagged with the reason of a rejection (or null)
     conform: object = None          # accepted rows -> rows of the target's types
     load_time_column: str | None = None
-    buckets: int = 64
+    buckets: int = 8    # raise it with the target
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
