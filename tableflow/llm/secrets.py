@@ -42,9 +42,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
+#: what stands between the lines of a key: blanks, quote marks, escaped line breaks
+_GAP = r"""(?:[\s>|"'#*,]|\\+[nrt])"""
+#: a whole private key: to its END line, whatever lies between; without one, over header fields
+#: and base64 (long runs, or short ones alone on their line) to the end of that body
+_PRIVATE_KEY = (
+    r"-----BEGIN ((?:[A-Z]+ )*)PRIVATE KEY-----(?:"
+    r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1PRIVATE KEY-----|"
+    rf"(?:{_GAP}++(?:Proc-Type|DEK-Info|Version|Comment):[^\r\n\\]*+)*+"
+    rf"""(?:{_GAP}*+[A-Za-z0-9+/=]{{20,}}+|{_GAP}++[A-Za-z0-9+/=]++(?=[ \t]*(?:\Z|[\r\n\\"'])))*+)""")
 #: further published formats
 EXTRA_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("host_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )

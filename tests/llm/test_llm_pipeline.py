@@ -89,3 +89,23 @@ def test_run_equals_the_stages_and_takes_empty_tables(spark, planted):
         spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
     assert C.run(spark, empty).count() == 0
     assert C.ORACLE_SQL is None and [n for n, _ in C.STAGES] == ["quality_rules", "near_duplicates", "benchmark_passages", "secret_scan", "token_ids"]
+
+
+def test_no_line_of_a_private_key_is_left(spark, planted):
+    import public_tokenizers
+    import tiktoken.load
+
+    sf, _, _ = planted
+    rng = random.Random(8)
+    body = ["".join(rng.choice("ABCDEFGHabcdefgh0189+/") for _ in range(64)) for _ in range(14)] + ["AbCd19+/xYz="]
+    pem = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *body, "-----END RSA PRIVATE KEY-----"])
+    texts = [f"first words\n{pem}\nlast words", "first words\n" + pem.rsplit("\n", 1)[0]]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], COLUMNS)
+    clean = {r["doc_id"]: r for r in C.secret_scan(spark, docs, sf).collect()}
+    names = {i: b for b, i in tiktoken.load.load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")).items()}
+    for r in C.token_ids(spark, spark.createDataFrame(list(clean.values()), COLUMNS), sf).collect():
+        text = clean[r["doc_id"]]["text"]
+        ids = memoryview(bytes(r["ids"])).cast("I")
+        assert b"".join(names[i] for i in ids).decode() == text and clean[r["doc_id"]]["n_chars"] == len(text)
+        assert not any(x in text for x in [*body, "PRIVATE KEY"])
+        assert text.startswith("first words\n[SECRET]")

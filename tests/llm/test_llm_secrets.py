@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from llm_helpers import documents
@@ -65,3 +66,31 @@ def test_redaction_repeated_rows_and_empty_tables(spark):
     assert r.columns == d.columns
     assert sorted(((x.doc_id, x.text) for x in r.collect()), key=str) == [(1, "é [SECRET] end"), (2, "clean"), (2, "clean"), (3, None)]
     assert S.redact(d.limit(0)).count() == 0 and S.scan_secrets(d.limit(0)).count() == 0
+
+
+def test_private_keys_are_found_whole(spark):
+    rng = random.Random(4)
+    line = lambda n: "".join(rng.choice("ABCDEFGHXYZabcxyz0189+/") for _ in range(n))
+    body = [*(line(64) for _ in range(12)), line(21) + "=="]
+    pem = lambda kind, sep="\n", lines=body: sep.join([f"-----BEGIN {kind}PRIVATE KEY-----", *lines, f"-----END {kind}PRIVATE KEY-----"])
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", ""]
+    cut = pem("RSA ").rsplit("\n", 1)[0]
+    whole = [pem(""), pem("RSA "), pem("EC ", "\r\n"), pem("", "\\n"), pem("", " "), pem("", ""), pem("OPENSSH ", "\n> "),
+             pem("RSA ", lines=fields + body), cut, cut[:-30], "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *fields, *body])]
+    texts = ["é before " + k + "\nand words after it" for k in whole]
+    texts.append(pem("") + " between " + pem("RSA "))  # two keys
+    texts.append(cut + "\n" + pem("EC "))  # a cut key before a whole one
+    rows = {r.doc_id: r for r in S.scan_secrets(documents(spark, texts)).collect()}
+    for i, k in enumerate(whole):
+        assert [(f.start, f.end) for f in rows[i].findings if f.kind == "private_key"] == [(9, 9 + len(k))], k
+    left = {r.doc_id: r.text for r in S.redact(documents(spark, texts)).collect()}
+    assert all(left[i] == "é before [SECRET]\nand words after it" for i in range(len(whole)))
+    assert left[len(whole)] == "[SECRET] between [SECRET]" and left[len(whole) + 1] == "[SECRET]\n[SECRET]"
+
+
+def test_long_texts_with_cut_keys():
+    rule = next(r for r in S.RULES if r.kind == "private_key")
+    use = ((0, rule.kind, re.compile(rule.pattern, re.ASCII), rule.group, rule.least),)
+    head = "-----BEGIN PRIVATE KEY-----"
+    text = (head + "\n" + "some words - of prose " * 10) * 2000 + head + "\n" + "a- " * 500_000
+    assert [f["end"] - f["start"] for f in S.find(text, use)] == [len(head)] * 2001
