@@ -3,9 +3,12 @@
 A token's probability is that of its class given the tokens before it, times that of
 the token in its class. Both factors are softmaxes over sums of hashed feature weights:
 the last token, the last two, and skips to the second and third last. The most frequent
-words lie in classes of few members, all learned; every other word lies in a class by
-its ending, in which words go by their smoothed frequency. Weights are trained by
-learners that each walk their own part of the corpus and are averaged after each round.
+words lie in classes of few members; every other word lies in a class by its ending, and
+there at a leaf of a Huffman tree of all words that training counted, whose branches are
+learned two-way softmaxes that start from the counts below them. Every counted word is a
+feature by itself; the others are features by their ending. Weights are trained by
+learners that each walk their own part of the corpus and are averaged after each round;
+the number of weights grows with the counted distinct words.
 """
 
 from __future__ import annotations
@@ -24,26 +27,28 @@ from tableflow.llm.common import arrow_batches, signed, written
 
 #: words whose counts every task knows; the others meet theirs in a join
 LOCAL_WORDS = 1 << 18
-#: words that are features by themselves; the others are features by their ending
-NAMED_WORDS = 1 << 12
+#: codes of the words that training did not count
 ENDINGS = 256
 #: classes of frequent words and their members; then classes of endings
 LEARNED, MEMBERS, OTHERS = 16, 16, 16
 CLASSES = LEARNED + OTHERS
-#: rows of the hashed weight tables, halved between features of one and of two tokens; the
-#: rows of features without a token come after them
-SLOTS = 1 << 15
-_HALF_BITS = 14
+#: least rows of the hashed weight tables, and distinct words that one row stands for at most;
+#: half of the rows are for features of one token and half for those of two, and the rows of
+#: features without a token come after them
+LEAST_BITS, ROW_WORDS = 16, 32
+#: least weights of the branches, and weights for each distinct word at least
+LEAST_BRANCH_BITS, WORD_BRANCHES = 16, 2
 #: tasks that train at the same time; what a round moves is this many models
 LEARNERS = 24
 ROUNDS = 2
 RATE = 0.15
+BRANCH_RATE = 0.5
 SMOOTH = 0.1
 
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end token
-_BEFORE = NAMED_WORDS + ENDINGS  # code of what stands before a text
+_BEFORE = np.uint64(ENDINGS)  # code of what stands before a text
 _BLOCK = 512  # weight rows of one row of a model's table
-ROWS = SLOTS + _BLOCK
+_BRANCHES = 1 << 15  # branch weights of one row of a model's table
 #: sums of logits are kept within this, so that their exponentials are finite
 _LOGIT = np.float32(50)
 #: columns that are summed by segments at a time
@@ -103,9 +108,94 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- the model ----------------------------------------------------------------
 
+@dataclass
+class Trees:
+    """A Huffman tree for each class of endings over its counted words; about 30 bytes a word."""
+
+    hash: np.ndarray  # of all counted words but the learned ones, ascending
+    leaf: np.ndarray
+    parent: np.ndarray  # of every node; -1 above a root
+    right: np.ndarray  # is the node a right child?
+    prior: np.ndarray  # of every inner node: log odds of its right child by the counts
+
+    def look_up(self, hashes: np.ndarray) -> np.ndarray:
+        """Leaf of each word, or -1."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.where(self.hash[at] == hashes, self.leaf[at], -1).astype(np.int64)
+
+    def paths(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Branches from each leaf to its root as CSR: offsets, inner nodes, is it the right side."""
+        at = np.flatnonzero(leaf >= 0)
+        node, parts = leaf[at], []
+        while len(at):
+            up = self.parent[node]
+            on = up >= 0
+            at, node, up = at[on], node[on], up[on]
+            parts.append((at, up, self.right[node]))
+            node = up
+        of, inner, right = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(of, kind="stable")
+        return np.searchsorted(of[order], np.arange(len(leaf) + 1)), inner[order], right[order].astype(bool)
+
+
+def huffman(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parents, sides and prior log odds of the nodes: the leaves by ascending mass, then the inner ones."""
+    n = len(mass)
+    m = mass.tolist()
+    parent, right, prior = np.full(2 * n - 1, -1, np.int32), np.zeros(2 * n - 1, bool), np.zeros(2 * n - 1, np.float32)
+    leaf, inner, pairs = 0, n, []
+    for _ in range(n - 1):
+        pair = []
+        for _ in range(2):
+            if leaf < n and (inner >= len(m) or m[leaf] <= m[inner]):
+                pair.append(leaf)
+                leaf += 1
+            else:
+                pair.append(inner)
+                inner += 1
+        pairs.append(pair)
+        m.append(m[pair[0]] + m[pair[1]])
+    if pairs:
+        pairs, m, top = np.array(pairs), np.array(m), np.arange(n, 2 * n - 1)
+        parent[pairs[:, 0]] = parent[pairs[:, 1]] = top
+        right[pairs[:, 1]] = True
+        prior[top] = np.log(m[pairs[:, 1]] / m[pairs[:, 0]])
+    return parent, right, prior
+
+
+def _tree(pdf):
+    """The tree of one class, as bytes."""
+    import pandas as pd
+
+    word, n = pdf["word"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
+    order = np.lexsort((word, n))
+    parts = (word[order], *huffman(n[order] + SMOOTH))
+    return pd.DataFrame({k: [x.tobytes()] for k, x in zip(("word", "parent", "rightside", "prior"), parts, strict=True)})
+
+
+def trees_of(counts: DataFrame) -> Trees:
+    """The trees of the words (word, cls, n), each made by a task; the driver gets the arrays only."""
+    words, leaves, parents, right, prior, at = [], [], [], [], [], 0
+    for r in counts.groupBy("cls").applyInPandas(_tree, "word binary, parent binary, rightside binary, prior binary").toLocalIterator():
+        words.append(np.frombuffer(r["word"], np.uint64))
+        parent = np.frombuffer(r["parent"], np.int32)
+        leaves.append(np.arange(at, at + len(words[-1]), dtype=np.int32))
+        parents.append(np.where(parent >= 0, parent + np.int32(at), np.int32(-1)))
+        right.append(np.frombuffer(r["rightside"], bool))
+        prior.append(np.frombuffer(r["prior"], np.float32))
+        at += len(parent)
+    if not words:
+        return Trees(np.zeros(0, np.uint64), *(np.zeros(0, np.int32),) * 2, np.zeros(0, bool), np.zeros(0, np.float32))
+    hashes = np.concatenate(words)
+    order = np.argsort(hashes)
+    return Trees(hashes[order], np.concatenate(leaves)[order], *(np.concatenate(x) for x in (parents, right, prior)))
+
+
 @dataclass
 class Lexicon:
-    """What is known of the corpus before training; of a bounded size."""
+    """What is known of the corpus before training: counts of a bounded number of words, and the trees of all."""
 
     hash: np.ndarray  # of the local words, ascending
     count: np.ndarray
@@ -114,6 +204,20 @@ class Lexicon:
     distinct: int
     class_tokens: np.ndarray  # by class of endings, without the learned words
     class_distinct: np.ndarray
+    trees: Trees
+
+    @property
+    def bits(self) -> int:
+        """Of the rows of the weight tables."""
+        return max(LEAST_BITS, int(np.ceil(np.log2(max(self.distinct, 1) / ROW_WORDS))))
+
+    @property
+    def branch_bits(self) -> int:
+        return max(LEAST_BRANCH_BITS, int(np.ceil(np.log2(max(self.distinct, 1) * WORD_BRANCHES))))
+
+    @property
+    def rows(self) -> int:
+        return (1 << self.bits) + _BLOCK
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (or a large number) and count (or -1) of each word."""
@@ -126,38 +230,48 @@ class Lexicon:
 
 @dataclass
 class Weights:
-    classes: np.ndarray  # ROWS x CLASSES
-    members: np.ndarray  # ROWS x MEMBERS
+    classes: np.ndarray  # rows x CLASSES
+    members: np.ndarray  # rows x MEMBERS
+    branches: np.ndarray
 
 
-def _slot(family: int, a: np.ndarray, b: np.ndarray | int, low: int, bits: int) -> np.ndarray:
+def _key(family: int, a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x += np.atleast_1d(np.asarray(b, dtype=np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
     x += np.uint64(family * 0x165667B19E3779F9 % (1 << 64))
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(64 - bits)).astype(np.int64) + low
+    return x
+
 
+def _slot(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> np.uint64(64 - bits)).astype(np.int64)
 
-def feature_slots(code: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
-    """Slots of the features of every token, from the codes of the tokens before it."""
+
+def feature_keys(code: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+    """Keys of the features of every token, from the codes of the tokens before it; the last is of two tokens."""
     n = len(code)
     place = np.arange(n) - np.repeat(row[:-1], np.diff(row))
 
     def back(k: int) -> np.ndarray:
-        out = np.full(n, _BEFORE, np.int64)
+        out = np.full(n, _BEFORE, np.uint64)
         out[k:] = code[:n - k] if n > k else code[:0]
         out[place < k] = _BEFORE
         return out
 
     one, two, three = back(1), back(2), back(3)
-    return [np.full(n, SLOTS), _slot(1, one, 0, 0, _HALF_BITS), _slot(2, two, 0, 0, _HALF_BITS),
-            _slot(3, three, 0, 0, _HALF_BITS), _slot(4, one, two + 1, SLOTS // 2, _HALF_BITS)]
+    return [_key(1, one, 0), _key(2, two, 0), _key(3, three, 0), _key(4, one, two + np.uint64(1))]
+
+
+def feature_slots(keys: list[np.ndarray], bits: int) -> list[np.ndarray]:
+    """Rows of the features; the first is that without a token."""
+    low = [0, 0, 0, 1 << (bits - 1)]
+    return [np.full(len(keys[0]), 1 << bits), *[_slot(k, bits - 1) + a for k, a in zip(keys, low, strict=True)]]
 
 
-def member_slots(slots: list[np.ndarray], cls: np.ndarray) -> list[np.ndarray]:
+def member_slots(slots: list[np.ndarray], cls: np.ndarray, bits: int) -> list[np.ndarray]:
     """Slots of the same features for the words of one class; the first is the class's own."""
-    return [SLOTS + cls if i == 0 else _slot(5, s, cls + 1, 0, _HALF_BITS + 1) for i, s in enumerate(slots)]
+    return [(1 << bits) + cls if i == 0 else _slot(_key(5, s, cls + 1), bits) for i, s in enumerate(slots)]
 
 
 class Batch:
@@ -166,14 +280,34 @@ class Batch:
     def __init__(self, column: pa.Array, lexicon: Lexicon) -> None:
         t = Tokens(column)
         self.row, self.hash = t.row, t.hash
-        u, inverse = np.unique(t.hash, return_inverse=True)
+        u, self.word = np.unique(t.hash, return_inverse=True)
         rank, count = lexicon.look_up(u)
-        self.rank, self.count = rank[inverse], count[inverse]
-        code = np.where(self.rank < NAMED_WORDS, self.rank, NAMED_WORDS + t.ending)
+        self.rank, self.count = rank[self.word], count[self.word]
         self.learned = self.rank < LEARNED * MEMBERS
+        leaf = np.where(rank < LEARNED * MEMBERS, -1, lexicon.trees.look_up(u))
+        self.path, self.inner, self.right = lexicon.trees.paths(leaf)
+        code = np.where(self.learned | (leaf >= 0)[self.word], t.hash, t.ending.astype(np.uint64))
         self.cls = np.where(self.learned, self.rank // MEMBERS, LEARNED + t.ending % OTHERS)
         self.member = np.where(self.learned, self.rank % MEMBERS, 0)
-        self.slots = feature_slots(code, t.row)
+        self.keys = feature_keys(code, t.row)
+        self.slots = feature_slots(self.keys, lexicon.bits)
+
+    def branches(self, part: slice, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Branches on the ways to the tokens of a part: token, inner node, is it the right side, weights (features x branches)."""
+        word = self.word[part]
+        n = self.path[word + 1] - self.path[word]
+        token = np.repeat(np.arange(len(word)), n)
+        at = np.arange(len(token)) + np.repeat(self.path[word] - np.cumsum(n) + n, n)
+        inner = self.inner[at]
+        salt = (inner.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        slots = np.empty((len(self.keys), len(token)), np.int64)
+        for i, k in enumerate(self.keys):
+            x = k[part].take(token)
+            x += salt
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0x94D049BB133111EB)
+            slots[i] = x >> np.uint64(64 - bits)
+        return token, inner, self.right[at], slots
 
 
 def _logits(table: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
@@ -195,15 +329,16 @@ def _update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, slots: lis
     error = np.exp(_logits(table, slots))
     error /= (error @ np.ones(error.shape[1], np.float32))[:, None]
     error[np.arange(n), target] -= 1
-    flat = np.concatenate(slots).astype(np.uint16)  # all rows are below 2**16
-    order = np.argsort(flat, kind="stable")
-    flat = flat[order]
+    flat = (np.concatenate(slots) << 16) + np.arange(n * len(slots))  # a step has less than 2**16 features
+    flat.sort()
+    order = flat & 0xFFFF
+    flat >>= 16
     head = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    token = np.tile(np.arange(n), len(slots))[order]
+    token = order % n
     # a few columns at a time: short rows are summed several times as fast
     g = np.concatenate([np.add.reduceat(np.ascontiguousarray(error[:, c:c + _COLUMNS]).take(token, axis=0), head, axis=0)
                         for c in range(0, error.shape[1], _COLUMNS)], axis=1)
-    at = flat[head].astype(np.int64)
+    at = flat[head]
     met = np.diff(np.append(head, len(flat)))
     g /= np.sqrt(met, dtype=np.float32)[:, None]  # rows that are met often take steps of a bounded size
     square = squares.take(at, axis=0) + g * g
@@ -212,14 +347,38 @@ def _update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, slots: lis
     seen[at] += met
 
 
+def _branch_logits(table: np.ndarray, prior: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    x = prior.copy()
+    for s in slots:
+        x += table.take(s)
+    return np.clip(x, -_LOGIT, _LOGIT, out=x)
+
+
+def _update_branches(table: np.ndarray, squares: np.ndarray, sums: np.ndarray, prior: np.ndarray, slots: np.ndarray,
+                     right: np.ndarray, rate: float) -> None:
+    """One AdaGrad step; ``sums`` is all zero before and after. A weight that occurs again is set again to the same."""
+    error = 1 / (1 + np.exp(-_branch_logits(table, prior, slots)))
+    error -= right
+    flat = slots.ravel()
+    np.add.at(sums, flat, np.tile(error, len(slots)))
+    g = sums.take(flat)
+    square = squares.take(flat)
+    square += g * g
+    new = table.take(flat)
+    new -= rate * g / np.sqrt(square)
+    squares[flat], table[flat], sums[flat] = square, new, 0
+
+
 def _learn(model, lexicon, round_no: int):
     """mapInArrow function: one learner's walk over its texts; out come its weights, by blocks of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, start = lexicon.value, model.value
-        classes, members = start.classes.copy(), start.members.copy()
+        classes, members, branches = start.classes.copy(), start.members.copy(), start.branches.copy()
         squares = [np.full_like(classes, 1e-3), np.full_like(members, 1e-3)]
-        seen = [np.zeros(ROWS, np.float32), np.zeros(ROWS, np.float32)]
+        seen = [np.zeros(len(classes), np.float32), np.zeros(len(members), np.float32)]
+        branch_squares, sums = np.ones_like(branches), np.zeros_like(branches)
+        branch_rate = np.float32(BRANCH_RATE / (1 + round_no))
         rate = np.float32(RATE / (1 + round_no))
         step = 4096
         for b in W.passes(batches, "text"):
@@ -231,29 +390,42 @@ def _learn(model, lexicon, round_no: int):
                 of = np.flatnonzero(x.learned[part])
                 if len(of):
                     cls = x.cls[part][of]
-                    _update(members, squares[1], seen[1], member_slots([s[of] for s in slots], cls), x.member[part][of], rate)
-        for kind, table, n in (("classes", classes, seen[0]), ("members", members, seen[1])):
-            for a in range(0, ROWS, _BLOCK):
-                if n[a:a + _BLOCK].any():
-                    # weighted by how often a row was met
+                    _update(members, squares[1], seen[1], member_slots([s[of] for s in slots], cls, lex.bits), x.member[part][of], rate)
+                _, inner, right, slots = x.branches(part, lex.branch_bits)
+                if len(inner):
+                    _update_branches(branches, branch_squares, sums, lex.trees.prior[inner], slots, right, branch_rate)
+        # what changed, each weight with how much it was met
+        branch_squares -= 1
+        for kind, table, old, n, size in (("classes", classes, start.classes, seen[0], _BLOCK), ("members", members, start.members, seen[1], _BLOCK),
+                                          ("branches", branches, start.branches, branch_squares, _BRANCHES)):
+            for a in range(0, len(n), size):
+                met = n[a:a + size]
+                if met.any():
+                    change = (table[a:a + size] - old[a:a + size]).astype(np.float16)
+                    if kind == "branches":
+                        met = np.minimum(met, 6e4).astype(np.float16)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([kind]), pa.array([a], pa.int64()), pa.array([(table[a:a + _BLOCK] * n[a:a + _BLOCK, None]).tobytes()], pa.binary()),
-                         pa.array([n[a:a + _BLOCK].tobytes()], pa.binary())], ["kind", "block", "weighted", "seen"])
+                        [pa.array([kind]), pa.array([a], pa.int64()), pa.array([change.tobytes()], pa.binary()), pa.array([met.tobytes()], pa.binary())],
+                        ["kind", "block", "change", "met"])
 
     return run
 
 
-_MODEL = "kind string, block bigint, weighted binary, seen binary"
+_CHANGES = "kind string, block bigint, change binary, met binary"
 
 
 def _average(pdf):
-    """One block of rows of all learners (LEARNERS of them at most) to their sums."""
+    """One block of rows of all learners (LEARNERS of them at most) to the mean of their changes."""
     import pandas as pd
 
-    weighted = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["weighted"])
-    seen = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["seen"])
-    return pd.DataFrame({"kind": [pdf["kind"].iloc[0]], "block": [pdf["block"].iloc[0]],
-                         "weighted": [weighted.astype(np.float32).tobytes()], "seen": [seen.astype(np.float32).tobytes()]})
+    kind = pdf["kind"].iloc[0]
+    change, total = 0.0, 0.0
+    for x, m in zip(pdf["change"], pdf["met"], strict=True):
+        n = np.frombuffer(m, np.float16 if kind == "branches" else np.float32).astype(np.float64)
+        change = change + np.frombuffer(x, np.float16).astype(np.float64).reshape(len(n), -1) * n[:, None]
+        total = total + n
+    change /= np.maximum(total, 1e-9)[:, None]
+    return pd.DataFrame({"kind": [kind], "block": [pdf["block"].iloc[0]], "change": [change.astype(np.float32).tobytes()]})
 
 
 def lexicon_of(training: DataFrame) -> tuple[Lexicon, DataFrame]:
@@ -282,11 +454,12 @@ def lexicon_of(training: DataFrame) -> tuple[Lexicon, DataFrame]:
     for r in sums:
         tokens[r["cls"]], distinct[r["cls"]] = r["n"], r["v"]
     all_tokens, all_distinct = int(tokens.sum()), int(distinct.sum())
+    trees = trees_of(counts.filter(~F.col("word").isin(word[:LEARNED * MEMBERS].tolist())))
     learned = dict(zip(local["word"].tolist(), local["cls"].tolist(), strict=True))
     for w, c in zip(word[:LEARNED * MEMBERS].tolist(), n[:LEARNED * MEMBERS].tolist(), strict=True):
         tokens[learned[w]] -= c
         distinct[learned[w]] -= 1
-    return Lexicon(hashes[by_hash], n[by_hash], np.arange(len(word))[by_hash], all_tokens, all_distinct, tokens, distinct), counts
+    return Lexicon(hashes[by_hash], n[by_hash], np.arange(len(word))[by_hash], all_tokens, all_distinct, tokens, distinct, trees), counts
 
 
 def starting_weights(lexicon: Lexicon) -> Weights:
@@ -294,40 +467,43 @@ def starting_weights(lexicon: Lexicon) -> Weights:
     top = np.zeros(LEARNED * MEMBERS)
     first = lexicon.rank < LEARNED * MEMBERS
     top[lexicon.rank[first]] = lexicon.count[first]
-    members = np.zeros((ROWS, MEMBERS), np.float32)
-    members[SLOTS:SLOTS + LEARNED] = np.log(top.reshape(LEARNED, MEMBERS) + SMOOTH)
-    classes = np.zeros((ROWS, CLASSES), np.float32)
-    classes[SLOTS] = np.log(np.concatenate([top.reshape(LEARNED, MEMBERS).sum(axis=1), lexicon.class_tokens]) + 1.0)
-    return Weights(classes, members)
+    slots = 1 << lexicon.bits
+    members = np.zeros((lexicon.rows, MEMBERS), np.float32)
+    members[slots:slots + LEARNED] = np.log(top.reshape(LEARNED, MEMBERS) + SMOOTH)
+    classes = np.zeros((lexicon.rows, CLASSES), np.float32)
+    classes[slots] = np.log(np.concatenate([top.reshape(LEARNED, MEMBERS).sum(axis=1), lexicon.class_tokens]) + 1.0)
+    return Weights(classes, members, np.zeros(1 << lexicon.branch_bits, np.float32))
 
 
 def train(training: DataFrame, lexicon: Lexicon) -> Weights:
     """One walk over all training texts (id hash, text), a share of them in each round.
 
     Each of at most ``LEARNERS`` tasks starts a round from the same weights and sends
-    back its own, a fixed number of bytes; rows are averaged by how often each learner
-    met them.
+    back what it changed, as many bytes as the model has whatever its share; weights are
+    averaged, block by block, by how much each learner met them.
     """
     sc = training.sparkSession.sparkContext
     shared = sc.broadcast(lexicon)
     weights = starting_weights(lexicon)
     for k in range(ROUNDS):
         share = training.filter(F.pmod(F.xxhash64("share"), F.lit(ROUNDS)) == k).select("text").coalesce(LEARNERS)
-        learned = share.mapInArrow(_learn(sc.broadcast(weights), shared, k), _MODEL)
-        rows = learned.groupBy("kind", "block").applyInPandas(_average, _MODEL).collect()
-        for r in rows:
-            table = weights.classes if r["kind"] == "classes" else weights.members
-            n = np.frombuffer(r["seen"], np.float32)
-            met = np.flatnonzero(n > 0)
-            new = np.frombuffer(r["weighted"], np.float32).reshape(len(n), -1)
-            table[r["block"] + met] = new[met] / n[met, None]
+        start = sc.broadcast(weights)
+        learned = share.mapInArrow(_learn(start, shared, k), _CHANGES)
+        rows = learned.groupBy("kind", "block").applyInPandas(_average, "kind string, block bigint, change binary")
+        for r in rows.toLocalIterator():
+            table = getattr(weights, r["kind"])
+            change = np.frombuffer(r["change"], np.float32).reshape(-1, *table.shape[1:])
+            table[r["block"]:r["block"] + len(change)] += change
+        start.destroy()  # its files too
+    shared.destroy()
     return weights
 
 
 def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int = 8192) -> np.ndarray:
     """log10 of each token's probability, for words of other classes without the factor of their count.
 
-    That factor is (count + SMOOTH); what it is divided by is in here.
+    That factor is (count + SMOOTH); what it is divided by is in here, and so is what the
+    context changes on the way to the word's leaf.
     """
     out = np.zeros(len(x.cls))
     spread = np.log10(lexicon.class_tokens + SMOOTH * (lexicon.class_distinct + 1))
@@ -338,10 +514,16 @@ def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int
         p = _log_softmax(weights.classes, slots)[np.arange(len(cls)), cls] / np.log(10)
         of = np.flatnonzero(x.learned[part])
         if len(of):
-            own = _log_softmax(weights.members, member_slots([s[of] for s in slots], cls[of]))
+            own = _log_softmax(weights.members, member_slots([s[of] for s in slots], cls[of], lexicon.bits))
             p[of] += own[np.arange(len(of)), x.member[part][of]] / np.log(10)
         others = ~x.learned[part]
         p[others] -= spread[cls[others] - LEARNED]
+        token, inner, right, slots = x.branches(part, lexicon.branch_bits)
+        if len(token):
+            prior = lexicon.trees.prior[inner]
+            side = np.where(right, np.float32(-1), np.float32(1))
+            change = np.log1p(np.exp(side * prior)) - np.log1p(np.exp(side * _branch_logits(weights.branches, prior, slots)))
+            p += np.bincount(token, change, len(p)) / np.log(10)
         out[part] = p
     return out
 
@@ -390,8 +572,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     their names.
 
     All training texts count and train. Counts are summed before each shuffle; the words
-    of highest counts (``LOCAL_WORDS`` at most) and the weights are broadcast, both of a
-    fixed size; every other word meets its count in a join, where no key is frequent.
+    of highest counts (``LOCAL_WORDS`` at most) are broadcast; every other word meets its
+    count in a join, where no key is frequent. The trees of all counted words and the
+    weights are broadcast too: they grow with the distinct words of the corpus, and the
+    driver and every learner hold them whole.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
