@@ -115,3 +115,27 @@ def op6(spark, sf_dir):
     from tableflow.llm.language_model import score_texts
 
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11(spark, sf_dir):
+    """Damaged conversations, their faults and cheapest repair."""
+    from tableflow.llm.repair import repair_damaged
+
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark, sf_dir):
+    """Whitened components of every embedding."""
+    from tableflow.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_html_extraction")
+def op13(spark, sf_dir):
+    """Main text of every page."""
+    from tableflow.llm.html_text import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
