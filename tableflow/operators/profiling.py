@@ -205,12 +205,13 @@ def inspect_file(spark: SparkSession, path: str, sample_rows: int | None = None,
     """
     from tableflow.operators.records import drop_columns
     from tableflow.sources import delimited as DL
+    from tableflow.sources.file_records import read_records
 
-    raw = DL.read_delimited(spark, path, sep=sep, encoding=encoding, multi_line=True, drop_quotes=True)
-    width = len(raw.columns)
-    sample = drop_columns(DL.with_file_ordinal(raw), ignored)
+    raw = read_records(spark, path, sep=sep, encoding=encoding, drop_quotes=True, number=DL.ORDINAL)
+    width = len(raw.columns) - 1
+    sample = drop_columns(raw, ignored)
     if sample_rows is not None:
-        sample = first_n(sample, sample_rows, DL.ORDINAL)
+        sample = sample.where(F.col(DL.ORDINAL) <= sample_rows)  # the ordinal counts the records
     columns = inspect_columns(sample, ordinal=DL.ORDINAL)
     if report_path:
         columns.coalesce(1).write.mode("overwrite").json(report_path)

@@ -207,6 +207,7 @@ SQL["reconcile_counts"] = f"""SELECT tabla, a AS filas_oracle, b AS filas_extrai
   FROM (SELECT upper(event_type) AS tabla, count(*) AS a, count(*) FILTER (NOT ({_LOST})) AS b FROM events WHERE {_WIN} GROUP BY 1)"""
 SQL["scan_delimited"] = _DO + "SELECT * FROM dirty_orders"
 SQL["split_records"] = SQL["scan_delimited"]
+SQL["row_numbers"] = _DO + "SELECT row_number() OVER (ORDER BY row_no) AS numero, row_no, hecho FROM dirty_orders"
 _ORDER_TEXT = [c for c in ("idpersona", "codigohecho", "fechaocurrencia", "fechareporte", "coddanemunicipioocurrencia", "discapacidad",
                            "hecho", "primernombre", "tipodocumento", "origen", "direccion")]
 SQL["inspect_file_columns"] = O.with_(O.DIRTY_ORDERS, "sample AS (SELECT * FROM dirty_orders)") + _inspect_sql(_ORDER_TEXT)

@@ -244,6 +244,7 @@ from tableflow.operators import ledger as LED  # noqa: E402
 from tableflow.session import scratch_path  # noqa: E402
 from tableflow.sources import database as DB  # noqa: E402
 from tableflow.sources import delimited as DL  # noqa: E402
+from tableflow.sources import file_records as FR  # noqa: E402
 from tableflow.sources import period as PER  # noqa: E402
 
 WINDOW_START, WINDOW_END = "2024-01-10", "2024-01-15"
@@ -321,7 +322,15 @@ def q_reconcile_counts(spark, sf):
 def q_scan_delimited(spark, sf):
     path = scratch_path(spark, "bulk")
     DL.write_delimited(DV.dirty_orders(spark, sf), path)
-    return DL.read_delimited(spark, path, multi_line=True).withColumn("row_no", F.col("row_no").cast("bigint"))
+    return FR.read_records(spark, path).withColumn("row_no", F.col("row_no").cast("bigint"))
+
+
+@query("row_numbers")
+def q_row_numbers(spark, sf):
+    """Every record with its number over the files, counted as a reader that goes through them in order."""
+    path = scratch_path(spark, "numbered")
+    DL.write_delimited(DV.dirty_orders(spark, sf).repartitionByRange("row_no").sortWithinPartitions("row_no"), path)
+    return FR.read_records(spark, path, number="numero").select("numero", F.col("row_no").cast("bigint").alias("row_no"), "hecho")
 
 
 @query("csv_infer")
@@ -333,10 +342,10 @@ def q_csv_infer(spark, sf):
 
 @query("split_records")
 def q_split_records(spark, sf):
-    """One file with quoted line breaks, landed once as several files of whole records."""
-    one, parts = scratch_path(spark, "one_file"), scratch_path(spark, "parts")
-    DL.write_delimited(DV.dirty_orders(spark, sf).coalesce(1), one)
-    DL.split_records(spark, one, parts, files=8)
+    """Files with quoted line breaks, landed once as other files of whole records."""
+    few, parts = scratch_path(spark, "few_files"), scratch_path(spark, "parts")
+    DL.write_delimited(DV.dirty_orders(spark, sf), few)
+    DL.split_records(spark, few, parts, files=16)
     back = DL.read_delimited(spark, parts, multi_line=True).drop(DL.LINE)
     return back.withColumn("row_no", F.col("row_no").cast("bigint"))
 
@@ -392,7 +401,7 @@ def q_target_rejects(spark, sf):
 def _bulk_load(spark, sf):
     src = scratch_path(spark, "bulk_src")
     DL.write_delimited(DV.dirty_orders(spark, sf), src)
-    raw = DL.read_delimited(spark, src, multi_line=True).withColumn("row_no", F.col("row_no").cast("bigint"))
+    raw = FR.read_records(spark, src).withColumn("row_no", F.col("row_no").cast("bigint"))
     target = scratch_path(spark, "target")
     ING.create_target(spark, S.BULK_SPEC, path=target)
     report = ING.bulk_load(spark, raw, S.BULK_SPEC, target, "row_no", staging_path=scratch_path(spark, "staging"),

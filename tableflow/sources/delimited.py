@@ -22,10 +22,10 @@ def read_delimited(spark: SparkSession, path: str, sep: str = S.BULK_SEPARATOR,
 
     Quoting with ``"`` and doubled quotes, blank lines skipped, extra fields ignored,
     short records filled with null. ``multi_line`` only when fields hold line breaks:
-    no reader of Spark's can split such a file, so it is one task for each file. Land a
-    large one once with :func:`split_records`, as many files that are then read in
-    parallel. ``corrupt_column`` names a column that holds the whole text of a record of
-    too few or too many fields (else null).
+    Spark's reader does not split such a file, so it is one task for each file. That fits
+    many files of moderate size; :func:`tableflow.sources.file_records.read_records` reads
+    a large one by many tasks. ``corrupt_column`` names a column that holds the whole text
+    of a record of too few or too many fields (else null).
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
@@ -50,16 +50,17 @@ def write_delimited(df: DataFrame, path: str, sep: str = S.BULK_SEPARATOR, encod
 
 def split_records(spark: SparkSession, path: str, out: str, files: int, sep: str = S.BULK_SEPARATOR,
                   encoding: str = S.BULK_ENCODING) -> None:
-    """Land a file with quoted line breaks once as ``files`` files of whole records in the same format.
+    """Land files with quoted line breaks once as ``files`` files of whole records in the same format.
 
-    The one pass over the original is the only task that cannot be split; the load, the
-    stream and the inspector then read the parts in parallel. Records keep their fields
-    and each carries ``_tf_linea``, its place in the original, so order-dependent rules
-    (first row of a key wins) still hold.
+    The original is read by as many tasks as it has splits, so a single huge file is too.
+    Records keep their fields and each carries ``_tf_linea``, its number in the original,
+    so order-dependent rules (first row of a key wins) still hold; streams, which never
+    split a file, then take the parts as batches.
     """
-    raw = read_delimited(spark, path, sep=sep, encoding=encoding, multi_line=True, normalise=False)
-    placed = raw.withColumn(LINE, F.monotonically_increasing_id().cast("string"))
-    write_delimited(placed.repartition(files), out, sep=sep, encoding=encoding)
+    from tableflow.sources.file_records import read_records
+
+    placed = read_records(spark, path, sep=sep, encoding=encoding, normalise=False, number=LINE)
+    write_delimited(placed.withColumn(LINE, F.col(LINE).cast("string")).repartition(files), out, sep=sep, encoding=encoding)
 
 
 def with_file_ordinal(df: DataFrame) -> DataFrame:
