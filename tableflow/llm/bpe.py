@@ -193,16 +193,9 @@ def merge_long(ids: np.ndarray, pairs: PairTable) -> np.ndarray:
     return s[s >= 0].astype(np.int32)
 
 
-def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of one piece of each kind, and the kind of every piece."""
-    h = W.span_hash(data, start, end)
-    _, first, kind = np.unique(h, return_index=True, return_inverse=True)
-    return first, kind
-
-
 def encode_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of every piece one after another, and how many each has."""
-    first, kind = _distinct(data, start, end)
+    first, kind = W.distinct(data, start, end)
     a, size = start[first], end[first] - start[first]
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # (kinds, counts, ids row by row)
     whole = np.fromiter((v.ranks.get(data[x:x + n].tobytes(), -1) for x, n in zip(a.tolist(), size.tolist(), strict=True)),
@@ -285,16 +278,20 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     """
     arrow_batches(docs.sparkSession)
     content = _file(docs, path)
-    rows = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(text_col).alias("__text"))
+    rows = docs.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)], F.col(f"`{text_col}`").alias("__text"))
     out = rows.mapInArrow(_encoder(content), T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.BinaryType())]))
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)], "ids")
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """The rows with ``decoded``: the bytes of the ids (null for null)."""
+    """The rows with ``decoded``: the bytes of the ids (null for null, none for none).
+
+    Other columns pass as they are, whatever their names; repeated rows and an empty
+    table do, too. A column named ``decoded`` is an error of the caller's.
+    """
     content = _file(encoded, path)
     names = encoded.columns
-    rows = encoded.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names) if c != ids_col], F.col(ids_col).alias("ids"))
+    rows = encoded.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names) if c != ids_col], F.col(f"`{ids_col}`").alias("ids"))
     out = rows.mapInArrow(_decoder(content), T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
     return out.select(*[F.col("ids" if c == ids_col else f"k{i}").alias(c) for i, c in enumerate(names)], "decoded")
 

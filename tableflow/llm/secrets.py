@@ -176,27 +176,31 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
            ledger: str | None = None, size_col: str | None = None) -> DataFrame:
     """The documents with every found span replaced by ``mark`` (overlapping spans by one).
 
-    ``size_col``, if given, becomes the number of characters of each text that changes. All rows and columns stay; texts without findings, null included, stay as they are.
-    Only blobs with findings are joined back, by address.
+    ``size_col``, if given, becomes the number of characters of each text that changes.
+    All rows and columns stay, whatever their names; texts without findings, null and
+    empty ones included, stay as they are; repeated rows change alike; an empty table
+    stays empty. Only blobs with findings are joined back, by address.
     """
     spark = docs.sparkSession
     ledger = ledger or scratch_path(spark, "llm", "ledger")
     scan_unseen(docs, ledger, text_col)
     found = findings_of(spark.read.schema(LEDGER).parquet(ledger))
-    cols = docs.columns
-    tagged = docs.select("*", blob_address(text_col).alias("__blob")).join(
-        found.select(F.col("blob").alias("__blob"), F.col("findings").alias("__findings")), "__blob", "left")
+    names = docs.columns
+    own = {c: f"c{i}" for i, c in enumerate(names)}
+    rows = docs.toDF(*own.values())
+    text = own[text_col]
+    tagged = rows.select("*", blob_address(text).alias("blob")).join(found.select("blob", F.col("findings").alias("found")), "blob", "left")
     # text between the spans: each step appends what lies between the last end and the next start
-    t = F.col(text_col)
+    t = F.col(text)
     state = F.aggregate(
-        "__findings", F.struct(F.lit("").alias("out"), F.lit(0).alias("to")),
+        "found", F.struct(F.lit("").alias("out"), F.lit(0).alias("to")),
         lambda a, f: F.struct(
             F.when(f["start"] >= a["to"], F.concat(a["out"], t.substr(a["to"] + 1, f["start"] - a["to"]), F.lit(mark)))
             .otherwise(a["out"]).alias("out"), F.greatest(a["to"], f["end"]).alias("to")),
         lambda a: F.concat(a["out"], t.substr(a["to"] + 1, F.length(t))))
-    changed = F.col("__findings").isNotNull()
-    out = tagged.withColumn(text_col, F.when(changed, state).otherwise(t))
+    changed = F.col("found").isNotNull()
+    out = tagged.withColumn(text, F.when(changed, state).otherwise(t))
     if size_col:
         kind = docs.schema[size_col].dataType
-        out = out.withColumn(size_col, F.when(changed, F.length(text_col).cast(kind)).otherwise(F.col(size_col)))
-    return out.select(*cols)
+        out = out.withColumn(own[size_col], F.when(changed, F.length(text).cast(kind)).otherwise(F.col(own[size_col])))
+    return out.select(*own.values()).toDF(*names)

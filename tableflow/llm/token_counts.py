@@ -101,7 +101,7 @@ class Merges:
         data, start, end, row = pieces(column)
         if not len(start):
             return np.zeros(len(row) - 1, np.int64)
-        _, first, kind = np.unique(W.span_hash(data, start, end), return_index=True, return_inverse=True)
+        first, kind = W.distinct(data, start, end)
         raw, cache = data.tobytes(), self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()

@@ -2,7 +2,7 @@
 
 A batch is worked on as one UTF-8 byte buffer. Words are maximal runs of word bytes
 (every alphabet used here is closed over whole code points, so byte runs equal code
-point runs); their hashes come from one prefix sum, so no Python loop touches a word.
+point runs); their hashes come from whole-array arithmetic, so no Python loop touches a word.
 """
 
 from __future__ import annotations
@@ -24,26 +24,9 @@ ALNUM_WORDS[0x80:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: texts of one numpy pass; a longer single text is a pass of its own
 PASS_BYTES = 1 << 19
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(base: np.uint64, n: int, name: str) -> np.ndarray:
-    known = _powers.get(name)
-    if known is None or len(known) < n:
-        size = max(n, PASS_BYTES + 1)
-        steps = np.full(size, base, dtype=np.uint64)
-        steps[0] = 1
-        known = np.multiply.accumulate(steps)
-        if size <= 4 * PASS_BYTES:  # those of a very long text are not kept
-            _powers[name] = known
-    return known[:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads every bit of each value."""
     x = x ^ (x >> np.uint64(30))
@@ -126,15 +109,52 @@ class Words:
         return np.repeat(np.arange(len(self.row) - 1), self.counts)
 
 
+def _lanes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the spans in lanes of 8 (the last one filled with zeros), each lane's place in its span, and where each span's lanes start."""
+    n = (length + 7) >> 3
+    first = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # an 8-byte word at every byte
+    words = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    lanes = words[np.repeat(start, n) + 8 * place].astype(np.uint64)
+    left = np.repeat(length, n) - 8 * place
+    short = left < 8
+    lanes[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+    return lanes, place.astype(np.uint64), first
+
+
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span."""
-    n = len(data)
+    """64-bit hash of each byte span (none empty).
+
+    Every 8 bytes are mixed with their place before they are added up, so no regular
+    pattern of bytes makes two spans meet; different spans have one hash by chance alone.
+    """
     if not len(start):
         return np.zeros(0, np.uint64)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n, "up"), out=total[1:])
-    h = (total[end] - total[start]) * _power(_BASE_INV, n, "down")[start]
-    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    length = (end - start).astype(np.int64)
+    lanes, place, first = _lanes(data, start, length)
+    lanes = mix(lanes ^ mix(place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xA0761D6478BD642F)))
+    return mix(np.add.reduceat(lanes, first) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one span of each kind, and the kind of every span, by their bytes (hashes only propose)."""
+    _, first, kind = np.unique(span_hash(data, start, end), return_index=True, return_inverse=True)
+    length = (end - start).astype(np.int64)
+    of = first[kind]
+    equal = length == length[of]
+    if equal.all():
+        equal = _lanes(data, start, length)[0] == _lanes(data, start[of], length)[0]
+    if not equal.all():  # two spans with one hash: by the bytes themselves
+        known: dict[bytes, int] = {}
+        raw, first = data.tobytes(), []
+        for i, (a, b) in enumerate(zip(start.tolist(), end.tolist())):
+            kind[i] = known.setdefault(raw[a:b], len(known))
+            if kind[i] == len(first):
+                first.append(i)
+        first = np.array(first)
+    return first, kind
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:

@@ -94,3 +94,18 @@ def test_long_texts_with_cut_keys():
     head = "-----BEGIN PRIVATE KEY-----"
     text = (head + "\n" + "some words - of prose " * 10) * 2000 + head + "\n" + "a- " * 500_000
     assert [f["end"] - f["start"] for f in S.find(text, use)] == [len(head)] * 2001
+
+
+def test_redact_takes_any_column_names(spark):
+    from tableflow.llm import secrets
+
+    key = "AKIA" + "A1B2" * 4
+    schema = "doc_id bigint, text string, `a.b` string, __findings string, __blob string, blob string, found string, c0 string, n_chars bigint"
+    rows = [(1, f"x {key} y", *["v"] * 6, 24), (1, f"x {key} y", *["v"] * 6, 24), (2, None, *["w"] * 6, None), (None, "", *["z"] * 6, 0)]
+    d = spark.createDataFrame(rows, schema)
+    out = secrets.redact(d, size_col="n_chars")
+    assert out.columns == d.columns
+    got = sorted(map(tuple, out.collect()), key=str)
+    done = (1, "x [SECRET] y", *["v"] * 6, 12)
+    assert got == sorted([done, done, rows[2], rows[3]], key=str)
+    assert secrets.redact(d.limit(0), size_col="n_chars").collect() == []

@@ -113,3 +113,25 @@ def test_cache_starts_afresh(monkeypatch):
     monkeypatch.setattr(token_counts, "CACHE_PIECES", 3)
     t = pa.array([f"word{i} other{i}" for i in range(20)])
     assert m.counts(t).tolist() == [int(m.counts(t.slice(i, 1))[0]) for i in range(20)]
+
+
+def test_regular_pieces_have_their_own_ids(spark):
+    """A word of 2,048 bytes and its complement, which a polynomial hash takes for one."""
+    from tokenizers import Tokenizer
+
+    from test_llm_words import thue_morse
+
+    t = [thue_morse(11), thue_morse(11, "ba"), " ".join([thue_morse(11, "ai"), thue_morse(11, "ia")])]
+    enc, lib = tiktoken_encoding(), Tokenizer.from_file(SPEC)
+    d = documents(spark, t)
+    rows = {r.doc_id: r for r in bpe.decode(bpe.encode(d, RANKS), RANKS).collect()}
+    counts = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(d, SPEC).collect()}
+    for i, x in enumerate(t):
+        assert np.frombuffer(bytes(rows[i].ids), "<u4").tolist() == enc.encode_ordinary(x) and bytes(rows[i].decoded) == x.encode()
+        assert counts[i] == len(lib.encode(x, add_special_tokens=False).ids)
+
+
+def test_names_with_dots(spark):
+    d = spark.createDataFrame([(1, "one", "x")], "doc_id bigint, text string, `a.b` string")
+    r = bpe.decode(bpe.encode(d, RANKS, keep=("doc_id", "a.b")), RANKS).first()
+    assert r["a.b"] == "x" and bytes(r["decoded"]) == b"one"

@@ -55,3 +55,30 @@ def test_passes_bound_texts_and_keep_order():
     got = list(W.passes(iter([batch]), "text", 12))
     assert [x for b in got for x in b.column(0).to_pylist()] == list(range(6))
     assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column(1).to_pylist()) <= 12 for b in got)
+
+
+def thue_morse(n, letters="ab"):
+    word = letters[0]
+    for _ in range(n):
+        word += word.translate(str.maketrans(letters, letters[::-1]))
+    return word
+
+
+def test_regular_words_have_their_own_hashes():
+    words = [thue_morse(11), thue_morse(11, "ba"), "a" * 2048, "a" * 2047 + "b", *[thue_morse(k, x) for k in range(11) for x in ("ab", "ba", "ai")],
+             *["a" * k for k in range(2, 40)], *["a\x00"[:1] + "\x00" * k for k in range(1, 20)]]
+    words = sorted(set(words))
+    w = W.Words(pa.array([" ".join(words)]), W.BLANK_WORDS, False)
+    assert len(set(w.hash.tolist())) == len(words) == len(w.hash)
+
+
+def test_distinct_goes_by_bytes(monkeypatch):
+    words = ["x", "yy", "x", "zz", "", "yy"] + [thue_morse(5), thue_morse(5, "ba"), thue_morse(5)]
+    words = [x for x in words if x]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    end = np.cumsum([len(x) for x in words])
+    start = end - [len(x) for x in words]
+    for _ in range(2):
+        first, kind = W.distinct(data, start, end)
+        assert [words[first[k]] for k in kind] == words and len(first) == len(set(words))
+        monkeypatch.setattr(W, "span_hash", lambda d, a, b: np.zeros(len(a), np.uint64))  # all hashes meet
