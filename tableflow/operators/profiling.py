@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tableflow import spec as S  # noqa: I001
 from tableflow.functions import rules as R
-from tableflow.operators.selection import first_n
+from tableflow.operators import selection
 
 _KIND_RANK = {"int": 1, "float": 2, "str": 3}
 
@@ -114,14 +114,50 @@ def quality_summary(profile: DataFrame) -> DataFrame:
         F.coalesce(F.max("pct_nulos"), F.lit(0.0)).alias("max_pct_nulos"))
 
 
-def row_cap(df: DataFrame, cap: int, ordinal: str) -> tuple[DataFrame, DataFrame]:
+def first_n(df: DataFrame, n: int, ordinal: str, buckets: int = 10_000, narrow: bool = False) -> DataFrame:
+    """The first ``n`` records by ``ordinal`` (exact; null ordinals first; ties in any order).
+
+    A numeric ordinal's range is cut into ``buckets``. How many rows lie in each (one
+    partial aggregate) tells the bucket in which the n-th record lies: the buckets below
+    it pass by a plain filter, and only that bucket's rows are ranked. All of it is one
+    lazy plan. An ordinal of another type is merged by a top-n, whose n rows meet in one
+    task: for reports of a few rows.
+
+    Buckets are of equal width, so values far from all others leave most rows in one
+    bucket, and that bucket's rows to one task. ``narrow`` runs a few small aggregates
+    now and bounds that task whatever the values are
+    (:func:`tableflow.operators.selection.first_n`).
+    """
+    if narrow:
+        return selection.first_n(df, n, ordinal)
+    kind = df.schema[ordinal].dataType
+    if not isinstance(kind, T.NumericType):
+        return df.orderBy(F.col(ordinal)).limit(n)
+    ends = df.agg(F.min(ordinal).cast("double").alias("lo"), F.max(ordinal).cast("double").alias("hi"))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    at = F.floor((F.col(ordinal).cast("double") - lo) / F.greatest(hi - lo, F.lit(1e-300)) * buckets)
+    bucket = F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(buckets)), F.lit(-1)).cast("int")
+    placed = df.withColumn("_tf_bucket", bucket)
+    counts = placed.groupBy("_tf_bucket").agg(F.count(F.lit(1)).alias("n"))
+    # at most buckets + 2 rows
+    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("_tf_bucket")))
+    last = upto.filter(F.col("upto") >= n).agg(F.min("_tf_bucket")).scalar()
+    edge = F.coalesce(last, F.lit(buckets + 1))
+    before = upto.filter(F.col("upto") < n).agg(F.coalesce(F.max("upto"), F.lit(0))).scalar()
+    whole = placed.filter(F.col("_tf_bucket") < edge)
+    part = (placed.filter(F.col("_tf_bucket") == edge)
+            .withColumn("_tf_rank", F.row_number().over(Window.orderBy(ordinal))).filter(F.col("_tf_rank") <= F.lit(n) - before))
+    return whole.unionByName(part.drop("_tf_rank")).drop("_tf_bucket")
+
+
+def row_cap(df: DataFrame, cap: int, ordinal: str, narrow: bool = False) -> tuple[DataFrame, DataFrame]:
     """(the first ``cap`` rows, a one-row report saying whether the cap cut any row).
 
     Off by default in the loaders; when used, the cut is reported instead of silent.
     """
     report = df.agg(F.count(F.lit(1)).alias("filas_fuente")).select(
         "filas_fuente", F.lit(cap).cast("long").alias("tope"), (F.col("filas_fuente") > cap).alias("recortado"))
-    return first_n(df, cap, ordinal), report
+    return first_n(df, cap, ordinal, narrow=narrow), report
 
 
 def inspect_columns(sample: DataFrame, ordinal: str | None = None) -> DataFrame:

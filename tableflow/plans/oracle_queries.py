@@ -187,6 +187,8 @@ SQL["head_tail"] = _INSPECT + f"""(SELECT row_no, {_HT_COLS}, 'head' AS lado FRO
   UNION ALL (SELECT row_no, {_HT_COLS}, 'tail' AS lado FROM sample ORDER BY row_no DESC LIMIT 5)"""
 
 SQL["sample_first_n"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 5000"
+SQL["first_n_narrowed"] = _DO + ("SELECT CASE WHEN row_no % 1000 = 1 THEN row_no * 1000000000 ELSE row_no END AS orden, row_no, hecho "
+                                 "FROM dirty_orders ORDER BY orden LIMIT 5000")
 SQL["row_cap"] = _DO + "SELECT * FROM dirty_orders ORDER BY row_no LIMIT 10000"
 SQL["row_cap_report"] = """SELECT count(*) AS filas_fuente, CAST(10000 AS BIGINT) AS tope, count(*) > 10000 AS recortado FROM orders"""
 

@@ -231,6 +231,14 @@ def q_row_cap(spark, sf):
     return PRF.row_cap(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")[0]
 
 
+@query("first_n_narrowed")
+def q_first_n_narrowed(spark, sf):
+    """The first rows of an order with values far from all others, which equal buckets would not cut."""
+    far = F.when(F.col("row_no") % 1000 == 1, F.col("row_no") * F.lit(10 ** 9)).otherwise(F.col("row_no"))
+    placed = DV.dirty_orders(spark, sf).select(far.alias("orden"), "row_no", "hecho")
+    return PRF.first_n(placed, SAMPLE_ROWS, "orden", narrow=True)
+
+
 @query("row_cap_report")
 def q_row_cap_report(spark, sf):
     return PRF.row_cap(DV.dirty_orders(spark, sf), ROW_CAP, "row_no")[1]

@@ -44,18 +44,19 @@ def count_window(df: DataFrame, column: str | None, start: str, end: str, by=Non
     return w.groupBy(*by).agg(agg) if by else w.agg(agg)
 
 
-def page_slice(df: DataFrame, key: str, page: int, page_rows: int) -> DataFrame:
+def page_slice(df: DataFrame, key: str, page: int, page_rows: int, narrow: bool = False) -> DataFrame:
     """One page of the table in the order of a unique numeric key: its rows after ``page * page_rows`` of them.
 
-    The page's ends are found by counting (:func:`tableflow.operators.selection.first_n`),
-    so a deep page is as cheap as the first and no task holds the pages before it.
+    The page's ends are found by counting (:func:`tableflow.operators.profiling.first_n`),
+    so a deep page is as cheap as the first and no task holds the pages before it. With
+    ``narrow`` that holds whatever the keys' spread is, for a few small jobs now.
     """
-    from tableflow.operators.selection import first_n
+    from tableflow.operators.profiling import first_n
 
-    upto = first_n(df, (page + 1) * page_rows, key)
+    upto = first_n(df, (page + 1) * page_rows, key, narrow=narrow)
     if page == 0:
         return upto
-    return upto.filter(F.col(key) > F.lit(first_n(df, page * page_rows, key).agg(F.max(key).alias("last")).first()["last"]))
+    return upto.filter(F.col(key) > first_n(df, page * page_rows, key, narrow=narrow).agg(F.max(key)).scalar())
 
 
 def range_predicates(column: str, lower: int, upper: int, partitions: int) -> list[str]:
