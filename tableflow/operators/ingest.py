@@ -80,6 +80,11 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key, order, key_range=
     return _firsts(incoming, key, order).join(known, key_names(key), "left_anti").select(*incoming.columns)
 
 
+def insert_new(fresh: DataFrame, incoming: DataFrame, key, order) -> DataFrame:
+    """First row per key of ``incoming`` whose key is in ``fresh`` (the key's null-free columns, unique)."""
+    return _firsts(incoming, key, order).join(fresh, key_names(key), "left_semi").select(*incoming.columns)
+
+
 def key_range(df: DataFrame, key) -> tuple:
     """(min, max) of the first key column (one small aggregate)."""
     k = list(key)[0]

@@ -1,5 +1,6 @@
 """Resumable ingestion: batches, resume, crash after write."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tableflow.session import scratch_path
@@ -64,3 +65,45 @@ def test_crash_after_write_before_commit(spark, monkeypatch):
     t = ST.read_target(spark, cfg)
     assert t.count() == 6 and t.select("k").distinct().count() == 6
     assert spark.read.parquet(cfg.target).agg(F.max(ST.BATCH)).first()[0] == 2
+
+
+def test_a_batch_reads_no_earlier_rows(spark):
+    """What the target holds does not matter: with an empty folder in its place, known keys stay known."""
+    src = scratch_path(spark, "src")
+    _land(spark, src, [(i, i, "x") for i in range(50)] + [(None, 1, "null key")])
+    cfg = _cfg(spark, src, "k int, o int, v string")
+    ST.run_until_caught_up(spark, cfg)
+    assert ST.read_target(spark, cfg).count() == 51
+    cfg.target = scratch_path(spark, "other")
+    _land(spark, src, [(i, 9, "y") for i in range(40, 60)] + [(None, 2, "null again")])
+    ST.run_until_caught_up(spark, cfg)
+    assert sorted(r["k"] for r in ST.read_target(spark, cfg).collect()) == list(range(50, 60))
+    assert {k for k in ST.KEY_STORE if k in spark.conf.getAll} == set()     # the session is as it was
+
+
+def test_first_of_a_batch_and_rejected_keys(spark):
+    """The smallest order wins over files of a batch; a key that was only rejected is not taken for known."""
+    src = scratch_path(spark, "src") + "/a [b] c%d"
+    bad = F.when(F.col("v") == "bad", F.lit("bad"))
+    cfg = _cfg(spark, src, "k int, o int, v string", prepare=lambda b: b.withColumn(ST.Q.PROBLEM, bad), rejects=scratch_path(spark, "r"))
+    cfg.source, cfg.max_files_per_trigger = src.replace("[", "\\[").replace("]", "\\]"), 2
+    _land(spark, src, [(1, 5, "late"), (2, 1, "bad")])
+    _land(spark, src, [(1, 3, "first"), (1, 4, "bad")])
+    ST.run_until_caught_up(spark, cfg)
+    _land(spark, src, [(3, 1, "bad")])
+    _land(spark, src, [(2, 2, "good"), (1, 1, "too late")])
+    ST.run_until_caught_up(spark, cfg)
+    assert sorted(tuple(r) for r in ST.read_target(spark, cfg).select("k", "v").collect()) == [(1, "first"), (2, "good")]
+    m = spark.read.parquet(cfg.metrics).orderBy(ST.BATCH).drop(ST.BATCH).collect()
+    assert [tuple(r) for r in m] == [(4, 2, 1, 1, 2), (3, 2, 1, 1, 1)]
+    assert spark.read.parquet(cfg.rejects).count() == 3
+
+
+def test_a_lost_checkpoint_is_refused(spark):
+    src = scratch_path(spark, "src")
+    _land(spark, src, [(1, 1, "a")])
+    cfg = _cfg(spark, src, "k int, o int, v string")
+    ST.run_until_caught_up(spark, cfg)
+    cfg.checkpoint = scratch_path(spark, "ck")
+    with pytest.raises(ValueError, match="checkpoint"):
+        ST.run_until_caught_up(spark, cfg)
