@@ -200,6 +200,7 @@ SQL["extract_window"] = f"SELECT * FROM events WHERE {_WIN}"
 SQL["count_window"] = f"SELECT upper(event_type) AS tabla, count(*) AS filas FROM events WHERE {_WIN} GROUP BY 1"
 SQL["extract_catalogue_table"] = "SELECT * FROM nation"
 SQL["page_slice"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10000 OFFSET 10000"
+SQL["extract_key_ranges"] = "SELECT *, CAST(1 AS INTEGER) AS lecturas FROM lineitem"
 SQL["union_pages"] = SQL["extract_window"]
 SQL["period_files"] = f"SELECT *, upper(event_type) AS tabla FROM events WHERE {_WIN}"
 # the extract of one table lost every 50th row

@@ -251,6 +251,7 @@ from tableflow.operators import ingest as ING  # noqa: E402
 from tableflow.operators import ledger as LED  # noqa: E402
 from tableflow.session import scratch_path  # noqa: E402
 from tableflow.sources import database as DB  # noqa: E402
+from tableflow.sources import key_ranges as KR  # noqa: E402
 from tableflow.sources import delimited as DL  # noqa: E402
 from tableflow.sources import file_records as FR  # noqa: E402
 from tableflow.sources import period as PER  # noqa: E402
@@ -288,6 +289,15 @@ def q_page_slice(spark, sf):
     return DB.page_slice(DV.table(spark, sf, "orders"), "o_orderkey", 1, S.EXTRACT_PAGE_ROWS)
 
 
+@query("extract_key_ranges")
+def q_extract_key_ranges(spark, sf):
+    """Every line with the number of ranges that read it; eleven discounts are dealt into 16 even ranges and classes."""
+    lines, row_class = DV.table(spark, sf, "lineitem"), "pmod(xxhash64(l_orderkey, l_linenumber), {n})"
+    ranges = KR.range_predicates("l_discount", KR.frame_parts(lines, "l_discount", 16), 16, row_class)
+    taken = sum((F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in ranges), F.lit(0))
+    return lines.withColumn("lecturas", taken).filter("lecturas > 0")
+
+
 @query("union_pages")
 def q_union_pages(spark, sf):
     w = DB.extract_window(DV.table(spark, sf, "events"), "ts", WINDOW_START, WINDOW_END)
