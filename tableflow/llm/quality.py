@@ -24,7 +24,7 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
-BITS = 18
+BITS = 20
 #: labelled rows that training takes at most
 SAMPLE_ROWS = 8_000
 #: verdict thresholds on the calibrated probabilities
@@ -35,31 +35,52 @@ HEADS = ("quality", "toxic")
 
 # --- features -----------------------------------------------------------------
 
+#: lengths of the n-grams, in words and in code points
+WORD_GRAMS = (1, 2, 3)
+CHAR_GRAMS = (3, 4, 5)
+
+
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, slot) of every word and character n-gram, repeats included.
 
-    Lower-cased words, their first 3, 4 and 5 bytes, and every 3 bytes as written that
-    hold no white space.
+    Runs of 1 to 3 lower-cased words of one text, the first 3, 4 and 5 bytes of each such
+    word, and runs of 3 to 5 code points as written that hold no white space.
     """
     w = W.Words(column, W.ALNUM_WORDS, lower=True)
-    rows, size = w.row_of(), w.end - w.start
-    hashes, owner = [w.hash], [rows]
-    for n in (3, 4, 5):
+    rows, size, parts = w.row_of(), w.end - w.start, []
+    for n in WORD_GRAMS:
+        of = np.flatnonzero(W.inside_rows(w.row, n))
+        if len(of):
+            parts.append((rows[of], _slot(w.hash[of] if n == 1 else W.grams(w.hash, n)[of])))
+    for n in CHAR_GRAMS:
         of = np.flatnonzero(size >= n)
-        hashes.append(W.mix(W.span_hash(w.data, w.start[of], w.start[of] + n) + np.uint64(n)))
-        owner.append(rows[of])
+        parts.append((rows[of], _slot(W.mix(W.span_hash(w.data, w.start[of], w.start[of] + n) + np.uint64(n)))))
     raw, offsets = W.string_buffer(column)
-    if len(raw) >= 3:
-        inside = W.BLANK_WORDS[raw]
-        at = np.flatnonzero(inside[:-2] & inside[1:-1] & inside[2:])
-        row = np.searchsorted(offsets, at, side="right") - 1
-        ok = at + 3 <= offsets[row + 1]
-        at, row = at[ok], row[ok]
-        code = raw[at].astype(np.uint64) | raw[at + 1].astype(np.uint64) << np.uint64(8) \
-            | raw[at + 2].astype(np.uint64) << np.uint64(16)
-        hashes.append(W.mix(code + np.uint64(1 << 40)))
-        owner.append(row)
-    return np.concatenate(owner), (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64)
+    point, row, inside = _code_points(raw, offsets)
+    for n in CHAR_GRAMS:
+        last = len(point) - n + 1
+        if last <= 0:
+            break
+        ok = row[:last] == row[n - 1:]
+        for j in range(n):
+            ok &= inside[j:last + j]
+        of = np.flatnonzero(ok)
+        parts.append((row[of], _slot(W.grams(point, n)[of])))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _code_points(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each code point's bytes as a number, its row, and whether it is no white space."""
+    at = np.flatnonzero((raw & 0xC0) != 0x80)
+    size = np.minimum(np.diff(np.append(at, len(raw))), 4).astype(np.uint64)
+    padded = np.concatenate([raw, np.zeros(4, np.uint8)])
+    four = np.ndarray(shape=(len(raw) + 1,), dtype="<u4", buffer=padded.data, strides=(1,))[at].astype(np.uint64)
+    point = four & ((np.uint64(1) << (np.uint64(8) * size)) - np.uint64(1))
+    return point, np.searchsorted(offsets, at, side="right") - 1, W.BLANK_WORDS[raw[at]]
 
 
 def _distinct(row: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,25 +204,25 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task: the sampled rows in hash order; every fifth is held out for calibration."""
     slots, labels = [], {k: [] for k in HEADS}
     for b in batches:
-        slots += [np.frombuffer(x, "<i4") for x in b.column(3).to_pylist()]
+        slots += [np.frombuffer(x.as_py(), "<i4") for x in b.column(3)]
         for i, k in enumerate(HEADS):
             labels[k] += b.column(1 + i).to_pylist()
     if not slots:
         return
     held = np.arange(len(slots)) % 5 == 4
     size = np.array([len(s) for s in slots])
-    flat = np.concatenate(slots).astype(np.int64)
-    owner = np.repeat(np.arange(len(slots)), size)
+    # 4 bytes a distinct n-gram of a text, once more while they are put together
+    known = np.concatenate([x for x, out in zip(slots, held) if not out])
     starts = np.concatenate([[0], np.cumsum(size[~held])])
-    train_flat = flat[~held[owner]]
+    slots = [x for x, out in zip(slots, held) if out]
     rows = []
     for k in HEADS:
         y = np.array(labels[k], float)
-        head = fit(starts, train_flat, y[~held])
+        head = fit(starts, known, y[~held])
         dense = np.zeros(1 << BITS)
         dense[head.slots] = head.weights
-        margin = np.bincount(owner, dense[flat], len(slots)) + head.bias
-        a, b = calibrate(margin[held], y[held])
+        margin = np.array([dense[x].sum() for x in slots]) + head.bias
+        a, b = calibrate(margin, y[held])
         rows.append({"head": k, "slots": head.slots.astype("<i4").tobytes(), "weights": head.weights.tobytes(),
                      "bias": head.bias, "a": a, "b": b})
     yield pa.RecordBatch.from_pylist(rows, pa.schema([
