@@ -82,6 +82,8 @@ def _patients_stripped() -> str:
 SQL["strip_columns"] = _PT + "SELECT PACIENTE_ID, " + ", ".join(
     f"{O.strip(c)} AS {c}" for c in _PT_TEXT) + ", MUNICIPIO_ID FROM patients"
 
+SQL["elected_dates"] = """WITH d AS (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS dia FROM orders)
+  SELECT o_orderkey, dia AS latina, dia AS inglesa, CASE WHEN o_orderkey % 3 <> 0 THEN dia END AS mezclada FROM d"""
 SQL["coerce_date"] = O.with_(O.PATIENTS, _patients_stripped()) + f"""SELECT PACIENTE_ID, CREATED_AT,
   {O.coerce_timestamp('CREATED_AT')} AS created_ts, {O.coerce_timestamp('FECHA_NACIMIENTO')} AS birth_ts
   FROM patients_s"""

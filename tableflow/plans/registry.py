@@ -125,6 +125,9 @@ def q_value_kind(spark, sf):
                                 for c in cols])
 
 
+from tableflow.operators import date_formats as DFM  # noqa: E402
+
+
 @query("strip_columns")
 def q_strip_columns(spark, sf):
     return REC.strip_columns(DV.patients(spark, sf))
@@ -138,6 +141,16 @@ def q_coerce_date(spark, sf):
                     R.coerce_timestamp(F.col("FECHA_NACIMIENTO")).alias("birth_ts"))
 
 
+@query("elected_dates")
+def q_elected_dates(spark, sf):
+    """Order dates written in three undeclared layouts, one of them mixed with another in a third of the rows."""
+    o, key = DV.table(spark, sf, "orders"), F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    texts = o.select("o_orderkey", F.date_format(day, "dd/MM/yyyy").alias("latina"), F.date_format(day, "MM-dd-yyyy").alias("inglesa"),
+                     F.when(key % 3 == 0, F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "yyyyMMdd")).alias("mezclada"))
+    return DFM.coerce_elected(texts, ["latina", "inglesa", "mezclada"])
+
+
 # --- quarantine (period table shaped like PACIENTES) ---------------------------
 
 from tableflow.operators import profiling as PRF  # noqa: E402
