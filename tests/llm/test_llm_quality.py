@@ -53,32 +53,6 @@ def test_model_on_texts_it_has_not_seen(spark):
     assert np.mean(good) > 0.95  # calibrated towards the labels
 
 
-def test_only_the_order_of_words_tells(spark):
-    """Good and bad texts have the same words; single words and characters cannot tell them apart."""
-    rng = random.Random(5)
-    texts, labels = [], []
-    for i in range(500):
-        words = rng.sample([f"w{k}" for k in range(300)], 80)
-        pair = ["fine", "day"] if i % 3 else ["day", "fine"]
-        at = rng.randrange(len(words))
-        texts.append(" ".join(words[:at] + pair + words[at:]))
-        labels.append((i, int(i % 3 > 0), 0))
-    model = Q.train(documents(spark, texts), spark.createDataFrame(labels[:350], "doc_id bigint, quality int, toxic int"))
-    rows = {r.doc_id: r.kept for r in Q.judge(documents(spark, texts), model).collect()}
-    assert sum(rows[i] != bool(q) for i, q, _ in labels[350:]) <= 3
-
-
-def test_features_equal_brute_force():
-    rng = random.Random(6)
-    texts = [None, "", "a", "ab", " ", "x y"] + ["".join(rng.choice("aB é中😀\n.") for _ in range(rng.randint(0, 30))) for _ in range(300)]
-    row, _ = Q.features(pa.array(texts, pa.string()))
-    for i, t in enumerate(texts):
-        w = re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", t or "")
-        want = sum(max(0, len(w) - n + 1) for n in (1, 2, 3)) + sum(len(x.encode()) >= n for x in w for n in (3, 4, 5)) \
-            + sum(max(0, len(x) - n + 1) for x in blank_words(t) for n in (3, 4, 5))
-        assert (row == i).sum() == want, t
-
-
 def test_sample_bound_and_label_rules(spark):
     texts, labels = labelled(spark, 120)
     docs = documents(spark, texts + texts[:3], ids=[*range(120), 0, 1, 2])
