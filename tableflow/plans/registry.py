@@ -516,13 +516,22 @@ from tableflow.streaming import resumable as ST  # noqa: E402
 
 STREAM_FILES_PER_COPY = 4
 STREAM_FILES_PER_TRIGGER = 2
+#: a stream reads a file by one task, so more rows land as more files, and a batch takes the same share of them
+STREAM_FILE_ROWS = 100_000
+
+
+def _landing(spark, sf, name):
+    """Files that a copy of the table lands as, and files of a batch; rows are counted from the table's footers."""
+    rows = DV.table(spark, sf, name).count()
+    times = max(1, -(-rows // (STREAM_FILES_PER_COPY * STREAM_FILE_ROWS)))
+    return STREAM_FILES_PER_COPY * times, STREAM_FILES_PER_TRIGGER * times
 
 
 def _land_events(spark, sf, src, copies=1):
     """Land ``events`` as files in the stream's source folder (each copy as separate files)."""
-    e = DV.table(spark, sf, "events")
+    e, files = DV.table(spark, sf, "events"), _landing(spark, sf, "events")[0]
     for _ in range(copies):
-        e.repartition(STREAM_FILES_PER_COPY).write.mode("append").parquet(src)
+        e.repartition(files).write.mode("append").parquet(src)
     return e.schema
 
 
@@ -531,7 +540,7 @@ def _event_stream(spark, sf, copies=2):
     schema = _land_events(spark, sf, src, copies)
     cfg = ST.StreamIngest(source=src, schema=schema, target=scratch_path(spark, "stream_target"),
                           checkpoint=scratch_path(spark, "stream_ckpt"), key=("event_id",), order=("ts",),
-                          max_files_per_trigger=STREAM_FILES_PER_TRIGGER, metrics=scratch_path(spark, "stream_metrics"))
+                          max_files_per_trigger=_landing(spark, sf, "events")[1], metrics=scratch_path(spark, "stream_metrics"))
     ST.run_until_caught_up(spark, cfg)
     return cfg
 
@@ -556,27 +565,27 @@ def q_stream_batches(spark, sf):
 def q_batch_progress(spark, sf):
     """Four landings, one after another: batch i holds the events of class i and some that batch i - 1 brought."""
     e = DV.table(spark, sf, "events")
-    src = scratch_path(spark, "stream_src")
+    src, files = scratch_path(spark, "stream_src"), _landing(spark, sf, "events")[0]
     cfg = ST.StreamIngest(source=src, schema=e.schema, target=scratch_path(spark, "stream_target"),
                           checkpoint=scratch_path(spark, "stream_ckpt"), key=("event_id",), order=("ts",),
-                          max_files_per_trigger=STREAM_FILES_PER_COPY, metrics=scratch_path(spark, "stream_metrics"))
+                          max_files_per_trigger=files, metrics=scratch_path(spark, "stream_metrics"))
     k = F.col("event_id")
     for i in range(4):
         again = (k % 4 == i - 1) & (k % 10 == 0)
-        e.filter((k % 4 == i) | again).repartition(STREAM_FILES_PER_COPY).write.mode("append").parquet(src)
+        e.filter((k % 4 == i) | again).repartition(files).write.mode("append").parquet(src)
         ST.run_until_caught_up(spark, cfg)
     return ST.batch_progress(spark.read.parquet(cfg.metrics))
 
 
 def _order_stream(spark, sf, src):
-    """A stream of the delimited file, whose fields hold line breaks."""
-    d = DV.dirty_orders(spark, sf)
+    """A stream of the delimited file, whose fields hold line breaks, and its rows as they land."""
+    d, (files, per_trigger) = DV.dirty_orders(spark, sf), _landing(spark, sf, "orders")
     text = T.StructType([T.StructField(c, T.StringType()) for c in d.columns])
     numbered = lambda b: b.withColumn("row_no", F.col("row_no").cast("bigint"))
-    return d, ST.StreamIngest(
+    return d.repartition(files), ST.StreamIngest(
         source=src, schema=text, target=scratch_path(spark, "stream_target"), checkpoint=scratch_path(spark, "stream_ckpt"),
         key=S.BULK_SPEC.key, order=("row_no",), source_format="csv", options=ST.delimited_options(),
-        max_files_per_trigger=STREAM_FILES_PER_TRIGGER, metrics=scratch_path(spark, "stream_metrics"),
+        max_files_per_trigger=per_trigger, metrics=scratch_path(spark, "stream_metrics"),
         rejects=scratch_path(spark, "stream_rej"), prepare=lambda b: ING.tag_load(numbered(b), S.BULK_SPEC, "row_no"),
         conform=lambda a: ING.conform(a, S.BULK_SPEC, "row_no"), load_time_column=S.BULK_LOAD_TIME)
 
@@ -586,10 +595,12 @@ def q_stream_resume(spark, sf):
     """The delimited file loaded by a stream that is restarted when the same file arrives again."""
     src = scratch_path(spark, "stream_src")
     d, cfg = _order_stream(spark, sf, src)
-    DL.write_delimited(d.repartition(STREAM_FILES_PER_COPY), src, mode="append")
+    with ST.settings(spark):     # the dirty columns too make a method too long to be compiled
+        DL.write_delimited(d, src, mode="append")
     ST.run_until_caught_up(spark, cfg)
     first_run_last = spark.read.parquet(cfg.metrics).agg(F.max(ST.BATCH)).first()[0]
-    DL.write_delimited(d.repartition(STREAM_FILES_PER_COPY), src, mode="append")  # the restart reads only these
+    with ST.settings(spark):
+        DL.write_delimited(d, src, mode="append")  # the restart reads only these
     ST.run_until_caught_up(spark, cfg)
     m = spark.read.parquet(cfg.metrics)
     runs = F.when(F.col(ST.BATCH) <= first_run_last, F.lit(1)).otherwise(F.lit(2))
@@ -602,7 +613,8 @@ def q_stream_resume(spark, sf):
 def q_stream_rejects(spark, sf):
     src = scratch_path(spark, "stream_orders")
     d, cfg = _order_stream(spark, sf, src)
-    DL.write_delimited(d.repartition(STREAM_FILES_PER_COPY), src)
+    with ST.settings(spark):
+        DL.write_delimited(d, src)
     ST.run_until_caught_up(spark, cfg)
     rej = spark.read.parquet(cfg.rejects)
     return _as_output(rej.select("row_no", *ORDERS_BULK_COLUMNS, Q.PROBLEM))
