@@ -229,10 +229,12 @@ def event_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark-style results made from ``events``: method, batch, time, memory, speed."""
-    e = table(spark, sf_dir, "events")
+    e, v = table(spark, sf_dir, "events"), F.col("value")
+    # a run that took no time has infinite speed, with the sign of its zero
+    endless = F.when(_s(v) == "-0.0", F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    speed = F.when(v == 0, endless).otherwise(F.lit(50000.0) / v)
     return e.select(F.col("event_type").alias("metodo"), F.col("user_id").alias("lote"),
-                    F.col("value").alias("tiempo_s"), (F.col("value") * 0.5 + F.col("user_id")).alias("ram_mb"),
-                    (F.lit(50000.0) / F.col("value")).alias("filas_s"))
+                    v.alias("tiempo_s"), (v * 0.5 + F.col("user_id")).alias("ram_mb"), speed.alias("filas_s"))
 
 
 def key_catalogue(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -25,3 +25,13 @@ def test_more_rows_land_as_more_files_in_as_many_batches(spark, tmp_path, monkey
     assert len(spark.read.parquet(cfg.source).inputFiles()) == 32
     assert spark.read.parquet(cfg.metrics).count() == 4
     assert ST.read_target(spark, cfg).count() == 150
+
+
+def test_a_run_without_time_is_the_fastest(spark, tmp_path):
+    rows = [("a", 1, 2.0), ("b", 7, 0.0), ("c", 3, 0.0), ("d", 9, -0.0), ("e", 5, None)]
+    sf = _write(spark.createDataFrame(rows, "event_type string, user_id long, value double"), tmp_path, "events")
+    speeds = {r["metodo"]: r["filas_s"] for r in DV.run_results(spark, sf).collect()}
+    assert speeds == {"a": 25000.0, "b": math.inf, "c": math.inf, "d": -math.inf, "e": None}
+    known = DV.run_results(spark, sf).filter("metodo <> 'e'")
+    best = {r["criterio"]: r["metodo"] for r in REG.LED.best_runs(known).collect()}
+    assert best == {"menor_ram": "a", "mayor_velocidad": "c"}
