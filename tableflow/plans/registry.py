@@ -144,7 +144,7 @@ def q_coerce_date(spark, sf):
 @query("elected_dates")
 def q_elected_dates(spark, sf):
     """Order dates written in three undeclared layouts, one of them mixed with another in a third of the rows."""
-    o, key = DV.table(spark, sf, "orders"), F.col("o_orderkey")
+    o, key = DV.table(spark, sf, "orders", spread=True), F.col("o_orderkey")
     day = F.col("o_orderdate").cast("date")
     texts = o.select("o_orderkey", F.date_format(day, "dd/MM/yyyy").alias("latina"), F.date_format(day, "MM-dd-yyyy").alias("inglesa"),
                      F.when(key % 3 == 0, F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "yyyyMMdd")).alias("mezclada"))

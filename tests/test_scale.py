@@ -35,3 +35,11 @@ def test_a_run_without_time_is_the_fastest(spark, tmp_path):
     known = DV.run_results(spark, sf).filter("metodo <> 'e'")
     best = {r["criterio"]: r["metodo"] for r in REG.LED.best_runs(known).collect()}
     assert best == {"menor_ram": "a", "mayor_velocidad": "c"}
+
+
+def test_elected_dates_are_read_by_many_tasks(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(i)) for i in range(40)]
+    sf = _write(spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp_ntz").coalesce(1), tmp_path, "orders")
+    out = REG.q_elected_dates(spark, sf)
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert {r["o_orderkey"]: r["latina"] for r in out.collect()} == dict(rows)
