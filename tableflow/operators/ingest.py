@@ -52,12 +52,13 @@ def key_columns(df: DataFrame, key) -> list[Column]:
 
 def _firsts(df: DataFrame, key, order) -> DataFrame:
     """One row per key with the key's null-free columns before it."""
-    key, names = list(key), key_names(key)
-    payload = [c for c in df.columns if c not in key]
+    key, order, names = list(key), list(order), key_names(key)
+    payload = [c for c in df.columns if c not in key and c not in order]   # sorted rows hold a column once
     tagged = df.select(*key_columns(df, key), F.struct(
         *[F.col(o).alias(f"_tf_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in payload]).alias(_FIRST))
     agg = tagged.groupBy(*names).agg(F.min(_FIRST).alias(_FIRST))
-    own = {k: F.when(~F.col(f"_tf_z{i}"), F.col(f"_tf_k{i}")) for i, k in enumerate(key)}
+    own = {o: F.col(f"{_FIRST}._tf_o{i}") for i, o in enumerate(order)}
+    own |= {k: F.when(~F.col(f"_tf_z{i}"), F.col(f"_tf_k{i}")) for i, k in enumerate(key)}
     return agg.select(*names, *[(own[c] if c in own else F.col(f"{_FIRST}.{c}")).alias(c) for c in df.columns])
 
 

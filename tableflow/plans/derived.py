@@ -21,12 +21,18 @@ NBSP, NEL, TAB, LF, CR = "\u00a0", "\u0085", "\t", "\n", "\r"
 _SPARK_LAYOUTS = ("dd/MM/yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "yy-MM-dd", "dd-MM-yy", "d/M/yyyy")
 
 
+#: rows that a task gets at most where rows are dealt out
+SPREAD_ROWS = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table. ``spread=True`` deals its rows out evenly before a CPU-heavy derivation,
     since a driver table is one file of one row group; the operators themselves never
     redistribute their input."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
+    if not spread:
+        return df
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-df.count() // SPREAD_ROWS)))   # counted from the footers
 
 
 def _s(c: Column) -> Column:

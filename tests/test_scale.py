@@ -43,3 +43,16 @@ def test_elected_dates_are_read_by_many_tasks(spark, tmp_path):
     out = REG.q_elected_dates(spark, sf)
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert {r["o_orderkey"]: r["latina"] for r in out.collect()} == dict(rows)
+
+
+def test_rows_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
+    sf = _write(spark.range(95).coalesce(1), tmp_path, "ids")
+    monkeypatch.setattr(DV, "SPREAD_ROWS", 10)
+    assert DV.table(spark, sf, "ids", spread=True).rdd.getNumPartitions() == 10
+    assert DV.table(spark, sf, "ids", spread=True).count() == 95
+
+
+def test_first_rows_hold_a_column_once(spark):
+    df = spark.createDataFrame([(1, 2, 5, "b"), (1, 2, 5, "a"), (None, 3, 1, "n"), (None, 3, 0, "m")], "k int, o int, p int, v string")
+    firsts = ING.first_per_key(df, ("k",), ("k", "o", "p"))
+    assert sorted(firsts.collect(), key=str) == sorted([(1, 2, 5, "a"), (None, 3, 0, "m")], key=str) and firsts.columns == df.columns
