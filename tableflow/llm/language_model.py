@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm import words as W
-from tableflow.llm.common import arrow_batches, signed, written
+from tableflow.llm.common import arrow_batches, shuffles_removed, signed, written
 
 #: words whose counts every task knows; the others meet theirs in a join
 LOCAL_WORDS = 1 << 18
@@ -51,8 +51,6 @@ _BLOCK = 512  # weight rows of one row of a model's table
 _BRANCHES = 1 << 15  # branch weights of one row of a model's table
 #: sums of logits are kept within this, so that their exponentials are finite
 _LOGIT = np.float32(50)
-#: columns that are summed by segments at a time
-_COLUMNS = 16
 
 
 def is_held_out(id_col: str) -> Column:
@@ -129,15 +127,19 @@ class Trees:
         """Branches from each leaf to its root as CSR: offsets, inner nodes, is it the right side."""
         at = np.flatnonzero(leaf >= 0)
         node, parts = leaf[at], []
+        depth = np.zeros(len(leaf) + 1, np.int64)
         while len(at):
             up = self.parent[node]
             on = up >= 0
             at, node, up = at[on], node[on], up[on]
             parts.append((at, up, self.right[node]))
+            depth[at + 1] += 1
             node = up
-        of, inner, right = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(of, kind="stable")
-        return np.searchsorted(of[order], np.arange(len(leaf) + 1)), inner[order], right[order].astype(bool)
+        offset = np.cumsum(depth)
+        inner, right = np.empty(offset[-1], np.int64), np.empty(offset[-1], bool)
+        for level, (at, up, side) in enumerate(parts):
+            inner[offset[at] + level], right[offset[at] + level] = up, side
+        return offset, inner, right
 
 
 def huffman(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -297,16 +299,17 @@ class Batch:
         word = self.word[part]
         n = self.path[word + 1] - self.path[word]
         token = np.repeat(np.arange(len(word)), n)
-        at = np.arange(len(token)) + np.repeat(self.path[word] - np.cumsum(n) + n, n)
+        at = np.arange(len(token))
+        at += np.repeat(self.path[word] - np.cumsum(n) + n, n)
         inner = self.inner[at]
         salt = (inner.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         slots = np.empty((len(self.keys), len(token)), np.int64)
         for i, k in enumerate(self.keys):
-            x = k[part].take(token)
+            x = np.repeat(k[part], n)
             x += salt
             x ^= x >> np.uint64(32)
             x *= np.uint64(0x94D049BB133111EB)
-            slots[i] = x >> np.uint64(64 - bits)
+            np.right_shift(x, np.uint64(64 - bits), out=slots[i].view(np.uint64))
         return token, inner, self.right[at], slots
 
 
@@ -323,27 +326,67 @@ def _log_softmax(table: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
     return x
 
 
+def _log_of(table: np.ndarray, slots: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+    """The entry of ``_log_softmax`` that each token has."""
+    x = _logits(table, slots)
+    own = x[np.arange(len(target)), target]
+    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], np.float32))
+
+
+def _sums(rows: np.ndarray, of: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[of]`` over segments: all rows that are left in a segment are added up in pairs, again and again."""
+    zero = np.zeros((1, rows.shape[1]), rows.dtype)
+    while True:
+        half = (length + 1) >> 1
+        begin = np.cumsum(half) - half
+        first = np.arange(int(half.sum())) * 2
+        first -= np.repeat(2 * begin - np.cumsum(length) + length, half)
+        second = first + 1
+        odd = np.flatnonzero(length & 1)
+        if len(odd):  # what has no partner is added to a row of zeros
+            rows, of = np.concatenate([rows, zero]), np.append(of, len(rows))
+            second[begin[odd] + half[odd] - 1] = len(of) - 1
+        out = rows.take(of[first], axis=0)
+        out += rows.take(of[second], axis=0)
+        if len(out) == len(length):
+            return out
+        rows, of, length = out, np.arange(len(out)), half
+
+
 def _update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, slots: list[np.ndarray], target: np.ndarray, rate: float) -> None:
-    """One AdaGrad step on the gradient of a few thousand tokens."""
+    """One AdaGrad step on the gradient of a few thousand tokens. Each row is read once, and summed only where it is met again."""
     n = len(target)
-    error = np.exp(_logits(table, slots))
-    error /= (error @ np.ones(error.shape[1], np.float32))[:, None]
-    error[np.arange(n), target] -= 1
     flat = (np.concatenate(slots) << 16) + np.arange(n * len(slots))  # a step has less than 2**16 features
     flat.sort()
-    order = flat & 0xFFFF
+    place = flat & 0xFFFF
     flat >>= 16
     head = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    token = order % n
-    # a few columns at a time: short rows are summed several times as fast
-    g = np.concatenate([np.add.reduceat(np.ascontiguousarray(error[:, c:c + _COLUMNS]).take(token, axis=0), head, axis=0)
-                        for c in range(0, error.shape[1], _COLUMNS)], axis=1)
     at = flat[head]
     met = np.diff(np.append(head, len(flat)))
-    g /= np.sqrt(met, dtype=np.float32)[:, None]  # rows that are met often take steps of a bounded size
-    square = squares.take(at, axis=0) + g * g
+    rows = table.take(at, axis=0)
+    of = np.empty(len(flat), np.int64)
+    of[place] = np.repeat(np.arange(len(at)), met)
+    error = rows.take(of[:n], axis=0)
+    for a in range(n, len(of), n):
+        error += rows.take(of[a:a + n], axis=0)
+    np.exp(np.clip(error, -_LOGIT, _LOGIT, out=error), out=error)
+    error /= (error @ np.ones(error.shape[1], np.float32))[:, None]
+    error[np.arange(n), target] -= 1
+    token = place % n
+    g = error.take(token[head], axis=0)
+    more = met > 1
+    if more.any():
+        length = met[more]
+        sums = _sums(error, token[np.repeat(more, met)], length)
+        sums /= np.sqrt(length, dtype=np.float32)[:, None]  # rows that are met often take steps of a bounded size
+        g[more] = sums
+    square = squares.take(at, axis=0)
+    square += g * g
     squares[at] = square
-    table[at] -= rate * g / np.sqrt(square)
+    g *= rate
+    g /= np.sqrt(square, out=square)
+    rows -= g
+    table[at] = rows
     seen[at] += met
 
 
@@ -354,19 +397,27 @@ def _branch_logits(table: np.ndarray, prior: np.ndarray, slots: np.ndarray) -> n
     return np.clip(x, -_LOGIT, _LOGIT, out=x)
 
 
-def _update_branches(table: np.ndarray, squares: np.ndarray, sums: np.ndarray, prior: np.ndarray, slots: np.ndarray,
-                     right: np.ndarray, rate: float) -> None:
-    """One AdaGrad step; ``sums`` is all zero before and after. A weight that occurs again is set again to the same."""
-    error = 1 / (1 + np.exp(-_branch_logits(table, prior, slots)))
-    error -= right
+def _update_branches(table: np.ndarray, sums: np.ndarray, prior: np.ndarray, slots: np.ndarray, right: np.ndarray, rate: float) -> None:
+    """One AdaGrad step; ``table`` has each weight beside its sum of squares, as one complex number that is read once.
+
+    ``sums`` is all zero before and after. A weight that occurs again is set again to the same.
+    """
     flat = slots.ravel()
+    own = table.take(flat)
+    weight, square = own.real, own.imag
+    x = prior.copy()
+    for w in weight.reshape(slots.shape):
+        x += w
+    error = 1 / (1 + np.exp(-np.clip(x, -_LOGIT, _LOGIT, out=x)))
+    error -= right
     np.add.at(sums, flat, np.tile(error, len(slots)))
     g = sums.take(flat)
-    square = squares.take(flat)
+    sums[flat] = 0
     square += g * g
-    new = table.take(flat)
-    new -= rate * g / np.sqrt(square)
-    squares[flat], table[flat], sums[flat] = square, new, 0
+    g *= rate
+    g /= np.sqrt(square)
+    weight -= g
+    table[flat] = own
 
 
 def _learn(model, lexicon, round_no: int):
@@ -374,10 +425,12 @@ def _learn(model, lexicon, round_no: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, start = lexicon.value, model.value
-        classes, members, branches = start.classes.copy(), start.members.copy(), start.branches.copy()
+        classes, members = start.classes.copy(), start.members.copy()
+        branches = start.branches.astype(np.complex64)
+        branches.imag = 1
+        sums = np.zeros(len(branches), np.float32)
         squares = [np.full_like(classes, 1e-3), np.full_like(members, 1e-3)]
         seen = [np.zeros(len(classes), np.float32), np.zeros(len(members), np.float32)]
-        branch_squares, sums = np.ones_like(branches), np.zeros_like(branches)
         branch_rate = np.float32(BRANCH_RATE / (1 + round_no))
         rate = np.float32(RATE / (1 + round_no))
         step = 4096
@@ -393,11 +446,11 @@ def _learn(model, lexicon, round_no: int):
                     _update(members, squares[1], seen[1], member_slots([s[of] for s in slots], cls, lex.bits), x.member[part][of], rate)
                 _, inner, right, slots = x.branches(part, lex.branch_bits)
                 if len(inner):
-                    _update_branches(branches, branch_squares, sums, lex.trees.prior[inner], slots, right, branch_rate)
+                    _update_branches(branches, sums, lex.trees.prior[inner], slots, right, branch_rate)
         # what changed, each weight with how much it was met
-        branch_squares -= 1
+        branches.imag -= 1
         for kind, table, old, n, size in (("classes", classes, start.classes, seen[0], _BLOCK), ("members", members, start.members, seen[1], _BLOCK),
-                                          ("branches", branches, start.branches, branch_squares, _BRANCHES)):
+                                          ("branches", branches.real, start.branches, branches.imag, _BRANCHES)):
             for a in range(0, len(n), size):
                 met = n[a:a + size]
                 if met.any():
@@ -430,8 +483,9 @@ def _average(pdf):
 
 def lexicon_of(training: DataFrame) -> tuple[Lexicon, DataFrame]:
     """The lexicon, and the table (word, cls, n) of all training words."""
-    counts = written(training.select("text").mapInArrow(_count_words, "word bigint, cls bigint, n bigint")
-                     .groupBy("word").agg(F.min("cls").alias("cls"), F.sum("n").alias("n")), "word_counts")
+    with shuffles_removed(training.sparkSession):
+        counts = written(training.select("text").mapInArrow(_count_words, "word bigint, cls bigint, n bigint")
+                         .groupBy("word").agg(F.min("cls").alias("cls"), F.sum("n").alias("n")), "word_counts")
     # the words that tasks know are those above a count that leaves LOCAL_WORDS at most
     grade = F.floor(F.log2("n") * 16).cast("int")
     grades = sorted(counts.groupBy(grade.alias("g")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r["g"])
@@ -482,14 +536,16 @@ def train(training: DataFrame, lexicon: Lexicon) -> Weights:
     back what it changed, as many bytes as the model has whatever its share; weights are
     averaged, block by block, by how much each learner met them.
     """
-    sc = training.sparkSession.sparkContext
+    spark = training.sparkSession
+    sc = spark.sparkContext
     shared = sc.broadcast(lexicon)
     weights = starting_weights(lexicon)
     for k in range(ROUNDS):
         share = training.filter(F.pmod(F.xxhash64("share"), F.lit(ROUNDS)) == k).select("text").coalesce(LEARNERS)
         start = sc.broadcast(weights)
         learned = share.mapInArrow(_learn(start, shared, k), _CHANGES)
-        rows = learned.groupBy("kind", "block").applyInPandas(_average, "kind string, block bigint, change binary")
+        with shuffles_removed(spark):  # the models of a round are not kept beside those of the next
+            rows = written(learned.groupBy("kind", "block").applyInPandas(_average, "kind string, block bigint, change binary"), "round")
         for r in rows.toLocalIterator():
             table = getattr(weights, r["kind"])
             change = np.frombuffer(r["change"], np.float32).reshape(-1, *table.shape[1:])
@@ -499,6 +555,14 @@ def train(training: DataFrame, lexicon: Lexicon) -> Weights:
     return weights
 
 
+def _log_aside(logit: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Minus the log probability of each branch's side."""
+    x = logit * np.where(right, np.float32(-1), np.float32(1))
+    np.exp(x, out=x)
+    x += 1
+    return np.log(x, out=x)
+
+
 def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int = 8192) -> np.ndarray:
     """log10 of each token's probability, for words of other classes without the factor of their count.
 
@@ -507,23 +571,24 @@ def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int
     """
     out = np.zeros(len(x.cls))
     spread = np.log10(lexicon.class_tokens + SMOOTH * (lexicon.class_distinct + 1))
+    # what the ways to the words cost by their counts alone
+    by_counts = np.bincount(np.repeat(np.arange(len(x.path) - 1), np.diff(x.path)),
+                            _log_aside(lexicon.trees.prior[x.inner], x.right), len(x.path) - 1)
     for a in range(0, len(out), step):
         part = slice(a, a + step)
         slots = [s[part] for s in x.slots]
         cls = x.cls[part]
-        p = _log_softmax(weights.classes, slots)[np.arange(len(cls)), cls] / np.log(10)
+        p = _log_of(weights.classes, slots, cls) / np.log(10)
         of = np.flatnonzero(x.learned[part])
         if len(of):
-            own = _log_softmax(weights.members, member_slots([s[of] for s in slots], cls[of], lexicon.bits))
-            p[of] += own[np.arange(len(of)), x.member[part][of]] / np.log(10)
+            p[of] += _log_of(weights.members, member_slots([s[of] for s in slots], cls[of], lexicon.bits), x.member[part][of]) / np.log(10)
         others = ~x.learned[part]
         p[others] -= spread[cls[others] - LEARNED]
         token, inner, right, slots = x.branches(part, lexicon.branch_bits)
         if len(token):
             prior = lexicon.trees.prior[inner]
-            side = np.where(right, np.float32(-1), np.float32(1))
-            change = np.log1p(np.exp(side * prior)) - np.log1p(np.exp(side * _branch_logits(weights.branches, prior, slots)))
-            p += np.bincount(token, change, len(p)) / np.log(10)
+            logit = _branch_logits(weights.branches, prior, slots)
+            p += (by_counts[x.word[part]] - np.bincount(token, _log_aside(logit, right), len(p))) / np.log(10)
         out[part] = p
     return out
 
@@ -583,11 +648,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     training = rows.filter("NOT held_out").select(F.col("id").cast("string").alias("share"), "text")
     lexicon, counts = lexicon_of(training)
     weights = train(training, lexicon)
-    sc = spark.sparkContext
+    shared = [spark.sparkContext.broadcast(x) for x in (weights, lexicon)]
     kind = docs.schema[id_col].dataType.simpleString()
     scored = written(rows.mapInArrow(
-        _score(sc.broadcast(weights), sc.broadcast(lexicon)),
+        _score(*shared),
         f"row bigint, id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, others array<bigint>"), "scored")
+    for x in shared:
+        x.destroy()  # the scores are on storage: nothing reads the model again
     rest = (scored.select("row", F.explode("others").alias("word")).join(counts.select("word", "n"), "word", "left")
             .groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("own"), F.count("n").alias("known")))
     own = F.coalesce("own", F.lit(0.0))

@@ -1,6 +1,8 @@
 import dataclasses
 import math
+import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -109,3 +111,57 @@ def test_the_model_grows_with_the_distinct_words(spark):
     for n in (10**7, 10**8):
         more = dataclasses.replace(lexicon, distinct=n)
         assert more.rows * L.ROW_WORDS >= n and 1 << more.branch_bits >= L.WORD_BRANCHES * n
+
+
+def _on_disk(spark):
+    """Bytes of shuffles and of broadcasts that the session holds on disk."""
+    sc = spark.sparkContext
+    files = sc._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    shuffled = [files.apply(i) for i in range(files.size())]
+    return (sum(f.length() for f in shuffled if f.getName().startswith("shuffle_")),
+            sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(sc._temp_dir) for f in names))
+
+
+def test_a_model_leaves_nothing_on_disk(spark):
+    """The learners' models of a round go when they are averaged, and the model when the scores are written."""
+    rng = random.Random(8)
+    docs = documents(spark, [_language(rng, 500, 3_000) for _ in range(40)])
+    shuffled, sent = _on_disk(spark)
+    L.score_texts(docs)
+    model = len(L.starting_weights(L.lexicon_of(docs.selectExpr("CAST(doc_id AS STRING) AS share", "text"))[0]).branches) * 4
+    for _ in range(100):  # shuffle files are removed in the background
+        now = _on_disk(spark)
+        if now[0] < shuffled + model:
+            break
+        time.sleep(0.1)
+    assert now[0] < shuffled + model  # before: as many models as learners, for each round
+    assert now[1] < sent + model
+
+
+def test_steps_are_those_of_the_plain_formulas():
+    """Rows, members and branches that occur again within a step, against loops."""
+    rng = np.random.default_rng(9)
+    for n, rows in ((1, 3), (700, 40), (2000, 5000)):
+        table, squares = rng.normal(size=(rows, 16)).astype(np.float32), np.full((rows, 16), 1e-3, np.float32)
+        seen, target = np.zeros(rows, np.float32), rng.integers(0, 16, n)
+        slots = [np.full(n, rows - 1), *rng.integers(0, rows, (4, n))]
+        e = np.exp(sum(table[s] for s in slots).astype(np.float64))
+        e /= e.sum(axis=1)[:, None]
+        e[np.arange(n), target] -= 1
+        g, met = np.zeros((rows, 16)), np.zeros(rows)
+        for s in slots:
+            np.add.at(g, s, e)
+            np.add.at(met, s, 1)
+        g /= np.sqrt(np.maximum(met, 1))[:, None]
+        want = table - 0.1 * g / np.sqrt(1e-3 + g * g)
+        L._update(table, squares, seen, slots, target, np.float32(0.1))
+        assert np.allclose(table, want, atol=1e-4) and np.allclose(squares, 1e-3 + g * g, rtol=1e-3, atol=1e-5) and (seen == met).all()
+
+        weights, prior, right = rng.normal(size=rows).astype(np.float32), rng.normal(size=n).astype(np.float32), rng.random(n) < 0.5
+        packed, sums, slots = weights + 1j * np.ones(rows, np.float32), np.zeros(rows, np.float32), rng.integers(0, rows, (4, n))
+        error = 1 / (1 + np.exp(-(prior + weights[slots].sum(axis=0)).astype(np.float64))) - right
+        g = np.bincount(slots.ravel(), np.tile(error, 4), rows)
+        packed = packed.astype(np.complex64)
+        L._update_branches(packed, sums, prior, slots, right, np.float32(0.5))
+        assert np.allclose(packed.real, weights - 0.5 * g / np.sqrt(1 + g * g), atol=1e-4) and not sums.any()
+        assert np.allclose(packed.imag, 1 + g * g, rtol=1e-3, atol=1e-4)
