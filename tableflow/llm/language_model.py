@@ -51,6 +51,8 @@ _BLOCK = 512  # weight rows of one row of a model's table
 _BRANCHES = 1 << 15  # branch weights of one row of a model's table
 #: sums of logits are kept within this, so that their exponentials are finite
 _LOGIT = np.float32(50)
+#: columns that are summed by segments at a time
+_COLUMNS = 16
 
 
 def is_held_out(id_col: str) -> Column:
@@ -294,15 +296,14 @@ class Batch:
         self.keys = feature_keys(code, t.row)
         self.slots = feature_slots(self.keys, lexicon.bits)
 
-    def branches(self, part: slice, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Branches on the ways to the tokens of a part: token, inner node, is it the right side, weights (features x branches)."""
+    def branches(self, part: slice, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Branches on the ways to the tokens of a part: token, place in ``inner`` and ``right``, weights (features x branches)."""
         word = self.word[part]
         n = self.path[word + 1] - self.path[word]
         token = np.repeat(np.arange(len(word)), n)
         at = np.arange(len(token))
         at += np.repeat(self.path[word] - np.cumsum(n) + n, n)
-        inner = self.inner[at]
-        salt = (inner.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        salt = (self.inner[at].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         slots = np.empty((len(self.keys), len(token)), np.int64)
         for i, k in enumerate(self.keys):
             x = np.repeat(k[part], n)
@@ -310,7 +311,7 @@ class Batch:
             x ^= x >> np.uint64(32)
             x *= np.uint64(0x94D049BB133111EB)
             np.right_shift(x, np.uint64(64 - bits), out=slots[i].view(np.uint64))
-        return token, inner, self.right[at], slots
+        return token, at, slots
 
 
 def _logits(table: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
@@ -333,26 +334,6 @@ def _log_of(table: np.ndarray, slots: list[np.ndarray], target: np.ndarray) -> n
     return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], np.float32))
 
 
-def _sums(rows: np.ndarray, of: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Sums of ``rows[of]`` over segments: all rows that are left in a segment are added up in pairs, again and again."""
-    zero = np.zeros((1, rows.shape[1]), rows.dtype)
-    while True:
-        half = (length + 1) >> 1
-        begin = np.cumsum(half) - half
-        first = np.arange(int(half.sum())) * 2
-        first -= np.repeat(2 * begin - np.cumsum(length) + length, half)
-        second = first + 1
-        odd = np.flatnonzero(length & 1)
-        if len(odd):  # what has no partner is added to a row of zeros
-            rows, of = np.concatenate([rows, zero]), np.append(of, len(rows))
-            second[begin[odd] + half[odd] - 1] = len(of) - 1
-        out = rows.take(of[first], axis=0)
-        out += rows.take(of[second], axis=0)
-        if len(out) == len(length):
-            return out
-        rows, of, length = out, np.arange(len(out)), half
-
-
 def _update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, slots: list[np.ndarray], target: np.ndarray, rate: float) -> None:
     """One AdaGrad step on the gradient of a few thousand tokens. Each row is read once, and summed only where it is met again."""
     n = len(target)
@@ -376,8 +357,11 @@ def _update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, slots: lis
     g = error.take(token[head], axis=0)
     more = met > 1
     if more.any():
-        length = met[more]
-        sums = _sums(error, token[np.repeat(more, met)], length)
+        again, length = token[np.repeat(more, met)], met[more]
+        edge = np.cumsum(length) - length
+        # a few columns at a time: short rows are summed several times as fast
+        sums = np.concatenate([np.add.reduceat(np.ascontiguousarray(error[:, c:c + _COLUMNS]).take(again, axis=0), edge, axis=0)
+                               for c in range(0, error.shape[1], _COLUMNS)], axis=1)
         sums /= np.sqrt(length, dtype=np.float32)[:, None]  # rows that are met often take steps of a bounded size
         g[more] = sums
     square = squares.take(at, axis=0)
@@ -444,9 +428,9 @@ def _learn(model, lexicon, round_no: int):
                 if len(of):
                     cls = x.cls[part][of]
                     _update(members, squares[1], seen[1], member_slots([s[of] for s in slots], cls, lex.bits), x.member[part][of], rate)
-                _, inner, right, slots = x.branches(part, lex.branch_bits)
-                if len(inner):
-                    _update_branches(branches, sums, lex.trees.prior[inner], slots, right, branch_rate)
+                _, at, slots = x.branches(part, lex.branch_bits)
+                if len(at):
+                    _update_branches(branches, sums, lex.trees.prior[x.inner[at]], slots, x.right[at], branch_rate)
         # what changed, each weight with how much it was met
         branches.imag -= 1
         for kind, table, old, n, size in (("classes", classes, start.classes, seen[0], _BLOCK), ("members", members, start.members, seen[1], _BLOCK),
@@ -558,9 +542,7 @@ def train(training: DataFrame, lexicon: Lexicon) -> Weights:
 def _log_aside(logit: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Minus the log probability of each branch's side."""
     x = logit * np.where(right, np.float32(-1), np.float32(1))
-    np.exp(x, out=x)
-    x += 1
-    return np.log(x, out=x)
+    return np.log1p(np.exp(x, out=x), out=x)
 
 
 def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int = 8192) -> np.ndarray:
@@ -571,9 +553,7 @@ def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int
     """
     out = np.zeros(len(x.cls))
     spread = np.log10(lexicon.class_tokens + SMOOTH * (lexicon.class_distinct + 1))
-    # what the ways to the words cost by their counts alone
-    by_counts = np.bincount(np.repeat(np.arange(len(x.path) - 1), np.diff(x.path)),
-                            _log_aside(lexicon.trees.prior[x.inner], x.right), len(x.path) - 1)
+    by_counts = _log_aside(lexicon.trees.prior[x.inner], x.right)  # once for each word, not for each token
     for a in range(0, len(out), step):
         part = slice(a, a + step)
         slots = [s[part] for s in x.slots]
@@ -584,11 +564,10 @@ def log10_probabilities(x: Batch, weights: Weights, lexicon: Lexicon, step: int
             p[of] += _log_of(weights.members, member_slots([s[of] for s in slots], cls[of], lexicon.bits), x.member[part][of]) / np.log(10)
         others = ~x.learned[part]
         p[others] -= spread[cls[others] - LEARNED]
-        token, inner, right, slots = x.branches(part, lexicon.branch_bits)
+        token, at, slots = x.branches(part, lexicon.branch_bits)
         if len(token):
-            prior = lexicon.trees.prior[inner]
-            logit = _branch_logits(weights.branches, prior, slots)
-            p += (by_counts[x.word[part]] - np.bincount(token, _log_aside(logit, right), len(p))) / np.log(10)
+            logit = _branch_logits(weights.branches, lexicon.trees.prior[x.inner[at]], slots)
+            p += np.bincount(token, by_counts[at] - _log_aside(logit, x.right[at]), len(p)) / np.log(10)
         out[part] = p
     return out
 
